@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.functions.vectors import dot
 from recspark.operators.arrow import to_list_column, to_matrix
 
 # Layer sizes of both towers.
@@ -74,11 +75,14 @@ def encode(
     context: tuple[str, str] | None = None,
     normalize: bool = True,
     value_type: str = "float",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Replace ``embedding`` by the tower output; context columns are used up.
 
     Other columns are kept. Without ``context`` the tower takes the embedding
-    alone. ``normalize`` applies ``log1p`` to the context first.
+    alone. ``normalize`` applies ``log1p`` to the context first. ``partitions``
+    spreads a table that is small in bytes, but not in work, over that many
+    tasks; it hashes the kept columns, which identify a row.
     """
     spark = rows.sparkSession
     layers = spark.sparkContext.broadcast(load_tower(weights, tower))
@@ -91,6 +95,8 @@ def encode(
             for i, c in enumerate(context or ())
         ],
     )
+    if partitions:
+        inputs = inputs.repartition(partitions, *keep)
     element = T.FloatType() if value_type == "float" else T.DoubleType()
     schema = T.StructType([inputs.schema[c] for c in keep] + [T.StructField("embedding", T.ArrayType(element))])
     arrow_type = pa.float32() if value_type == "float" else pa.float64()
@@ -124,11 +130,13 @@ def encode_customers(
     embeddings: DataFrame,
     weights: DataFrame,
     value_type: str = "float",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Unit vector of every requested customer that is known."""
     known = look_up_users(requests, user_context).filter("found").drop("found")
     context = ("customer_total_purchases", "customer_avg_price")
-    return encode(look_up_embeddings(known, "user_index", embeddings), weights, "user", context, True, value_type)
+    rows = look_up_embeddings(known, "user_index", embeddings)
+    return encode(rows, weights, "user", context, True, value_type, partitions)
 
 
 def encode_items(
@@ -137,22 +145,21 @@ def encode_items(
     weights: DataFrame,
     use_context: bool = True,
     value_type: str = "float",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Unit vector of every article."""
     context = ("item_total_purchases", "item_avg_price")
     rows = look_up_embeddings(item_context, "item_index", embeddings)
     if not use_context:
-        return encode(rows.drop(*context), weights, "item", None, True, value_type)
-    return encode(rows, weights, "item", context, True, value_type)
+        return encode(rows.drop(*context), weights, "item", None, True, value_type, partitions)
+    return encode(rows, weights, "item", context, True, value_type, partitions)
 
 
-def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, size: int = EMBEDDING_DIM) -> DataFrame:
+def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """Score of each (user_index, item_index) pair: the inner product of its two vectors."""
-    from recspark.functions.vectors import dot
-
     return (
         pairs.join(items.select("item_index", F.col("embedding").alias("_item")), "item_index")
         .join(users.select("user_index", F.col("embedding").alias("_user")), "user_index")
-        .withColumn("score", dot(F.col("_user"), F.col("_item"), size))
+        .withColumn("score", dot(F.col("_user"), F.col("_item")))
         .drop("_user", "_item")
     )

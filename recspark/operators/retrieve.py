@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.functions.vectors import is_finite, is_unit
 from recspark.operators.arrow import to_matrix
 
 # Default and greatest list length, acceptance bounds.
@@ -164,9 +165,18 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
                     [one_list(part.column(key)), one_list(flat)], names=["keys", "query_vectors"]
                 )
 
-    # one task per item block and query block in sight: a pair of blocks is the unit of work
-    wanted = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
-    meetings = queries.mapInArrow(pack, packed_schema).select(wanted, "*").join(item_blocks, "block")
+    # Every query block has to meet every item block once. Few item blocks would
+    # mean few join keys, so item blocks are copied until there is one per task.
+    conf = queries.sparkSession.conf
+    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
+    copies = -(-tasks // n_blocks)
+    item_blocks = item_blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    query_blocks = (
+        queries.mapInArrow(pack, packed_schema)
+        .withColumn("copy", F.pmod(F.xxhash64("keys"), F.lit(copies)).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    )
+    meetings = query_blocks.join(item_blocks, ["block", "copy"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,8 +211,6 @@ def self_retrieval(items: DataFrame, k: int = TOP_K) -> DataFrame:
 
 def invalid_queries(queries: DataFrame, size: int, tolerance: float = QUERY_NORM_TOLERANCE) -> DataFrame:
     """Query rows a search must refuse: wrong length, not finite, or not of length 1."""
-    from recspark.functions.vectors import is_finite, is_unit
-
     v = F.col("embedding")
     fine = (F.size(v) == size) & is_finite(v) & is_unit(v, tolerance)
     return queries.filter(~F.coalesce(fine, F.lit(False)))

@@ -41,15 +41,15 @@ def _tower(name: str, source: str, keys: str, total: str, average: str, level: i
             FROM {source}, (SELECT {w(1, 2, 32)} AS w1, {w(2, inputs, 128)} AS w2, {w(3, 128, 64)} AS w3) AS {name}_w)))"""
 
 
-_MD5_HASH = "CAST('0x' || substr(md5({c} || '|' || {a} || '|42'), 1, 15) AS BIGINT)"
-_PAIR_HASH = _MD5_HASH.format(c="customer_id", a="article_id")
+_PAIR_HASH = "CAST('0x' || substr(md5(customer_id || '|' || article_id || '|42'), 1, 15) AS BIGINT)"
 
 
 def _candidates(source: str, items: str) -> str:
     return f"""
-      SELECT p.customer_id, p.article_id AS positive_article_id, i.article_id AS negative_article_id
-      FROM {source} p JOIN {items} i ON i.item_index = {_MD5_HASH.format(c="p.customer_id", a="p.article_id")}
-        % (SELECT count(*) FROM {items})"""
+      SELECT customer_id, p.article_id AS positive_article_id, i.article_id AS negative_article_id
+      FROM (SELECT customer_id, article_id, {_PAIR_HASH} % n AS item_index
+            FROM {source}, (SELECT count(*) AS n FROM {items})) p
+      JOIN {items} i USING (item_index)"""
 
 
 def _unpurchased(candidates: str, positives: str) -> str:
@@ -389,7 +389,7 @@ _QUERIES = {
       SELECT customer_id, article_id, {_round("list_inner_product(a.vec, b.vec)", 6)} AS similarity
       FROM positives JOIN vectors a ON a.vec_id = customer_id % (SELECT count(*) FROM vectors)
       JOIN vectors b ON b.vec_id = article_id % (SELECT count(*) FROM vectors)""",
-    "l2_normalized": f"""
+    "l2_normalize": f"""
       SELECT vec_id, CAST(c.component AS INTEGER) AS component,
         {_round("v[CAST(c.component + 1 AS INTEGER)] / norm", 6)} AS value
       FROM (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm

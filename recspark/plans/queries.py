@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.functions import vectors as vec
 from recspark.functions.hashing import MD5
-from recspark.functions.vectors import dot, l2_norm, l2_normalize
 from recspark.operators import (
     assemble,
     batches,
@@ -386,24 +386,24 @@ def pair_similarity(spark, sf):
     pairs = sampling.positive_interactions(tx).select(
         "customer_id", "article_id", (F.col("customer_id") % count).alias("_u"), (F.col("article_id") % count).alias("_i")
     )
-    scored = pairs.join(one, "_u").join(two, "_i").withColumn("similarity", dot(F.col("_a"), F.col("_b"), _DIM))
+    scored = pairs.join(one, "_u").join(two, "_i").withColumn("similarity", vec.dot(F.col("_a"), F.col("_b")))
     return _round(scored.select("customer_id", "article_id", "similarity"), "similarity", digits=6)
 
 
 @_query
-def l2_normalized(spark, sf):
+def l2_normalize(spark, sf):
     """Each vector, shifted by its label so that it is no longer of length 1, normalised again."""
     shifted = views.table(spark, sf, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double") + F.col("label")).alias("embedding")
     )
-    unit = shifted.select("vec_id", l2_normalize(F.col("embedding"), _DIM).alias("embedding"))
+    unit = shifted.select("vec_id", vec.l2_normalize(F.col("embedding")).alias("embedding"))
     return _components(unit, "vec_id")
 
 
 @_query
 def vector_norms(spark, sf):
     vectors = views.table(spark, sf, "embeddings")
-    return _round(vectors.select("vec_id", l2_norm(F.col("embedding"), _DIM).alias("norm")), "norm", digits=6)
+    return _round(vectors.select("vec_id", vec.l2_norm(F.col("embedding")).alias("norm")), "norm", digits=6)
 
 
 @_query
@@ -446,7 +446,7 @@ def encode_customers_detail(spark, sf):
     logs = [F.log1p(F.col(c).cast("double")).alias(f"log_{c}") for c in _USER_CONTEXT]
     detail = (
         encode.look_up_users(asked, users.table)
-        .join(vectors.select("customer_id", l2_norm(F.col("embedding"), _DIM).alias("norm")), "customer_id", "left")
+        .join(vectors.select("customer_id", vec.l2_norm(F.col("embedding")).alias("norm")), "customer_id", "left")
         .select("customer_id", "found", "user_index", *_USER_CONTEXT, *logs, "norm")
     )
     return _round(detail, "customer_avg_price", *[f"log_{c}" for c in _USER_CONTEXT], "norm")
@@ -487,7 +487,7 @@ def _vectors_as_items(spark, sf):
 @_query
 def item_topk(spark, sf):
     items = _vectors_as_items(spark, sf)
-    queries = serving.spread(items.select(F.col("article_id").alias("query_id"), "embedding"), 0, "query_id")
+    queries = items.select(F.col("article_id").alias("query_id"), "embedding")
     return retrieve.top_k(queries, items, key="query_id")
 
 

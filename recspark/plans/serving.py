@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.operators import encode, evaluate, features, indexing, quality, requests, retrieve, split
@@ -34,10 +34,9 @@ def item_context_lookup(raw_transactions: DataFrame) -> Lookup:
     return Lookup(index.table.select(*artifacts.ITEM_CONTEXT), index.size)
 
 
-def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    if rows >= _SPREAD_BELOW:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """How many tasks to spread a query table over; none when it is large enough by itself."""
+    return spark.sparkContext.defaultParallelism if rows < _SPREAD_BELOW else None
 
 
 def build_artifacts(
@@ -75,11 +74,12 @@ class Recommender(NamedTuple):
     def recommend(self, customers: DataFrame, k: int = retrieve.TOP_K) -> DataFrame:
         """Ranked lists for the customers that are known; ``customers`` names each once."""
         vectors = encode.encode_customers(
-            spread(customers, self.users.size, "customer_id"),
+            customers,
             self.users.table,
             self.user_embeddings,
             self.weights,
             self.value_type,
+            tasks_for(customers.sparkSession, self.users.size),
         )
         return retrieve.top_k(vectors.select("customer_id", "embedding"), self.items, k)
 
@@ -102,7 +102,7 @@ def build_recommender(raw_transactions: DataFrame, embeddings, weights: DataFram
     items = item_context_lookup(raw_transactions)
     weights = freeze(weights, "weights")
     vectors = encode.encode_items(
-        spread(items.table, items.size, "item_index"), embeddings(items.size), weights, True, value_type
+        items.table, embeddings(items.size), weights, True, value_type, tasks_for(weights.sparkSession, items.size)
     )
     stored = freeze(vectors.select(*artifacts.ITEM_EMBEDDINGS), "item-vectors")
     return Recommender(users, stored, embeddings(users.size), weights, value_type)

@@ -8,8 +8,6 @@ follows from ordinary attributes, and no row of the tables is left out.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,26 +154,18 @@ def formula_weights(spark: SparkSession) -> DataFrame:
     ``w = (((31 i + 17 j + 13 L) mod 101) - 50) / 500`` and
     ``b = (((7 j + L) mod 11) - 5) / 100``.
     """
-    # layer name, layer number, inputs, units
     layers = [("context", 1, 2, 32), ("hidden", 2, 96, 128), ("hidden_no_context", 2, 64, 128), ("output", 3, 128, 64)]
-
-    def layer_rows(tower: str, layer: str, level: int, inputs: int, units: int) -> DataFrame:
-        j = F.col("id")
-        weight = F.transform(
-            F.sequence(F.lit(0), F.lit(inputs - 1)),
-            lambda i: (((i * 31 + j * 17 + level * 13) % 101) - 50).cast("double") / 500.0,
-        )
-        return spark.range(units).select(
-            F.lit(tower).alias("tower"),
-            F.lit(layer).alias("layer"),
-            j.cast("int").alias("out_unit"),
-            weight.alias("w"),
-            ((((j * 7 + level) % 11) - 5).cast("double") / 100.0).alias("b"),
-        )
-
     rows = [
-        layer_rows(tower, layer, number + shift, inputs, units)
+        (tower, layer, number + shift, inputs, units)
         for tower, shift in (("user", 0), ("item", 5))
         for layer, number, inputs, units in layers
     ]
-    return reduce(DataFrame.unionByName, rows)
+    shape = spark.createDataFrame(rows, "tower string, layer string, level int, inputs int, units int")
+    unit = shape.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("units") - 1)))
+    j, level = F.col("j"), F.col("level")
+    weight = F.transform(
+        F.sequence(F.lit(0), F.col("inputs") - 1),
+        lambda i: (((i * 31 + j * 17 + level * 13) % 101) - 50).cast("double") / 500.0,
+    )
+    bias = (((j * 7 + level) % 11) - 5).cast("double") / 100.0
+    return unit.select("tower", "layer", j.alias("out_unit"), weight.alias("w"), bias.alias("b"))
