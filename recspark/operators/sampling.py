@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.hashing import XXHASH64, hash_bucket, hash_share, pair_hash
 from recspark.operators.indexing import DenseIndex, item_mapping
+from recspark.session import freeze
 
 # Labels and default seed.
 POSITIVE_LABEL = 1.0
@@ -47,14 +48,24 @@ def negative_candidates(
     return wanted.join(named, "item_index").select("customer_id", "positive_article_id", "negative_article_id")
 
 
-def unpurchased(candidates: DataFrame, positives: DataFrame) -> DataFrame:
-    """Distinct candidates the customer never bought.
+def label_pairs(positives: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Every positive with label 1 and every other candidate, once, with label 0.
 
-    Both sides are keyed by the whole pair, which is as good as unique, so a
-    customer with very many rows is spread over all tasks.
+    Both sets meet in one grouping by pair, where the greatest label wins: that
+    removes purchased and repeated candidates in a single shuffle that is
+    combined beforehand. The key is the whole pair, so a customer with very many
+    rows is spread over all tasks.
     """
-    pairs = candidates.select("customer_id", F.col("negative_article_id").alias("article_id"))
-    return pairs.distinct().join(positives.select(*PAIR), PAIR, "left_anti")
+    bought = positives.select(*PAIR, F.lit(POSITIVE_LABEL).alias("label"))
+    offered = candidates.filter(F.col("customer_id").isNotNull()).select(
+        "customer_id", F.col("negative_article_id").alias("article_id"), F.lit(NEGATIVE_LABEL).alias("label")
+    )
+    return bought.unionByName(offered).groupBy(*PAIR).agg(F.max("label").alias("label"))
+
+
+def unpurchased(candidates: DataFrame, positives: DataFrame) -> DataFrame:
+    """Distinct candidates the customer never bought."""
+    return label_pairs(positives, candidates).filter(F.col("label") == NEGATIVE_LABEL).select(*PAIR)
 
 
 def within_ratio(
@@ -100,35 +111,47 @@ def within_ratio(
     )
 
 
-def negative_interactions(
-    transactions: DataFrame,
+def sample_interactions(
+    positives: DataFrame,
+    items: DenseIndex,
     negative_ratio: float = 1,
     seed: int = SEED,
     method: str = XXHASH64,
-    items: DenseIndex | None = None,
 ) -> DataFrame:
-    """Negatives of all customers; at most one per positive pair.
+    """Labelled positives and negatives from distinct positive pairs.
+
+    ``positives`` is read more than once and should be a stored table.
 
     With one candidate per positive a customer cannot have more negatives than
-    positives, so for a ratio of one or more the rank filter keeps every row and
-    is left out of the plan.
+    positives, so for a ratio of one or more the rank filter would keep every row
+    and is left out of the plan.
     """
-    positives = positive_interactions(transactions).select(*PAIR)
-    items = items or item_mapping(transactions)
-    candidates = negative_candidates(positives, items, seed, method)
-    negatives = unpurchased(candidates, positives).filter(F.col("customer_id").isNotNull())
-    if negative_ratio < 1:
-        negatives = within_ratio(negatives, positives, negative_ratio, seed, method)
-    return negatives.withColumn("label", F.lit(NEGATIVE_LABEL))
+    labelled = label_pairs(positives, negative_candidates(positives, items, seed, method))
+    if negative_ratio >= 1:
+        return labelled
+    negatives = freeze(labelled.filter(F.col("label") == NEGATIVE_LABEL).select(*PAIR), "negatives")
+    kept = within_ratio(negatives, positives, negative_ratio, seed, method)
+    return positives.select(*PAIR, F.lit(POSITIVE_LABEL).alias("label")).unionByName(
+        kept.withColumn("label", F.lit(NEGATIVE_LABEL))
+    )
+
+
+def stored_positives(transactions: DataFrame) -> DataFrame:
+    """Distinct pairs in the shared folder: the purchases are scanned once."""
+    return freeze(transactions.select(*PAIR).distinct(), "positives")
 
 
 def training_interactions(
-    transactions: DataFrame,
-    negative_ratio: float = 1,
-    seed: int = SEED,
-    method: str = XXHASH64,
-    items: DenseIndex | None = None,
+    transactions: DataFrame, negative_ratio: float = 1, seed: int = SEED, method: str = XXHASH64
 ) -> DataFrame:
     """Positives and negatives together."""
-    negatives = negative_interactions(transactions, negative_ratio, seed, method, items)
-    return positive_interactions(transactions).unionByName(negatives)
+    positives = stored_positives(transactions)
+    return sample_interactions(positives, item_mapping(positives), negative_ratio, seed, method)
+
+
+def negative_interactions(
+    transactions: DataFrame, negative_ratio: float = 1, seed: int = SEED, method: str = XXHASH64
+) -> DataFrame:
+    """Negatives of all customers; at most one per positive pair."""
+    sampled = training_interactions(transactions, negative_ratio, seed, method)
+    return sampled.filter(F.col("label") == NEGATIVE_LABEL)
