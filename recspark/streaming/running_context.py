@@ -41,10 +41,14 @@ def start_running_context(purchases: DataFrame, key: str, table: str, checkpoint
 def read_running_context(spark: SparkSession, table: str, key: str, prefix: str) -> DataFrame:
     """Latest totals of each key as context columns."""
     latest = F.max(F.struct("batch_id", "purchase_count", "price_sum")).alias("_last")
-    totals = spark.read.parquet(table).groupBy(key).agg(latest)
-    count, total = F.col("_last.purchase_count"), F.col("_last.price_sum")
+    totals = spark.read.parquet(table).groupBy(key).agg(latest).select(key, "_last.*")
+    return _as_context(totals, key, prefix)
+
+
+def _as_context(totals: DataFrame, key: str, prefix: str) -> DataFrame:
+    average = F.col("price_sum") / F.col("purchase_count")
     return totals.select(
-        key, count.alias(f"{prefix}_total_purchases"), (total / count).alias(f"{prefix}_avg_price")
+        key, F.col("purchase_count").alias(f"{prefix}_total_purchases"), average.alias(f"{prefix}_avg_price")
     )
 
 
@@ -54,4 +58,7 @@ def run_running_context(purchases: DataFrame, key: str, prefix: str) -> DataFram
     table = scratch_path(spark, f"stream-{prefix}")
     query = start_running_context(purchases, key, table, scratch_path(spark, f"stream-{prefix}-state"))
     query.awaitTermination()
+    if not query.recentProgress or not any(p["numInputRows"] for p in query.recentProgress):
+        nothing = spark.createDataFrame([], purchases.select(key, "price").schema)
+        return _as_context(running_totals(nothing, key), key, prefix)
     return read_running_context(spark, table, key, prefix)
