@@ -39,16 +39,13 @@ def clean_customers(customers: DataFrame) -> DataFrame:
 def clean_transactions(transactions: DataFrame) -> DataFrame:
     """Distinct purchases with both keys, a positive price and a readable date.
 
-    Dates and prices may still be text. The filters sit below the duplicate
-    removal so that bad rows are never shuffled.
+    Dates and prices may still be text. They are read first and the filters sit
+    below the duplicate removal, so that bad rows are never shuffled and the
+    rest is compared and shuffled as typed values.
     """
-    price = to_number("price")
-    return (
-        transactions.filter(F.col("customer_id").isNotNull() & F.col("article_id").isNotNull())
-        .filter((price > 0) & to_day("t_dat").isNotNull())
-        .dropDuplicates()
-        .withColumns({"t_dat": to_day("t_dat"), "price": price})
-    )
+    typed = transactions.withColumns({"t_dat": to_day("t_dat"), "price": to_number("price")})
+    usable = F.col("customer_id").isNotNull() & F.col("article_id").isNotNull() & F.col("t_dat").isNotNull()
+    return typed.filter(usable & (F.col("price") > 0)).distinct()
 
 
 def clean_datasets(

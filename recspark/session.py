@@ -55,7 +55,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/recspark/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's own folder, which may be deleted once it has ended."""
+    return f"{shared_dir(spark)}/recspark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def freeze(df: DataFrame, name: str) -> DataFrame:
