@@ -28,7 +28,7 @@ from recspark.operators import (
     split,
 )
 from recspark.plans import serving, training
-from recspark.session import freeze
+from recspark.session import freeze, side_by_side
 from recspark.sources import artifacts, retail, store, views
 from recspark.streaming import running_context
 
@@ -58,6 +58,13 @@ def _components(df: DataFrame, *keys: str, vector: str = "embedding") -> DataFra
     return _round(long, "value", digits=6)
 
 
+def _mappings(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
+    users, items = side_by_side(
+        tx.sparkSession, lambda: indexing.user_mapping(tx).table, lambda: indexing.item_mapping(tx).table
+    )
+    return users, items
+
+
 def _recommender(spark: SparkSession, sf: str) -> serving.Recommender:
     return serving.build_recommender(
         views.transactions(spark, sf),
@@ -243,13 +250,14 @@ def item_mapping(spark, sf):
 @_query
 def two_tower_dataset(spark, sf):
     tx = views.transactions(spark, sf)
-    return assemble.two_tower_dataset(tx, indexing.user_mapping(tx).table, indexing.item_mapping(tx).table)
+    users, items = _mappings(tx)
+    return assemble.two_tower_dataset(tx, users, items)
 
 
 @_query
 def id_mapped_interactions(spark, sf):
     tx = views.transactions(spark, sf)
-    users, items = indexing.user_mapping(tx).table, indexing.item_mapping(tx).table
+    users, items = _mappings(tx)
     return assemble.add_id_mappings(sampling.positive_interactions(tx), users, items)
 
 
@@ -618,7 +626,7 @@ def stream_item_context(spark, sf):
 
 def _factors(spark, sf):
     tx = views.transactions(spark, sf)
-    users, items = indexing.user_mapping(tx).table, indexing.item_mapping(tx).table
+    users, items = _mappings(tx)
     counts = assemble.add_id_mappings(features.real_interactions(tx), users, items)
     return fit.fit_factors(counts)
 

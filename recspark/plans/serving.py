@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.operators import encode, evaluate, features, indexing, quality, requests, retrieve, split
-from recspark.session import freeze
+from recspark.session import freeze, side_by_side
 from recspark.sources import artifacts, retail
 
 # A query table below this many rows sits in too few files to keep all cores
@@ -47,9 +47,10 @@ def build_artifacts(
     ``embeddings(size)`` gives the ``(index, embedding)`` table of the item tower.
     """
     spark = raw_transactions.sparkSession
-    users = user_context_lookup(raw_transactions)
+    users, items = side_by_side(
+        spark, lambda: user_context_lookup(raw_transactions), lambda: item_context_lookup(raw_transactions)
+    )
     artifacts.save_user_context(users.table, user_path)
-    items = item_context_lookup(raw_transactions)
     vectors = encode.encode_items(items.table, embeddings(items.size), weights)
     artifacts.save_item_embeddings(vectors, item_path)
     saved_users = artifacts.load_user_context(spark, user_path)
@@ -98,9 +99,12 @@ class Recommender(NamedTuple):
 
 def build_recommender(raw_transactions: DataFrame, embeddings, weights: DataFrame, value_type: str = "float") -> Recommender:
     """Context and item vectors computed once and stored in the shared folder."""
-    users = user_context_lookup(raw_transactions)
-    items = item_context_lookup(raw_transactions)
-    weights = freeze(weights, "weights")
+    users, items, weights = side_by_side(
+        raw_transactions.sparkSession,
+        lambda: user_context_lookup(raw_transactions),
+        lambda: item_context_lookup(raw_transactions),
+        lambda: freeze(weights, "weights"),
+    )
     vectors = encode.encode_items(
         items.table, embeddings(items.size), weights, True, value_type, tasks_for(weights.sparkSession, items.size)
     )

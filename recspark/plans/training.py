@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recspark.functions.hashing import XXHASH64
 from recspark.operators import assemble, indexing, sampling, split
-from recspark.session import freeze
+from recspark.session import freeze, side_by_side
 
 
 def two_tower_training(transactions: DataFrame, seed: int = sampling.SEED, method: str = XXHASH64) -> DataFrame:
@@ -16,8 +16,11 @@ def two_tower_training(transactions: DataFrame, seed: int = sampling.SEED, metho
     Indices and samples all come from the stored distinct pairs.
     """
     positives = sampling.stored_positives(transactions)
-    items = indexing.item_mapping(positives)
-    users = indexing.user_mapping(positives)
+    items, users = side_by_side(
+        transactions.sparkSession,
+        lambda: indexing.item_mapping(positives),
+        lambda: indexing.user_mapping(positives),
+    )
     interactions = sampling.sample_interactions(positives, items, 1, seed, method)
     indexed = assemble.add_id_mappings(interactions, users.table, items.table)
     return indexed.select("user_index", "item_index", "label")
@@ -66,14 +69,12 @@ def training_features(
     files which side is small enough to broadcast.
     """
     pairs = freeze(pair_totals(transactions, split.split_bounds(transactions)), "pairs")
-    users = _side(pairs, "customer_id", "user_index", "customer").table
-    items = _side(pairs, "article_id", "item_index", "item").table
     positives = pairs.filter(F.col("train_rows") > 0).select(*sampling.PAIR)
-    train_items = indexing.dense_index(
-        items.filter(F.col("item_total_purchases").isNotNull()).select("article_id"),
-        ["article_id"],
-        "item_index",
-        "train-items",
+    users, items, train_items = side_by_side(
+        transactions.sparkSession,
+        lambda: _side(pairs, "customer_id", "user_index", "customer").table,
+        lambda: _side(pairs, "article_id", "item_index", "item").table,
+        lambda: indexing.item_mapping(positives),
     )
     interactions = sampling.sample_interactions(positives, train_items, negative_ratio, seed, method)
     return assemble.select_model_features(assemble.add_id_mappings(interactions, users, items))
