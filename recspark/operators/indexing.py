@@ -44,7 +44,7 @@ def dense_index(rows: DataFrame, order_by: list[str], index_name: str, name: str
         return DenseIndex(frozen.select(*rows.columns, F.lit(0).cast("bigint").alias(index_name)), 0)
     counts = [sizes.get(part, 0) for part in range(max(sizes) + 1)]
     starts = [0, *accumulate(counts)]
-    start = F.array(*[F.lit(s).cast("bigint") for s in starts[:-1]])[F.col("_part")]
+    start = F.expr(f"array({', '.join(f'{s}L' for s in starts[:-1])})")[F.col("_part")]
     table = frozen.select(*rows.columns, (start + F.col("_row")).alias(index_name))
     return DenseIndex(table, starts[-1])
 

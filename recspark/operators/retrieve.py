@@ -32,6 +32,7 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 _SCORES_AT_ONCE = 4_000_000
 _QUERY_BLOCK = 2_048
 _ITEM_BLOCK = 8_192
+_MAX_ITEM_BLOCK = 65_536
 
 
 def _best(
@@ -134,8 +135,12 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
     A block holds a bounded number of rows whatever the data: items are cut by
     their dense index, queries as their batches arrive.
     """
-    n_blocks = -(-count // _ITEM_BLOCK)
-    block = F.floor(F.col("item_index") / F.lit(_ITEM_BLOCK)).cast("int")
+    conf = queries.sparkSession.conf
+    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
+    # larger blocks leave fewer partial lists to merge, but no more than fit a row
+    block_rows = min(max(count // tasks, _ITEM_BLOCK), _MAX_ITEM_BLOCK)
+    n_blocks = -(-count // block_rows)
+    block = F.floor(F.col("item_index") / F.lit(block_rows)).cast("int")
     item_blocks = items.groupBy(block.alias("block")).agg(
         F.collect_list(F.struct("article_id", "item_index", "embedding")).alias("_items")
     )
@@ -149,7 +154,7 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
     packed_schema = T.StructType(
         [
             T.StructField("keys", T.ArrayType(key_field.dataType)),
-            T.StructField("query_vectors", T.ArrayType(T.DoubleType())),
+            T.StructField("query_vectors", queries.schema["embedding"].dataType),
         ]
     )
 
@@ -160,15 +165,14 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
         for batch in batches:
             for at in range(0, batch.num_rows, _QUERY_BLOCK):
                 part = batch.slice(at, _QUERY_BLOCK)
-                flat = pa.array(to_matrix(part.column("embedding"), size).reshape(-1))
+                vectors = part.column("embedding")
+                to_matrix(vectors, size)  # refuses vectors of another length
                 yield pa.RecordBatch.from_arrays(
-                    [one_list(part.column(key)), one_list(flat)], names=["keys", "query_vectors"]
+                    [one_list(part.column(key)), one_list(vectors.flatten())], names=["keys", "query_vectors"]
                 )
 
     # Every query block has to meet every item block once. Few item blocks would
     # mean few join keys, so item blocks are copied until there is one per task.
-    conf = queries.sparkSession.conf
-    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
     copies = -(-tasks // n_blocks)
     item_blocks = item_blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     query_blocks = (
@@ -185,8 +189,8 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
                 ids = row.column("ids").flatten().to_numpy()
                 indices = row.column("indices").flatten().to_numpy()
                 vectors = row.column("item_vectors").flatten().to_numpy().astype(np.float64).reshape(-1, size)
-                wanted_rows = row.column("query_vectors").flatten().to_numpy().reshape(-1, size)
-                yield from _emit(row.column("keys").flatten(), wanted_rows, vectors, ids, indices, k, key)
+                asked = row.column("query_vectors").flatten().to_numpy().astype(np.float64).reshape(-1, size)
+                yield from _emit(row.column("keys").flatten(), asked, vectors, ids, indices, k, key)
 
     best = Window.partitionBy(key).orderBy(F.desc("similarity"), "article_id")
     return (

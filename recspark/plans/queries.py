@@ -560,8 +560,7 @@ def rec_store_put(spark, sf):
 
 @_query
 def rec_store_get(spark, sf):
-    """Read at midday of the last day: lists stored on that morning have expired after an hour,
-    so the clock is set just after midnight."""
+    """Read half an hour into the last day: what was stored that day is alive, all else has expired."""
     tx = views.transactions(spark, sf)
     now = tx.agg((F.max("t_dat").cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTES")).alias("now")).scalar()
     entries = freeze(_store(spark, sf), "store")

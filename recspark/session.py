@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app_name: str = "recspark", master: str | None = None, **conf: object) -> SparkSession:
@@ -18,7 +19,7 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
 
     Joins on customer or article keys rely on adaptive execution to split
     skewed partitions, so it is switched on here even where a site default
-    turns it off.
+    turns it off. Streaming state lives on disk rather than in the heap.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,6 +29,7 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", _STATE_ON_DISK)
     )
     if master:
         builder = builder.master(master)
