@@ -27,7 +27,7 @@ from recspark.operators import (
     sampling,
     split,
 )
-from recspark.plans import serving, training
+from recspark.plans import fitted, serving, training
 from recspark.session import freeze, side_by_side
 from recspark.sources import artifacts, retail, store, views
 from recspark.streaming import running_context
@@ -325,6 +325,12 @@ def negative_interactions(spark, sf):
     return sampling.negative_interactions(views.transactions(spark, sf), method=MD5)
 
 
+@_query
+def negative_interactions_xxhash64(spark, sf):
+    """The default hash, which SQL engines cannot recompute."""
+    return sampling.negative_interactions(views.transactions(spark, sf))
+
+
 @_query
 def negative_interactions_half(spark, sf):
     """Half as many negatives as positives: here the rank filter removes rows."""
@@ -648,5 +654,11 @@ def context_ranker_loss(spark, sf):
     return fit.mean_loss(fit.fit_context_ranker(examples)(examples))
 
 
+@_query
+def fitted_recall(spark, sf):
+    """Fit on the train period, recommend, and compare with the test period."""
+    return fitted.fitted_recall(views.transactions(spark, sf))
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)

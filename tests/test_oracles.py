@@ -13,7 +13,7 @@ from check_queries import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 
-ROWS_ONLY = {"als_embeddings", "context_ranker_loss"}
+ROWS_ONLY = {"als_embeddings", "context_ranker_loss", "fitted_recall", "negative_interactions_xxhash64"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
