@@ -85,7 +85,8 @@ def encode(
     tasks; it hashes the kept columns, which identify a row.
     """
     spark = rows.sparkSession
-    layers = spark.sparkContext.broadcast(load_tower(weights, tower))
+    # plain tuples: a broadcast is unpickled where this package is not installed
+    shared = spark.sparkContext.broadcast({name: tuple(layer) for name, layer in load_tower(weights, tower).items()})
     keep = [c for c in rows.columns if c != "embedding" and c not in (context or ())]
     inputs = rows.select(
         *keep,
@@ -103,6 +104,7 @@ def encode(
     with_context = context is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layers = {name: Layer(*parts) for name, parts in shared.value.items()}
         for batch in batches:
             vectors = to_matrix(batch.column("embedding"), EMBEDDING_DIM)
             side = None
@@ -110,7 +112,7 @@ def encode(
                 side = np.column_stack(
                     [batch.column(f"_context_{i}").to_numpy(zero_copy_only=False) for i in range(CONTEXT_DIM)]
                 )
-            out = forward(layers.value, vectors, side)
+            out = forward(layers, vectors, side)
             columns = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays(
                 [*columns, to_list_column(out, arrow_type)], names=[*keep, "embedding"]
