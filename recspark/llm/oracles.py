@@ -6,6 +6,34 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op5_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), items AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 9, least(len(ws), 1)))) AS i FROM b)
+), windows AS (
+  SELECT r, n, i, array_to_string(ws[i:i + n - 1], ' ') AS w
+  FROM (SELECT r, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM items))
+), hits AS (
+  SELECT r, n, i, item_id FROM windows JOIN items USING (n, w)
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
 ORACLES["op6_url_filter"] = rf"""
 WITH rest AS (
   SELECT page_id, coalesce(url, '') AS u,
