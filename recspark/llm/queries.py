@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import packing, rules, urlfilter, winnow
+from recspark.llm import dartminhash, langid, packing, quality, rules, toxicity, urlfilter, winnow
+from recspark.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op2_language_id(spark, sf_dir):
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "declared", "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -32,6 +39,11 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+@register
+def op4_dart_minhash(spark, sf_dir):
+    return dartminhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register
 def op5_decontamination(spark, sf_dir):
     found = winnow.contamination(
@@ -54,6 +66,15 @@ def op6_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@register
+def op8_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 4, 2))
+    score = quality.scorer(spark, quality.train(documents, labels))
+    scored = documents.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @register
 def op9_quality_rules(spark, sf_dir):
     judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -62,5 +83,14 @@ def op9_quality_rules(spark, sf_dir):
     )
 
 
+@register
+def op10_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 5, 0))
+    score = toxicity.scorer(spark, toxicity.train(documents, labels))
+    scored = documents.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), score("text")["score"].alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
