@@ -20,6 +20,7 @@ ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -38,11 +39,40 @@ from recspark.session import freeze
 
 SEQUENCE = 2048
 END_ID = 0
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 700_000
 _ROUNDS = 60
 _PHASES = 4
 
 
+def _ranked(path: str):
+    """The same byte-level vocabulary for a faster byte-pair encoder, or None if it isn't one.
+
+    That encoder merges the pair of lowest id first. This is what the file says if its tokens
+    past the single bytes are numbered in the order of its merges.
+    """
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    before, model = stored.get("pre_tokenizer") or {}, stored.get("model", {})
+    plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+    if not plain or stored.get("normalizer") or model.get("type") != "BPE":
+        return None
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    vocabulary = model["vocab"]
+    if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    # single bytes are written as printable characters: themselves where they are, else from U+0100 on
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if i < 256 + len(pairs)}
+    import tiktoken
+
+    return tiktoken.Encoding("ranked", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+#: Fixed value: the pre-tokenising pattern of byte-level byte-pair encoders.
+_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -58,8 +88,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.ranked = _ranked(path)
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {"\n": array("I", [self.line_feed]).tobytes()}
+        self.feed_bytes = array("I", [self.line_feed]).tobytes()
+        self.missing_first: set[str] = set()
+        self.missing_spaced: set[str] = set()
+        self.first: dict[str, bytes] = {}  # words at the start of a line
+        self.spaced: dict[str, bytes] = {}  # words after a space, which goes with them
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -69,54 +104,56 @@ class Encoder:
         """Words without a line feed, encoded in one call as lines of one text."""
         if not words:
             return []
-        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        text = "\n".join(words)
+        if self.ranked:
+            ids = np.array(self.ranked.encode_ordinary(text), dtype="<u4")
+        else:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.concatenate([[-1], np.flatnonzero(ids == self.line_feed), [len(ids)]])
         return [ids[a + 1 : b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > _CACHED_WORDS:
-            self.known = {"\n": self.known["\n"]}
-        split = [self._words(t) for t in texts]
-        unknown = list(set().union(*(w for w in split if w is not None)) - self.known.keys())
-        odd = {w for w in unknown if _odd(w)}
-        plain = [w for w in unknown if w not in odd] if odd else unknown
-        self.known.update(zip(plain, self._word_ids(plain), strict=True))
-        known = self.known.__getitem__
-        for text, words in zip(texts, split, strict=True):
-            if words is None or (odd and not odd.isdisjoint(words)):
-                yield self._ids([text])[0]
-            else:
-                yield b"".join(map(known, words))
-
-    @staticmethod
-    def _words(text: str) -> list[str] | None:
-        """Pre-tokenisable pieces in order, or None where only the whole text will do."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.first) + len(self.spaced) > _CACHED_WORDS:
+            self.first.clear()
+            self.spaced.clear()
+        found = [self._known(t) for t in texts]
+        if self.missing_first or self.missing_spaced:
+            firsts, spaced = list(self.missing_first), list(self.missing_spaced)
+            # a piece with white space of its own, or an empty one, may belong together with its neighbours
+            odd = {w for w in (*firsts, *spaced) if w.split() != [w]}
+            if odd:
+                firsts, spaced = ([w for w in x if w not in odd] for x in (firsts, spaced))
+            ids = self._word_ids(firsts + [" " + w for w in spaced])
+            self.first.update(zip(firsts, ids, strict=False))
+            self.spaced.update(zip(spaced, ids[len(firsts) :], strict=True))
+            self.missing_first.clear()
+            self.missing_spaced.clear()
+            for i, known in enumerate(found):
+                if known is None:
+                    again = self._known(texts[i])
+                    found[i] = self._ids([texts[i]])[0] if again is None else again
+            self.missing_first.clear()
+            self.missing_spaced.clear()
+        return found
+
+    def _known(self, text: str) -> bytes | None:
+        """Ids of a text of known words; else None, and its unknown words are noted."""
         if not text:
-            return []
-        pieces = text.replace("\n", " \n ").replace(" ", "\x00 ").split("\x00") if "\x00" not in text else None
-        if pieces is None:
-            return None
-        # " \n" stands for a line feed, and the word after it has no space of its own
-        if " \n" not in pieces:
-            return pieces
-        out: list[str] = []
-        after = False
-        for p in pieces:
-            if p == " \n":
-                if after or not out:
-                    return None
-                out.append("\n")
-                after = True
-            else:
-                out.append(p[1:] if after else p)
-                after = False
-        return None if after else out
-
-
-def _odd(word: str) -> bool:
-    """Whether a piece has white space of its own, which may belong together with a neighbour's."""
-    body = word[1:] if word.startswith(" ") else word
-    return not body or any(c.isspace() for c in body)
+            return b""
+        first, spaced = self.first.get, self.spaced.get
+        lines, whole = [], True
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            begun, ids = first(head), list(map(spaced, rest))
+            if begun is None:
+                self.missing_first.add(head)
+                whole = False
+            if None in ids:
+                self.missing_spaced.update([w for w, x in zip(rest, ids, strict=True) if x is None])
+                whole = False
+            elif whole:
+                lines.append(begun + b"".join(ids))
+        return self.feed_bytes.join(lines) if whole else None
 
 
 def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
