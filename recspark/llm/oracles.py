@@ -6,6 +6,27 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 ORACLES: dict[str, str] = {}
 
+_BITS = " || ".join(f"lpad(bin(('0x' || substr(h, {i}, 2))::INTEGER), 8, '0')" for i in range(1, 40, 2))
+_BASE32 = " || ".join(
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + "
+    + " + ".join(f"{16 >> j} * substr(b, {5 * i + j + 1}, 1)::INTEGER" for j in range(5))
+    + ", 1)"
+    for i in range(32)
+)
+ORACLES["op1_warc_index"] = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), bits AS (
+  SELECT *, {_BITS} AS b FROM p
+), named AS (
+  SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, max(page_id) OVER (PARTITION BY h) AS newest FROM bits
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM named
+"""
+
 ORACLES["op5_decontamination"] = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,

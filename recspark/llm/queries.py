@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import dartminhash, langid, packing, quality, rules, toxicity, urlfilter, winnow
+from recspark.llm import dartminhash, extract, langid, packing, quality, rules, toxicity, urlfilter, warc, winnow
 from recspark.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_warc_index(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write_archive(pages)
+    found = warc.look_up(spark, archive, pages)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register
 def op2_language_id(spark, sf_dir):
     found = langid.identify(table(spark, sf_dir, "documents"))
@@ -66,6 +74,14 @@ def op6_url_filter(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@register
+def op7_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    main_text = extract.extractor(spark, extract.train(pages))
+    found = pages.select("page_id", "url", main_text("html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @register
 def op8_quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
