@@ -34,8 +34,8 @@ from pyspark.sql import types as ST
 from recspark.session import freeze
 
 SAMPLE_PAGES = 400
-VARIANTS = 4
-TREES, DEPTH = 16, 4
+VARIANTS = 6
+TREES, DEPTH = 20, 5
 
 #: Element names by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,7 +54,7 @@ OTHER_WORDS = frozenset(
     "nav navigation navbar menu breadcrumb breadcrumbs sidebar aside widget footer foot header masthead banner comment comments reply "
     "respond discussion cookie consent notice alert gdpr ad ads advert advertisement sponsor sponsored promo promoted share social related "
     "recommended newsletter subscribe signup login search popup modal overlay copyright legal disclaimer tags pagination toolbar hidden "
-    "complementary contentinfo dialog form rail teaser".split()
+    "complementary contentinfo dialog form rail teaser bar top topbar skip".split()
 )
 _TAGS = ("p", "h", "list", "div", "article", "nav", "header", "footer", "aside", "form", "table")
 _TAG_OF = {t: i for i, t in enumerate(_TAGS)} | {h: 1 for h in HEADINGS} | {t: 2 for t in ("ul", "ol", "li", "dl", "dt", "dd", "menu")}
@@ -268,6 +268,10 @@ def build_page(blocks: list[str], seed: int) -> str:
         items = "".join(f'<li><a href="/{i}">{some(1, 3)}</a></li>' for i in range(rng.randint(3, 9)))
         return f"<{tag}{attrs}><ul>{items}</ul></{tag}>"
 
+    def bare_links(tag: str, attrs: str = "") -> str:
+        gap = rng.choice([" ", " | ", "<br>"])
+        return f"<{tag}{attrs}>{gap.join(f'<a href="/{i}">{some(1, 3)}</a>' for i in range(rng.randint(2, 7)))}</{tag}>"
+
     def named(choices: str) -> str:
         return f' {rng.choice(["class", "id"])}="{rng.choice(choices.split())}"'
 
@@ -286,6 +290,9 @@ def build_page(blocks: list[str], seed: int) -> str:
         lambda: links("nav"),
         lambda: links("div", named("menu navbar nav breadcrumb")),
         lambda: links("ul", named("menu navigation breadcrumbs")),
+        lambda: bare_links("div", named("top-bar navbar menu links")),
+        lambda: bare_links("div"),
+        lambda: bare_links("nav"),
         lambda: f"<header><p>{some(2, 8)}</p>{links('nav')}</header>",
         lambda: f'<div{named("header masthead banner site-header")}>{some(2, 9)}</div>',
         lambda: f'<div{named("cookie-notice consent notice alert cookie-banner")}><p>{some(6, 30)}</p></div>',
@@ -323,10 +330,12 @@ def build_page(blocks: list[str], seed: int) -> str:
     attrs = f' {rng.choice(["class", "id"])}="{name[0]}"' if name and name[0] else ""
     body = f"<{tag}{attrs}>{''.join(main)}</{tag}>"
     if tag == "td":
-        body = f"<table><tr>{body}<td{named('sidebar menu widget')}>{paragraphs(1, 2)}</td></tr></table>"
+        body = f"<table><tr>{bare_links('td') if rng.random() < 0.5 else ''}{body}<td{named('sidebar menu widget')}>{paragraphs(1, 2)}</td></tr></table>"
     elif rng.random() < 0.3:
         body = f'<div class="{rng.choice(["page", "wrap", "container", "layout"])}">{body}{rng.choice(after)()}</div>'
-    parts = [f() for f in rng.sample(before, rng.randint(1, 4))] + [body] + [f() for f in rng.sample(after, rng.randint(1, 5))]
+    bare = rng.random() < 0.1
+    parts = [f() for f in rng.sample(before, 0 if bare else rng.randint(1, 4))] + [body]
+    parts += [f() for f in rng.sample(after, 0 if bare else rng.randint(1, 5))]
     return f"<html><head><title>{some(2, 8)}</title></head><body>{''.join(parts)}</body></html>"
 
 
@@ -353,8 +362,13 @@ def examples_of(page: str, seed: int, variants: int) -> Iterator[list[Node]]:
         yield nodes
     blocks = _own_blocks(marked[0:1] and [n for n in nodes if n.main] or nodes)
     if blocks:
+        rng = random.Random(seed)
         for v in range(variants):
-            yield parse(build_page(blocks[: 3 + 9 * v] if v < variants - 1 else blocks, seed * 31 + v))
+            # articles of every length, down to one block of a few words
+            some = blocks if v == 0 else blocks[: rng.choice([1, 2, 4, 12])]
+            if v % 2:
+                some = [" ".join(b.split()[: rng.choice([3, 6, 12, 1000])]) for b in some]
+            yield parse(build_page(some, seed * 31 + v))
 
 
 def _examples(variants: int):
