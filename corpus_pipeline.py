@@ -19,7 +19,7 @@ from recspark.llm import dartminhash, langid, packing, toxicity, winnow
 from recspark.llm.queries import tokenizer_path
 from recspark.session import freeze
 
-_KEY = "_row_key"
+_KEY = "_corpus_row_key"
 _TOXIC = 0.5
 
 
@@ -39,7 +39,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, learnt from all labels of the folder."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     score = toxicity.scorer(spark, toxicity.train(docs, labels))
-    return docs.withColumn("_score", score("text")["score"]).filter(F.col("_score") < _TOXIC).select(*docs.columns)
+    return docs.filter(score("text")["score"] < _TOXIC)
 
 
 def keep_declared_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
