@@ -160,32 +160,26 @@ def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def _verified(pairs: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs (a, b) those whose similarity reaches the threshold, frozen with it.
+def _close(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a > b, whose sizes do not rule the similarity out: the smaller is at least that share of the greater."""
+    fit = F.least("node_units", "other_units") >= similarity * F.greatest("node_units", "other_units") - 1e-9
+    return pairs.filter(fit).select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
-    Sizes alone rule most others out: the smaller may not be under ``similarity`` of the greater.
-    """
+
+def _verified(pairs: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
+    """Of pairs (a, b) those whose similarity reaches the threshold, frozen with it."""
     left = elements.select(F.col("node").alias("a"), F.col("elements").alias("x"))
     right = elements.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-    sized = elements.select("node", "units")
-    pairs = pairs.join(sized.select(F.col("node").alias("a"), F.col("units").alias("_ua")), "a").join(
-        sized.select(F.col("node").alias("b"), F.col("units").alias("_ub")), "b"
-    )
-    close = pairs.filter(F.least("_ua", "_ub") >= similarity * F.greatest("_ua", "_ub") - 1e-9).select("a", "b")
-    both = close.join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     scored = both.withColumn("similarity", F.arrow_udf(_similar, ST.DoubleType())("x", "y"))
     return freeze(scored.filter(F.col("similarity") >= similarity - 1e-9).select("a", "b", "similarity"), "links")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Of (band, node, root): the rows of buckets that hold several roots."""
-    mixed = members.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi")
-    return members.join(mixed.select("band"), "band")
-
-
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of (band, node, node_units): the rows of buckets that hold several roots, with the root."""
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi")
+    return rooted.join(mixed.select("band"), "band")
 
 
 def classes(
@@ -207,38 +201,39 @@ def classes(
     nodes = rows.groupBy("h1", "h2").agg(F.min("row").alias("node"))
     nodes = freeze(nodes, "nodes")
     heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    banded = heads.select(F.explode("bands").alias("band"), F.col("row").alias("node"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    members = freeze(banded.join(shared.select("band", "head"), "band"), "buckets")
-    elements = heads.select(F.col("row").alias("node"), F.size("elements").alias("units"), "elements").join(
-        members.select("node").distinct(), "node", "left_semi"
-    )
+    banded = heads.select(F.explode("bands").alias("band"), F.col("row").alias("node"), F.size("elements").alias("node_units"))
+    head = F.min(F.struct("node", "node_units")).alias("h")
+    shared = banded.groupBy("band").agg(head, F.count("*").alias("n")).filter("n > 1")
+    shared = shared.select("band", F.col("h.node").alias("other"), F.col("h.node_units").alias("other_units"))
+    members = freeze(banded.join(shared, "band"), "buckets")
+    tested = freeze(_close(members.filter("node != other"), similarity), "tested")
+    elements = heads.select(F.col("row").alias("node"), "elements").join(members.select("node").distinct(), "node", "left_semi")
     elements = freeze(elements, "elements")
-    tested = freeze(members.filter("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "tested")
     links = _verified(tested, elements, similarity)
-    members = members.select("band", "node")
+    roots = components(links)
+    members = members.select("band", "node", "node_units")
     for step in range(HEAD_ROUNDS + 1):
-        mixed = freeze(_across(_rooted(members, links)), "mixed")
+        mixed = freeze(_across(members, roots), "mixed")
         if mixed.isEmpty():
             break
+        members = mixed.select("band", "node", "node_units")
         if step < HEAD_ROUNDS:
             # another head per bucket: the text that comes first by a hash that differs in each round
-            order = F.struct(F.xxhash64("node", F.lit(step)), F.col("node").alias("node"), F.col("root").alias("root"))
-            other = mixed.groupBy("band").agg(F.min(order).alias("h"))
-            other = other.select("band", F.col("h.node").alias("other"), F.col("h.root").alias("other_root"))
-            pairs = mixed.join(other, "band").filter("root != other_root").select("node", "other")
+            order = F.min(F.struct(F.xxhash64("node", F.lit(step)), "node", "node_units", "root")).alias("h")
+            other = mixed.groupBy("band").agg(order)
         else:
-            left = mixed.select("band", "node", "root")
-            right = mixed.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
-            pairs = left.join(right, "band").filter("root < other_root").select("node", "other")
-        pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+            other = mixed.select("band", F.struct("node", "node_units", "root").alias("h"))
+        other = other.select("band", F.col("h.node").alias("other"), F.col("h.node_units").alias("other_units"), F.col("h.root").alias("other_root"))
+        apart = "root != other_root" if step < HEAD_ROUNDS else "root < other_root"
+        pairs = _close(mixed.join(other, "band").filter(apart), similarity)
         pairs = freeze(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        links = links.union(_verified(pairs, elements, similarity))
         tested = tested.union(pairs)
-        members = mixed.select("band", "node")
-    roots = components(links)
+        found = _verified(pairs, elements, similarity)
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = components(links)
     named = nodes.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
     placed = freeze(rows.select("id", "row", "h1", "h2").join(named, ["h1", "h2"]).drop("h1", "h2"), "placed")
     first = F.min(F.struct(F.col("id.doc").isNull().alias("last"), F.col("id.doc").alias("doc"), "row"))

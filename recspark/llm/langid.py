@@ -43,11 +43,11 @@ _SPACED = np.where(_LETTERS, np.arange(256), 32).astype(np.uint8)
 _PRIOR = 20.0
 
 
-def gram_buckets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, rows, row, bucket) of the grams of slices of a text column."""
+def gram_buckets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, letters of each row, row, bucket) of the grams of slices of a text column."""
     for low, data, offsets in T.slices(pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))):
-        rows = len(offsets) - 1
         spaced = _SPACED[data]
+        letters = np.diff(np.concatenate([[0], np.cumsum(spaced != 32)])[offsets])
         keep = np.ones(len(spaced), bool)
         keep[1:] = (spaced[1:] != 32) | (spaced[:-1] != 32)
         ends = np.concatenate([[0], np.cumsum(keep)])[offsets]
@@ -57,7 +57,7 @@ def gram_buckets(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
         row = np.searchsorted(ends, np.arange(len(kept)), side="right") - 1
         whole = row[:n] == row[3 : n + 3]
         bucket = (value[whole] * np.uint32(2654435761)) >> np.uint32(16)
-        yield low, rows, row[:n][whole], bucket.astype(np.int64)
+        yield low, letters, row[:n][whole], bucket.astype(np.int64)
 
 
 def primary(code: Column) -> Column:
@@ -97,7 +97,7 @@ def _count_grams(languages: list[str]):
 _SCORE = ST.StructType(
     [
         ST.StructField("evidence", ST.ArrayType(ST.FloatType())),
-        ST.StructField("n_grams", ST.LongType()),
+        ST.StructField("n_letters", ST.LongType()),
         ST.StructField("best", ST.IntegerType()),
         ST.StructField("sure", ST.FloatType()),
     ]
@@ -115,8 +115,10 @@ def _score(model):
     def score(column: pa.Array) -> pa.Array:
         table = model.value
         out = np.zeros((len(column), table.shape[0]))
-        grams = np.zeros(len(column), np.int64)
-        for low, rows, row, bucket in gram_buckets(column):
+        grams, letters = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
+        for low, own, row, bucket in gram_buckets(column):
+            rows = len(own)
+            letters[low : low + rows] = own
             grams[low : low + rows] = np.bincount(row, minlength=rows)
             for i in range(table.shape[0]):
                 out[low : low + rows, i] = np.bincount(row, weights=table[i, bucket], minlength=rows)
@@ -125,7 +127,7 @@ def _score(model):
         out -= out.max(axis=1, keepdims=True)
         made = [
             T.lists(out.astype(np.float32).reshape(-1), np.full(len(out), out.shape[1]), pa.float32()),
-            pa.array(grams),
+            pa.array(letters),
             pa.array(out.argmax(axis=1).astype(np.int32)),
             pa.array(_softmax(out).max(axis=1).astype(np.float32)),
         ]
@@ -185,7 +187,7 @@ def identify(
     df: DataFrame, text: Column | None = None, declared: Column | None = None, host: Column | None = None,
     suffix: Column | None = None, keys: list[str] | None = None, min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """``keys`` of every row with ``declared``, ``language``, ``posterior``, ``n_grams`` and ``kept``.
+    """``keys`` of every row with ``declared``, ``language``, ``posterior``, ``n_letters`` and ``kept``.
 
     ``suffix`` defaults to that of the host; a host without dots has none.
     """
@@ -201,14 +203,14 @@ def identify(
     if not n:
         none = df.select(*keys, primary(declared).alias("declared"))
         return none.withColumns(
-            {"language": F.lit(None).cast("string"), "posterior": F.lit(0.0), "n_grams": F.lit(0).cast("bigint"), "kept": F.lit(False)}
+            {"language": F.lit(None).cast("string"), "posterior": F.lit(0.0), "n_letters": F.lit(0).cast("bigint"), "kept": F.lit(False)}
         )
     model = spark.sparkContext.broadcast(text_model(df, text, declared, languages))
     scored = df.select(
         held, primary(declared).alias("declared"), F.lower(host).alias("host"), F.lower(suffix).alias("suffix"), _score(model)(text).alias("_s")
     )
     scored = freeze(scored.select("_key", "declared", "host", "suffix", "_s.*").withColumn("domain", domain_of(F.col("host"))), "evidence")
-    clear = scored.filter((F.col("sure") >= CLEAR) & (F.col("n_grams") > 0))
+    clear = scored.filter((F.col("sure") >= CLEAR) & (F.col("n_letters") > 0))
     counts = clear.agg(*[F.coalesce(F.sum((F.col("best") == i).cast("double")), F.lit(0.0)) for i in range(n)]).first()
     total = sum(counts)
     everywhere = F.array(*[F.lit((c + 1) / (total + n)) for c in counts])
@@ -232,14 +234,14 @@ def identify(
         .withColumn("prior", F.coalesce("prior", everywhere))
     )
     fused = joined.withColumn("_f", _fuse(n)("evidence", "prior", "of_declared", "of_suffix"))
-    found = F.col("n_grams") > 0
+    found = F.col("n_letters") > 0
     name = F.array(*[F.lit(x) for x in languages])[F.col("_f.language")]
     out = fused.select(
         "_key.*",
         "declared",
         F.when(found, name).alias("language"),
         F.when(found, F.col("_f.posterior")).otherwise(0.0).alias("posterior"),
-        "n_grams",
+        "n_letters",
     )
     agrees = F.col("declared").isNull() | (F.col("declared") == F.col("language"))
     return out.withColumn("kept", F.coalesce(F.col("language").isNotNull() & agrees, F.lit(False)))
