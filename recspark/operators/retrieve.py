@@ -8,11 +8,12 @@ meet blocks of items in a shuffle, with the same result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +32,7 @@ SCORE_DIGITS = 6
 BROADCAST_BYTES = 256 * 1024 * 1024
 _SCORES_AT_ONCE = 4_000_000
 _QUERY_BLOCK = 2_048
-_ITEM_BLOCK = 8_192
-_MAX_ITEM_BLOCK = 65_536
+_BLOCK_BYTES = 32 * 1024 * 1024
 
 
 def _best(
@@ -42,8 +42,11 @@ def _best(
 
     Everything within rounding distance of the k-th raw score stays in the
     running until the rounded scores are compared, so ties are settled by id.
+    A score that is not finite has no rank; it ends the job.
     """
     raw = vectors @ items.T
+    if not np.isfinite(raw).all():
+        raise ValueError("query and item vectors must be finite")
     k = min(k, items.shape[0])
     kth = np.partition(raw, items.shape[0] - k, axis=1)[:, items.shape[0] - k]
     rows, positions = np.nonzero(raw >= (kth - 2 * 10.0**-SCORE_DIGITS)[:, None])
@@ -69,6 +72,7 @@ def _result_schema(key: T.StructField) -> T.StructType:
 
 
 def _emit(keys: pa.Array, vectors: np.ndarray, items: np.ndarray, ids, indices, k: int, key_name: str):
+    """Ranked lists of a matrix of queries, some rows at a time."""
     step = max(1, _SCORES_AT_ONCE // max(1, items.shape[0]))
     for at in range(0, vectors.shape[0], step):
         rows, positions, scores, rank = _best(vectors[at : at + step], items, ids, k)
@@ -95,7 +99,8 @@ def top_k(
 
     ``queries`` has ``(key, embedding)``, ``items`` has ``(article_id,
     item_index, embedding)`` with dense indices. ``items`` is read twice, so it
-    should be a stored table.
+    should be a stored table. Every query row gets a list of its own, also rows that
+    share a key or have none, however large the item table is.
     """
     if k <= 0:
         raise ValueError("top_k must be greater than zero")
@@ -129,31 +134,43 @@ def _top_k_broadcast(queries, items, k: int, key: str, size: int, schema: T.Stru
     return queries.mapInArrow(run, schema)
 
 
+def grid_of(tasks: int, item_blocks: int) -> tuple[int, int]:
+    """(query groups, item groups): about one cell per task, as square as the item blocks allow."""
+    across = max(1, min(item_blocks, math.isqrt(tasks)))
+    return -(-tasks // across), across
+
+
 def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schema: T.StructType) -> DataFrame:
-    """Query blocks and item blocks joined on the block number.
+    """Query blocks and item blocks on a grid of query groups and item groups.
 
-    A block holds a bounded number of rows whatever the data: items are cut by
-    their dense index, queries as their batches arrive.
+    Blocks are cut by bytes. Each cell of the grid is one join key; a query block is
+    copied once per item group and an item block once per query group, so copies grow
+    with the root of the number of tasks. A cell meets its blocks query block by query block and keeps
+    a running list, so that about one list per query and item group goes on to the final ranking.
+    Query rows are numbered, and the number, not the key, tells them apart.
     """
-    conf = queries.sparkSession.conf
-    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, int(conf.get("spark.sql.shuffle.partitions")))
-    # larger blocks leave fewer partial lists to merge, but no more than fit a row
-    block_rows = min(max(count // tasks, _ITEM_BLOCK), _MAX_ITEM_BLOCK)
-    n_blocks = -(-count // block_rows)
+    spark = queries.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    block_rows = max(1, _BLOCK_BYTES // (8 * size + 16))
+    query_groups, item_groups = grid_of(tasks, -(-count // block_rows))
+    block_rows = min(block_rows, -(-count // item_groups))
     block = F.floor(F.col("item_index") / F.lit(block_rows)).cast("int")
     item_blocks = items.groupBy(block.alias("block")).agg(
         F.collect_list(F.struct("article_id", "item_index", "embedding")).alias("_items")
     )
     item_blocks = item_blocks.select(
-        "block",
+        F.pmod("block", F.lit(item_groups)).alias("item_group"),
         F.col("_items.article_id").alias("ids"),
         F.col("_items.item_index").alias("indices"),
         F.flatten("_items.embedding").alias("item_vectors"),
+        F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1))).alias("query_group"),
     )
+    numbered = queries.withColumn("_query", F.monotonically_increasing_id())
     key_field = queries.schema[key]
     packed_schema = T.StructType(
         [
             T.StructField("keys", T.ArrayType(key_field.dataType)),
+            T.StructField("numbers", T.ArrayType(T.LongType())),
             T.StructField("query_vectors", queries.schema["embedding"].dataType),
         ]
     )
@@ -168,39 +185,87 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
                 vectors = part.column("embedding")
                 to_matrix(vectors, size)  # refuses vectors of another length
                 yield pa.RecordBatch.from_arrays(
-                    [one_list(part.column(key)), one_list(vectors.flatten())], names=["keys", "query_vectors"]
+                    [one_list(part.column(key)), one_list(part.column("_query")), one_list(vectors.flatten())],
+                    names=["keys", "numbers", "query_vectors"],
                 )
 
-    # Every query block has to meet every item block once. Few item blocks would
-    # mean few join keys, so item blocks are copied until there is one per task.
-    copies = -(-tasks // n_blocks)
-    item_blocks = item_blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     query_blocks = (
-        queries.mapInArrow(pack, packed_schema)
-        .withColumn("copy", F.pmod(F.xxhash64("keys"), F.lit(copies)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+        numbered.mapInArrow(pack, packed_schema)
+        .withColumn("query_group", F.pmod(F.xxhash64("numbers"), F.lit(query_groups)).cast("int"))
+        .withColumn("item_group", F.explode(F.sequence(F.lit(0), F.lit(item_groups - 1))))
     )
-    meetings = query_blocks.join(item_blocks, ["block", "copy"])
+    meetings = query_blocks.join(item_blocks, ["query_group", "item_group"])
+    partial = T.StructType([key_field, *schema.fields[1:], T.StructField("_query", T.LongType())])
+
+    def matrix(row: pa.RecordBatch, name: str) -> np.ndarray:
+        return row.column(name).flatten().to_numpy().astype(np.float64).reshape(-1, size)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running = None  # (first number, keys, numbers, best lists so far)
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
-                ids = row.column("ids").flatten().to_numpy()
-                indices = row.column("indices").flatten().to_numpy()
-                vectors = row.column("item_vectors").flatten().to_numpy().astype(np.float64).reshape(-1, size)
-                asked = row.column("query_vectors").flatten().to_numpy().astype(np.float64).reshape(-1, size)
-                yield from _emit(row.column("keys").flatten(), asked, vectors, ids, indices, k, key)
-
-    best = Window.partitionBy(key).orderBy(F.desc("similarity"), "article_id")
+                numbers = row.column("numbers").flatten()
+                if running is None or running[0] != numbers[0].as_py():
+                    if running is not None:
+                        yield _finished(running, partial)
+                    running = (numbers[0].as_py(), row.column("keys").flatten(), numbers.to_numpy(), None, matrix(row, "query_vectors"))
+                found = _block_lists(running[4], matrix(row, "item_vectors"), row.column("ids").flatten().to_numpy(), row.column("indices").flatten().to_numpy(), k)
+                running = (*running[:3], _merged(running[3], found, k), running[4])
+        if running is not None:
+            yield _finished(running, partial)
+
+    best = Window.partitionBy("_query").orderBy(F.desc("similarity"), "article_id")
     return (
-        meetings.mapInArrow(meet, schema)
+        meetings.mapInArrow(meet, partial)
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)
         .select(*schema.names)
     )
 
 
+def _block_lists(vectors: np.ndarray, items: np.ndarray, ids: np.ndarray, indices: np.ndarray, k: int) -> np.ndarray:
+    """Rows (query row, article, index, score) of the k best of each query in one block of items."""
+    parts = []
+    step = max(1, _SCORES_AT_ONCE // max(1, items.shape[0]))
+    for at in range(0, vectors.shape[0], step):
+        rows, positions, scores, _ = _best(vectors[at : at + step], items, ids, k)
+        parts.append(_lists_of(rows + at, ids[positions], indices[positions], scores))
+    return np.concatenate(parts)
+
+
+_LIST = np.dtype([("row", np.int64), ("id", np.int64), ("index", np.int64), ("score", np.float64)])
+
+
+def _lists_of(rows, ids, indices, scores) -> np.ndarray:
+    out = np.empty(len(rows), _LIST)
+    out["row"], out["id"], out["index"], out["score"] = rows, ids, indices, scores
+    return out
+
+
+def _merged(held: np.ndarray | None, found: np.ndarray, k: int) -> np.ndarray:
+    """The k best of two sets of lists, ties by article."""
+    if held is None:
+        return found
+    both = np.concatenate([held, found])
+    both = both[np.lexsort((both["id"], -both["score"], both["row"]))]
+    first = np.searchsorted(both["row"], both["row"])
+    return both[np.arange(len(both)) - first < k]
+
+
+def _finished(running, schema: T.StructType) -> pa.RecordBatch:
+    _, keys, numbers, lists, _ = running
+    columns = [
+        keys.take(pa.array(lists["row"])),
+        pa.nulls(len(lists), pa.int32()),
+        pa.array(lists["id"]),
+        pa.array(lists["index"]),
+        pa.array(lists["score"]),
+        pa.array(numbers[lists["row"]]),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+
 def self_retrieval(items: DataFrame, k: int = TOP_K) -> DataFrame:
     """Search with every item's own vector: does it come back first, with score 1?"""
     lists = top_k(items.select(F.col("article_id").alias("query_id"), "embedding"), items, k, "query_id")
@@ -213,8 +278,12 @@ def self_retrieval(items: DataFrame, k: int = TOP_K) -> DataFrame:
     )
 
 
-def invalid_queries(queries: DataFrame, size: int, tolerance: float = QUERY_NORM_TOLERANCE) -> DataFrame:
-    """Query rows a search must refuse: wrong length, not finite, or not of length 1."""
+def is_searchable(size: int, tolerance: float = QUERY_NORM_TOLERANCE) -> Column:
+    """Whether ``embedding`` can be searched with: right length, finite, and of length 1."""
     v = F.col("embedding")
-    fine = (F.size(v) == size) & is_finite(v) & is_unit(v, tolerance)
-    return queries.filter(~F.coalesce(fine, F.lit(False)))
+    return F.coalesce((F.size(v) == size) & is_finite(v) & is_unit(v, tolerance), F.lit(False))
+
+
+def invalid_queries(queries: DataFrame, size: int, tolerance: float = QUERY_NORM_TOLERANCE) -> DataFrame:
+    """Query rows a search must refuse."""
+    return queries.filter(~is_searchable(size, tolerance))

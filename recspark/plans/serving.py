@@ -11,9 +11,8 @@ from recspark.operators import encode, evaluate, features, indexing, quality, re
 from recspark.session import freeze, side_by_side
 from recspark.sources import artifacts, retail
 
-# A query table below this many rows sits in too few files to keep all cores
-# busy with matrix products, and costs next to nothing to spread out.
-_SPREAD_BELOW = 10_000_000
+# Rows of a query table per task, so that all cores are busy with matrix products.
+_ROWS_PER_TASK = 1_000_000
 
 
 class Lookup(NamedTuple):
@@ -28,15 +27,40 @@ def user_context_lookup(raw_transactions: DataFrame) -> Lookup:
     return Lookup(index.table.select(*artifacts.USER_CONTEXT), index.size)
 
 
+def context_lookups(raw_transactions: DataFrame) -> tuple[Lookup, Lookup]:
+    """Both contexts from one scan: readable prices are folded into one stored row per customer and article.
+
+    A row without a customer still counts for its article, and the other way round.
+    """
+    customers = retail.priced_rows(raw_transactions, "customer_id", "article_id")
+    pairs = freeze(customers.groupBy("customer_id", "article_id").agg(F.count("*").alias("n"), F.sum("price").alias("total")), "priced-pairs")
+
+    def lookup(key: str, prefix: str, index: str, columns: tuple[str, ...]) -> Lookup:
+        sums = pairs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("_n"), F.sum("total").alias("_total"))
+        context = sums.select(
+            key, F.col("_n").alias(f"{prefix}_total_purchases"), (F.col("_total") / F.col("_n")).alias(f"{prefix}_avg_price")
+        )
+        made = indexing.dense_index(context, [key], index, f"{prefix}-context")
+        return Lookup(made.table.select(*columns), made.size)
+
+    return tuple(
+        side_by_side(
+            raw_transactions.sparkSession,
+            lambda: lookup("customer_id", "customer", "user_index", artifacts.USER_CONTEXT),
+            lambda: lookup("article_id", "item", "item_index", artifacts.ITEM_CONTEXT),
+        )
+    )
+
+
 def item_context_lookup(raw_transactions: DataFrame) -> Lookup:
     context = features.served_context(retail.priced_rows(raw_transactions, "article_id"), "article_id", "item")
     index = indexing.dense_index(context, ["article_id"], "item_index", "item-context")
     return Lookup(index.table.select(*artifacts.ITEM_CONTEXT), index.size)
 
 
-def tasks_for(spark: SparkSession, rows: int) -> int | None:
-    """How many tasks to spread a query table over; none when it is large enough by itself."""
-    return spark.sparkContext.defaultParallelism if rows < _SPREAD_BELOW else None
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks to spread a query table over: one per core, and more as rows grow."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // _ROWS_PER_TASK))
 
 
 def build_artifacts(
@@ -47,9 +71,7 @@ def build_artifacts(
     ``embeddings(size)`` gives the ``(index, embedding)`` table of the item tower.
     """
     spark = raw_transactions.sparkSession
-    users, items = side_by_side(
-        spark, lambda: user_context_lookup(raw_transactions), lambda: item_context_lookup(raw_transactions)
-    )
+    users, items = context_lookups(raw_transactions)
     artifacts.save_user_context(users.table, user_path)
     vectors = encode.encode_items(items.table, embeddings(items.size), weights)
     artifacts.save_item_embeddings(vectors, item_path)
@@ -72,8 +94,8 @@ class Recommender(NamedTuple):
     weights: DataFrame
     value_type: str
 
-    def recommend(self, customers: DataFrame, k: int = retrieve.TOP_K) -> DataFrame:
-        """Ranked lists for the customers that are known; ``customers`` names each once."""
+    def query_vectors(self, customers: DataFrame) -> DataFrame:
+        """``(customer_id, embedding)`` of the customers that are known; ``customers`` names each once."""
         vectors = encode.encode_customers(
             customers,
             self.users.table,
@@ -82,7 +104,14 @@ class Recommender(NamedTuple):
             self.value_type,
             tasks_for(customers.sparkSession, self.users.size),
         )
-        return retrieve.top_k(vectors.select("customer_id", "embedding"), self.items, k)
+        return vectors.select("customer_id", "embedding")
+
+    def recommend(self, customers: DataFrame, k: int = retrieve.TOP_K) -> DataFrame:
+        """Ranked lists for the known customers; a vector that cannot be searched with ends the job."""
+        fine = retrieve.is_searchable(encode.EMBEDDING_DIM)
+        refused = F.raise_error(F.lit("query vectors must be finite and of length 1")).cast("boolean")
+        vectors = self.query_vectors(customers).filter(F.when(fine, True).otherwise(refused))
+        return retrieve.top_k(vectors, self.items, k)
 
     def recommend_all(self, k: int = retrieve.TOP_K) -> DataFrame:
         return self.recommend(self.users.table.select("customer_id"), k)
@@ -92,18 +121,18 @@ class Recommender(NamedTuple):
         checked = requests.check_requests(asked)
         key_type = self.users.table.schema["customer_id"].dataType.simpleString()
         wanted = requests.wanted_customers(checked).select(F.col("customer_id").try_cast(key_type).alias("customer_id"))
-        lists = self.recommend(wanted.filter(F.col("customer_id").isNotNull()).distinct(), retrieve.MAX_TOP_K)
-        named = lists.withColumn("customer_id", F.col("customer_id").cast("string"))
-        return requests.answer_requests(checked, named)
+        vectors = freeze(self.query_vectors(wanted.filter(F.col("customer_id").isNotNull()).distinct()), "asked")
+        fine = retrieve.is_searchable(encode.EMBEDDING_DIM)
+        lists = retrieve.top_k(vectors.filter(fine), self.items, retrieve.MAX_TOP_K)
+        as_text = F.col("customer_id").cast("string").alias("customer_id")
+        named = lists.withColumn("customer_id", as_text)
+        return requests.answer_requests(checked, named, vectors.filter(~fine).select(as_text))
 
 
 def build_recommender(raw_transactions: DataFrame, embeddings, weights: DataFrame, value_type: str = "float") -> Recommender:
     """Context and item vectors computed once and stored in the shared folder."""
-    users, items, weights = side_by_side(
-        raw_transactions.sparkSession,
-        lambda: user_context_lookup(raw_transactions),
-        lambda: item_context_lookup(raw_transactions),
-        lambda: freeze(weights, "weights"),
+    (users, items), weights = side_by_side(
+        raw_transactions.sparkSession, lambda: context_lookups(raw_transactions), lambda: freeze(weights, "weights")
     )
     vectors = encode.encode_items(
         items.table, embeddings(items.size), weights, True, value_type, tasks_for(weights.sparkSession, items.size)
@@ -115,6 +144,6 @@ def build_recommender(raw_transactions: DataFrame, embeddings, weights: DataFram
 def recall(recommender: Recommender, transactions: DataFrame, k: int = retrieve.TOP_K) -> DataFrame:
     """Recall at k against the last purchase each customer made in the test period."""
     _, _, test = split.split_parts(transactions, split.split_bounds(transactions))
-    truth = evaluate.held_out_item(test)
+    truth = freeze(evaluate.held_out_item(test), "truth")
     lists = recommender.recommend(truth.select("customer_id"), k)
     return evaluate.recall_at_k(lists, truth)

@@ -11,6 +11,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Adaptive execution merges partitions of a shuffle but splits none of a grouping, a range or a
+#: window, so shuffles start with many. For 100 TB, set it to about one per 256 MB of the largest shuffle.
+INITIAL_PARTITIONS = 2_000
 _STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -25,6 +28,7 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", INITIAL_PARTITIONS)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -27,8 +27,12 @@ CONTRACT = {
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text, named by the header line."""
-    return spark.read.option("header", True).csv(path)
+    """Every column as text, named by the header line.
+
+    A folder may hold several files. One whose header differs from the first one's, in
+    names or order, ends the job when it is read instead of being read by position.
+    """
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -57,13 +61,13 @@ def load_transactions(spark: SparkSession, data_dir: str) -> DataFrame:
     return load_table(spark, data_dir, "transactions").select(*CONTRACT["transactions"])
 
 
-def priced_rows(raw: DataFrame, key: str) -> DataFrame:
-    """``(key, price)`` of the rows whose key is present and whose price is a number.
+def priced_rows(raw: DataFrame, *keys: str) -> DataFrame:
+    """``(keys, price)`` of the rows where some key is present and whose price is a number.
 
-    For an article key the key itself must be a number too.
+    An article key must be a number too, else it counts as absent.
     """
-    key_col = F.col(key).try_cast("bigint") if key == "article_id" else F.col(key)
-    return raw.select(key_col.alias(key), to_number("price").alias("price")).na.drop()
+    named = [F.col(k).try_cast("bigint").alias(k) if k == "article_id" else F.col(k) for k in keys]
+    return raw.select(*named, to_number("price").alias("price")).na.drop(subset=["price"]).na.drop("all", subset=list(keys))
 
 
 def with_day(transactions: DataFrame) -> DataFrame:

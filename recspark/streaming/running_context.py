@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recspark.session import scratch_path
 
@@ -38,11 +39,40 @@ def start_running_context(purchases: DataFrame, key: str, table: str, checkpoint
     )
 
 
-def read_running_context(spark: SparkSession, table: str, key: str, prefix: str) -> DataFrame:
-    """Latest totals of each key as context columns."""
+def read_running_context(spark: SparkSession, table: str, key: T.StructField | str, prefix: str) -> DataFrame:
+    """Latest totals of each key as context columns; the key by name, or as a field where the table may be empty."""
     latest = F.max(F.struct("batch_id", "purchase_count", "price_sum")).alias("_last")
-    totals = spark.read.parquet(table).groupBy(key).agg(latest).select(key, "_last.*")
-    return _as_context(totals, key, prefix)
+    rows = _read_totals(spark, table, key)
+    name = key if isinstance(key, str) else key.name
+    return _as_context(rows.groupBy(name).agg(latest).select(name, "_last.*"), name, prefix)
+
+
+def _read_totals(spark: SparkSession, table: str, key: T.StructField | str) -> DataFrame:
+    """Every row written so far; a folder without any is an empty table if the key's type is given."""
+    if isinstance(key, str):
+        return spark.read.parquet(table)
+    schema = T.StructType(
+        [
+            key,
+            T.StructField("purchase_count", T.LongType()),
+            T.StructField("price_sum", T.DoubleType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
+    )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table)
+    there = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    return spark.read.schema(schema).parquet(table) if there else spark.createDataFrame([], schema)
+
+
+def compact_running_context(spark: SparkSession, table: str, key: T.StructField, target: str) -> None:
+    """Write the latest row of each key to ``target``, a table of the same layout with one batch folder.
+
+    The stream goes on writing to ``table`` meanwhile; a reader of the union of both takes the
+    latest batch of each key, so no row is lost or counted twice.
+    """
+    latest = F.max(F.struct("batch_id", "purchase_count", "price_sum")).alias("_last")
+    rows = _read_totals(spark, table, key).groupBy(key.name).agg(latest).select(key.name, "_last.*")
+    rows.write.mode("overwrite").partitionBy("batch_id").parquet(target)
 
 
 def _as_context(totals: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -58,7 +88,4 @@ def run_running_context(purchases: DataFrame, key: str, prefix: str) -> DataFram
     table = scratch_path(spark, f"stream-{prefix}")
     query = start_running_context(purchases, key, table, scratch_path(spark, f"stream-{prefix}-state"))
     query.awaitTermination()
-    if not query.recentProgress or not any(p["numInputRows"] for p in query.recentProgress):
-        nothing = spark.createDataFrame([], purchases.select(key, "price").schema)
-        return _as_context(running_totals(nothing, key), key, prefix)
-    return read_running_context(spark, table, key, prefix)
+    return read_running_context(spark, table, purchases.schema[key], prefix)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recspark.operators import encode, quality, requests, retrieve
 from recspark.sources import views
@@ -42,7 +43,7 @@ def _lists(df):
 @pytest.mark.parametrize("k", [1, 10, 100, 500])
 def test_equals_brute_force(data, k, broadcast_bytes, monkeypatch):
     asked, items, expected = data
-    monkeypatch.setattr(retrieve, "_ITEM_BLOCK", 64)
+    monkeypatch.setattr(retrieve, "_BLOCK_BYTES", 64 * (8 * 8 + 16))
     monkeypatch.setattr(retrieve, "_QUERY_BLOCK", 16)
     got = _lists(retrieve.top_k(asked, items, k, broadcast_bytes=broadcast_bytes))
     assert set(got) == set(expected)
@@ -114,7 +115,7 @@ def test_requests(spark):
     checked = requests.check_requests(asked)
     assert {r.customer_id for r in requests.wanted_customers(checked).collect()} == {"a", "nobody"}
     got = {r.request_id: r for r in requests.answer_requests(checked, lists).collect()}
-    assert {i: r.status for i, r in got.items()} == {1: 200, 2: 200, 3: 400, 4: 404, 5: 422, 6: 422, 7: 400, 8: 422}
+    assert {i: r.status for i, r in got.items()} == {1: 200, 2: 200, 3: 400, 4: 404, 5: 422, 6: 422, 7: 400, 8: 200}
     assert [x.article_id for x in got[1].recommendations] == [11, 12]
     assert len(got[2].recommendations) == 5 and got[4].recommendations is None and got[5].recommendations is None
 
@@ -130,7 +131,6 @@ def test_quality_checks_notice_faults(spark):
     twice = index.unionByName(index.filter("article_id = 9"))
     assert outcome(quality.same_rows(index, twice, "same")) == {"same": False}
     assert outcome(quality.same_rows(index, index.orderBy("item_index"), "same")) == {"same": True}
-    assert outcome(quality.row_count_is(index, 3, "count")) == {"count": True}
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0]), (9, [float("nan"), 1.0])], "article_id bigint, embedding array<double>")
     stored = vectors.filter("article_id < 9")
     assert outcome(quality.embedding_contract(vectors, index, stored, "article_id", 2)) == {
@@ -147,3 +147,50 @@ def test_quality_checks_notice_faults(spark):
     assert quality.verdict(checks).first().failed_checks == 1
     with pytest.raises(RuntimeError, match="distinct"):
         quality.require(checks)
+    many = spark.range(150).select(F.concat(F.lit("check "), "id").alias("check_name"), F.lit(False).alias("passed"))
+    with pytest.raises(RuntimeError, match=r"^150 check\(s\) failed.*check 149.*check 99$"):
+        quality.require(many)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [retrieve.BROADCAST_BYTES, 0])
+def test_every_query_row_has_its_own_list(spark, data, broadcast_bytes):
+    asked, items, _ = data
+    rows = asked.limit(4).collect()
+    repeated = [("u", rows[0].embedding), ("u", rows[1].embedding), (None, rows[2].embedding), (None, rows[3].embedding), ("u", rows[0].embedding)]
+    df = spark.createDataFrame(repeated, "customer_id string, embedding array<float>")
+    got = retrieve.top_k(df, items, 3, broadcast_bytes=broadcast_bytes).collect()
+    assert len(got) == 15 and sum(r.customer_id is None for r in got) == 6
+
+
+@pytest.mark.parametrize("broadcast_bytes", [retrieve.BROADCAST_BYTES, 0])
+def test_vectors_that_are_not_finite_end_the_job(spark, data, broadcast_bytes):
+    asked, items, _ = data
+    bad = spark.createDataFrame([(5000, 200, [float("nan")] + [0.0] * 7)], SCHEMA)
+    with pytest.raises(Exception, match="finite"):
+        retrieve.top_k(asked, items.union(bad), 3, broadcast_bytes=broadcast_bytes).collect()
+
+
+def test_copies_in_block_search_grow_with_the_root_of_the_tasks(spark, data, monkeypatch):
+    asked, items, _ = data
+    assert retrieve.grid_of(100, 1000) == (10, 10) and retrieve.grid_of(100, 3) == (34, 3) and retrieve.grid_of(7, 1) == (7, 1)
+    monkeypatch.setattr(retrieve, "_BLOCK_BYTES", 10 * (8 * 8 + 16))
+    counted = spark.sparkContext.accumulator(0)
+    finished = retrieve._finished
+
+    def count(running, schema):
+        out = finished(running, schema)
+        counted.add(out.num_rows)
+        return out
+
+    monkeypatch.setattr(retrieve, "_finished", count)
+    retrieve.top_k(asked.coalesce(1), items, 5, broadcast_bytes=0).collect()
+    across = retrieve.grid_of(8, 20)[1]
+    assert 0 < counted.value <= asked.count() * 5 * across
+
+
+def test_refused_vectors_are_answered_with_400(spark):
+    asked = spark.createDataFrame([(1, "a", 2), (2, "b", 2)], "request_id bigint, customer_id string, top_k int")
+    lists = spark.createDataFrame([("a", 1, 10, 0, 0.5)], "customer_id string, rank int, article_id bigint, item_index bigint, similarity double")
+    refused = spark.createDataFrame([("b",)], "customer_id string")
+    got = requests.answer_requests(requests.check_requests(asked), lists, refused).collect()
+    assert {r.request_id: r.status for r in got} == {1: 200, 2: 400}
