@@ -7,8 +7,18 @@
     python -m recspark context   DATA OUT     serving context of customers and articles
     python -m recspark recommend DATA OUT     fitted vectors and top-k lists of all customers
     python -m recspark evaluate  DATA OUT     recall on the test period
+    python -m recspark artifacts DATA OUT     user context and item vectors through the towers (--weights, --vectors)
 
-Every result is a Parquet table in a folder of OUT.
+Jobs over Parquet tables:
+
+    python -m recspark answer    DATA OUT     lists for the requests in DATA (--model: OUT of artifacts; --weights, --vectors)
+    python -m recspark store     DATA OUT     ranked lists in DATA as entries that expire
+    python -m recspark fetch     DATA OUT     unexpired entries of the store DATA for the customers in --asked
+    python -m recspark validate  DATA OUT     checks of the artifacts in DATA; ends with an error if one fails
+    python -m recspark compact   DATA OUT     running context DATA with one row per key (--key, --key-type)
+
+``--weights`` is a weights table, ``--vectors`` a table of (index, embedding). Every result is a
+Parquet table in a folder of OUT.
 """
 
 from __future__ import annotations
@@ -16,25 +26,24 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recspark.operators import assemble, batches, clean, features, retrieve
+from recspark.operators import assemble, batches, clean, encode, features, quality, retrieve
 from recspark.plans import fitted, serving, training
-from recspark.session import build_session
-from recspark.sources import retail
+from recspark.session import build_session, freeze
+from recspark.sources import artifacts, retail, store
+from recspark.streaming import running_context
 
 
 def clean_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
-    articles, customers, transactions = clean.clean_datasets(*retail.load_datasets(spark, data))
-    return {
-        "articles": articles,
-        "customers": customers,
-        "transactions": transactions,
-        "statistics": clean.dataset_statistics(articles, customers, transactions),
-    }
+    names = ("articles", "customers", "transactions")
+    for name, table in zip(names, clean.clean_datasets(*retail.load_datasets(spark, data)), strict=True):
+        table.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    return {"statistics": clean.dataset_statistics(*(spark.read.parquet(f"{args.out}/{name}") for name in names))}
 
 
 def features_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
-    tx = retail.load_transactions(spark, data)
+    tx = freeze(retail.load_transactions(spark, data), "transactions")  # the text is parsed once for all features
     return {
         fn.__name__: fn(tx)
         for fn in (
@@ -69,10 +78,8 @@ def batches_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dic
 
 def context_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
     raw = retail.load_table(spark, data, "transactions", raw=True)
-    return {
-        "user_context": serving.user_context_lookup(raw).table,
-        "item_context": serving.item_context_lookup(raw).table,
-    }
+    users, items = serving.context_lookups(raw)
+    return {"user_context": users.table, "item_context": items.table}
 
 
 def recommend_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
@@ -88,6 +95,59 @@ def evaluate_job(spark: SparkSession, data: str, args: argparse.Namespace) -> di
     return {"recall": fitted.fitted_recall(retail.load_transactions(spark, data), args.top_k)}
 
 
+def artifacts_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    raw = retail.load_table(spark, data, "transactions", raw=True)
+    vectors, weights = spark.read.parquet(args.vectors), artifacts.load_model_weights(spark, args.weights)
+    serving.build_artifacts(
+        raw, f"{args.out}/user_context", f"{args.out}/item_embeddings", lambda size: vectors.filter(F.col("index") < size), weights
+    )
+    return {}
+
+
+def _stored_recommender(spark: SparkSession, args: argparse.Namespace) -> serving.Recommender:
+    users = artifacts.load_user_context(spark, f"{args.model}/user_context")
+    items = artifacts.load_item_embeddings(spark, f"{args.model}/item_embeddings", encode.EMBEDDING_DIM)
+    weights = artifacts.load_model_weights(spark, args.weights)
+    return serving.Recommender(serving.Lookup(users, users.count()), items, spark.read.parquet(args.vectors), weights, "float")
+
+
+def answer_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    return {"answers": _stored_recommender(spark, args).answer(spark.read.parquet(data))}
+
+
+def store_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    entry = F.struct("rank", "item_index")
+    lists = spark.read.parquet(data).groupBy("customer_id").agg(F.sort_array(F.collect_list(entry))["item_index"].alias("items"))
+    return {"store": store.store_recommendations(lists.withColumn("created_at", F.current_timestamp()), args.ttl)}
+
+
+def fetch_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    asked = spark.read.parquet(args.asked).select("customer_id")
+    kind = asked.schema["customer_id"].dataType.simpleString()
+    return {"lists": store.get_recommendations(spark.read.parquet(data), asked, F.current_timestamp(), kind)}
+
+
+def validate_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    users = artifacts.load_user_context(spark, f"{data}/user_context")
+    items = artifacts.load_item_embeddings(spark, f"{data}/item_embeddings")
+    own = items.select("article_id", "item_index")
+    checks = (
+        quality.context_quality(users, "customer_total_purchases", "customer_avg_price")
+        .unionByName(quality.index_is_sequential(users, "user_index", "user indices are sequential"))
+        .unionByName(quality.keys_follow_index(users, "customer_id", "user_index", "customer keys are sorted"))
+        .unionByName(quality.index_is_sequential(own, "item_index", "item indices are sequential"))
+        .unionByName(quality.keys_follow_index(own, "article_id", "item_index", "article keys are sorted"))
+    )
+    quality.require(checks)
+    return {"checks": checks}
+
+
+def compact_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    key = spark.createDataFrame([], f"{args.key} {args.key_type}").schema[args.key]
+    running_context.compact_running_context(spark, data, key, f"{args.out}/context")
+    return {}
+
+
 JOBS = {
     "clean": clean_job,
     "features": features_job,
@@ -96,6 +156,12 @@ JOBS = {
     "context": context_job,
     "recommend": recommend_job,
     "evaluate": evaluate_job,
+    "artifacts": artifacts_job,
+    "answer": answer_job,
+    "store": store_job,
+    "fetch": fetch_job,
+    "validate": validate_job,
+    "compact": compact_job,
 }
 
 
@@ -108,6 +174,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     parser.add_argument("--ratio", type=float, default=1)
     parser.add_argument("--batch-size", type=int, default=batches.BATCH_SIZE)
     parser.add_argument("--top-k", type=int, default=retrieve.TOP_K)
+    for name in ("--weights", "--vectors", "--model", "--asked"):
+        parser.add_argument(name)
+    parser.add_argument("--ttl", type=int, default=store.DEFAULT_TTL)
+    parser.add_argument("--key", default="customer_id")
+    parser.add_argument("--key-type", default="string")
     args = parser.parse_args(argv)
     for name, table in JOBS[args.job](spark, args.data, args).items():
         table.write.mode("overwrite").parquet(f"{args.out}/{name}")

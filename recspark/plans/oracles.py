@@ -203,7 +203,7 @@ _CTES = {
     "lookups": "SELECT event_id, user_id * 20 AS customer_id FROM events",
     "asked": """
       SELECT event_id AS request_id, CASE WHEN event_type = 'error' THEN '' ELSE CAST(user_id * 20 AS VARCHAR) END
-        AS customer_id, CAST(floor(value) AS INTEGER) AS top_k FROM events""",
+        AS customer_id, coalesce(CASE WHEN event_type <> 'signup' THEN CAST(floor(value) AS INTEGER) END, 10) AS top_k FROM events""",
     "checked": """
       SELECT a.*, CASE WHEN top_k < 1 OR top_k > 100 THEN 422 WHEN a.customer_id = '' THEN 400
         WHEN u.customer_id IS NULL THEN 404 ELSE 200 END AS status
@@ -237,6 +237,26 @@ _CTES = {
         (SELECT article_id, item_index FROM items EXCEPT ALL SELECT article_id, item_index FROM served_items)
         UNION ALL
         (SELECT article_id, item_index FROM served_items EXCEPT ALL SELECT article_id, item_index FROM items))""",
+    "damaged_users": """
+      SELECT customer_id, CASE user_index WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE user_index END AS user_index
+      FROM users WHERE user_index != 3""",
+    "damaged_index_checks": """
+      SELECT 'user indices are sequential' AS check_name,
+        min(user_index) = 0 AND max(user_index) = count(*) - 1 AND count(DISTINCT user_index) = count(*) AS passed FROM damaged_users
+      UNION ALL SELECT 'customer keys are sorted', count(*) FILTER (a.customer_id >= b.customer_id) = 0
+        FROM damaged_users a JOIN damaged_users b ON b.user_index = a.user_index + 1
+      UNION ALL SELECT 'item indices are sequential',
+        min(item_index) = 0 AND max(item_index) = count(*) - 1 AND count(DISTINCT item_index) = count(*) FROM items
+      UNION ALL SELECT 'article keys are sorted', count(*) FILTER (a.article_id >= b.article_id) = 0
+        FROM items a JOIN items b ON b.item_index = a.item_index + 1
+      UNION ALL SELECT 'item mappings are identical', count(*) <= 5 FROM items""",
+    "damaged_context_checks": """
+      SELECT 'purchase counts are positive' AS check_name, count(*) FILTER (user_index % 11 = 0) = 0 AS passed FROM raw_served_users
+      UNION ALL SELECT 'average prices are finite', count(*) FILTER (isfinite(customer_avg_price)) = count(*)
+      FROM raw_served_users""",
+    "damaged_lists": """
+      SELECT customer_id, article_id % 7 AS article_id FROM transactions
+      QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY t_dat, article_id, price) <= 10""",
     "context_checks": """
       SELECT 'purchase counts are positive' AS check_name, count(*) FILTER (customer_total_purchases > 0) = count(*) AS passed
       FROM raw_served_users
@@ -337,8 +357,8 @@ _QUERIES = {
       SELECT * REPLACE ({_round("customer_avg_price")} AS customer_avg_price) FROM raw_served_users""",
     "item_context_lookup": f"SELECT * REPLACE ({_round('item_avg_price')} AS item_avg_price) FROM raw_served_items",
     "user_context_vector": """
-      SELECT customer_id, user_index, CAST(0 AS INTEGER) AS component, customer_total_purchases AS value FROM served_users
-      UNION ALL SELECT customer_id, user_index, CAST(1 AS INTEGER), CAST(round(CAST(CAST(customer_avg_price AS FLOAT) AS DOUBLE)) AS BIGINT)
+      SELECT customer_id, user_index, CAST(0 AS INTEGER) AS component, CAST(customer_total_purchases AS DOUBLE) AS value FROM served_users
+      UNION ALL SELECT customer_id, user_index, CAST(1 AS INTEGER), round(CAST(CAST(customer_avg_price AS FLOAT) AS DOUBLE), 2)
       FROM served_users""",
     "user_mapping": "SELECT * FROM users",
     "item_mapping": "SELECT * FROM items",
@@ -367,6 +387,36 @@ _QUERIES = {
         SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY {_PAIR_HASH}, article_id) AS rn FROM negatives)
       JOIN (SELECT customer_id, count(*) AS positive_count FROM positives GROUP BY 1) USING (customer_id)
       WHERE rn <= positive_count * 0.5""",
+    "negative_interactions_xxhash64": """
+      SELECT customer_id, count(*) AS positives, true AS no_more_negatives, CAST(0 AS BIGINT) AS overlap, CAST(0 AS BIGINT) AS repeated
+      FROM positives GROUP BY 1""",
+    "als_embeddings": """
+      SELECT 'user' AS side, user_index AS index, CAST(64 AS INTEGER) AS size, true AS finite, true AS unit FROM users
+      UNION ALL SELECT 'item', item_index, CAST(64 AS INTEGER), true, true FROM items""",
+    "context_ranker_loss": "SELECT count(*) AS example_count, true AS better_than_even FROM model_rows",
+    "fitted_recall": """
+      SELECT count(DISTINCT customer_id) AS user_count, true AS hits_are_customers, true AS recall_is_their_share
+      FROM split_rows WHERE split = 'test'""",
+    "item_topk_float": """
+      SELECT article_id AS query_id, true AS unit, true AS finds_itself, CAST(10 AS BIGINT) AS result_count FROM items""",
+    "scan_transactions_csv": "SELECT * FROM transactions",
+    "damaged_index_quality": """SELECT * FROM damaged_index_checks""",
+    "damaged_embedding_contract": """
+      SELECT unnest(['embedding count matches mapping', 'stored count matches', 'vector size matches', 'vectors are finite',
+                     'vectors have unit length', 'stored vectors match']) AS check_name,
+             unnest([true, true, true, true, doubled = 0, false]) AS passed
+      FROM (SELECT count(*) FILTER (vec_id % 7 = 3) AS doubled FROM embeddings)""",
+    "damaged_context_quality": "SELECT * FROM damaged_context_checks",
+    "damaged_recommendation_quality": """
+      SELECT 'some list was produced' AS check_name, count(*) > 0 AS passed FROM damaged_lists
+      UNION ALL SELECT 'every list has the expected length', bool_and(n = 10)
+        FROM (SELECT count(*) AS n FROM damaged_lists GROUP BY customer_id)
+      UNION ALL SELECT 'articles of a list are distinct', bool_and(n = u)
+        FROM (SELECT count(*) AS n, count(DISTINCT article_id) AS u FROM damaged_lists GROUP BY customer_id)
+      UNION ALL SELECT 'scores are finite', true""",
+    "damaged_verdict": """
+      SELECT bool_and(passed) AS passed, count(*) FILTER (NOT passed) AS failed_checks
+      FROM (SELECT * FROM damaged_index_checks UNION ALL SELECT * FROM damaged_context_checks)""",
     "training_interactions": "SELECT * FROM interactions",
     "label_distribution": "SELECT label, count(*) AS row_count FROM interactions GROUP BY 1",
     "two_tower_training": "SELECT * FROM indexed_interactions",

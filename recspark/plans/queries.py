@@ -7,13 +7,15 @@ digits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recspark.functions import vectors as vec
 from recspark.functions.hashing import MD5
+from recspark.functions.vectors import is_finite, is_unit
 from recspark.operators import (
     assemble,
     batches,
@@ -28,7 +30,7 @@ from recspark.operators import (
     split,
 )
 from recspark.plans import fitted, serving, training
-from recspark.session import freeze, side_by_side
+from recspark.session import freeze, scratch_path, side_by_side
 from recspark.sources import artifacts, retail, store, views
 from recspark.streaming import running_context
 
@@ -231,7 +233,7 @@ def user_context_vector(spark, sf):
     lookup = serving.user_context_lookup(views.transactions(spark, sf)).table
     vectors = artifacts.context_vector(lookup, *_USER_CONTEXT)
     long = vectors.select("customer_id", "user_index", F.posexplode("context").alias("component", "value"))
-    return long.withColumn("value", F.round(F.col("value").cast("double")).cast("bigint"))
+    return long.withColumn("value", F.round(F.col("value").cast("double"), 2))
 
 
 # indices and joins
@@ -327,8 +329,18 @@ def negative_interactions(spark, sf):
 
 @_query
 def negative_interactions_xxhash64(spark, sf):
-    """The default hash, which SQL engines cannot recompute."""
-    return sampling.negative_interactions(views.transactions(spark, sf))
+    """The default hash, which SQL engines cannot recompute: per customer what must hold whatever it is."""
+    tx = views.transactions(spark, sf)
+    bought = sampling.positive_interactions(tx).select("customer_id", "article_id")
+    drawn = sampling.negative_interactions(tx).select("customer_id", "article_id")
+    both = bought.withColumn("side", F.lit(1)).unionByName(drawn.withColumn("side", F.lit(2)))
+    pairs = both.groupBy("customer_id", "article_id").agg(F.count_if(F.col("side") == 1).alias("p"), F.count_if(F.col("side") == 2).alias("n"))
+    return pairs.groupBy("customer_id").agg(
+        F.sum("p").alias("positives"),
+        (F.sum("n") <= F.sum("p")).alias("no_more_negatives"),
+        F.count_if((F.col("p") > 0) & (F.col("n") > 0)).alias("overlap"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+    )
 
 
 @_query
@@ -433,10 +445,10 @@ def encode_users(spark, sf):
     return _components(out, "customer_id", "user_index")
 
 
-def _encode_items(spark, sf, use_context):
+def _encode_items(spark, sf, use_context, value_type="double"):
     items = serving.item_context_lookup(views.transactions(spark, sf))
     embeddings = views.index_embeddings(spark, sf, items.size)
-    return encode.encode_items(items.table, embeddings, views.formula_weights(spark), use_context, "double")
+    return encode.encode_items(items.table, embeddings, views.formula_weights(spark), use_context, value_type)
 
 
 @_query
@@ -529,7 +541,8 @@ def _asked(spark, sf):
     return views.table(spark, sf, "events").select(
         F.col("event_id").alias("request_id"),
         F.when(F.col("event_type") == "error", "   ").otherwise(customer).alias("customer_id"),
-        F.floor("value").cast("int").alias("top_k"),
+        # a signup asks for no length of its own
+        F.when(F.col("event_type") != "signup", F.floor("value").cast("int")).alias("top_k"),
     )
 
 
@@ -611,18 +624,88 @@ def quality_verdict(spark, sf):
     return quality.verdict(index_quality(spark, sf).unionByName(context_quality(spark, sf)))
 
 
+def _damaged_index(index: DataFrame, key: str, name: str) -> DataFrame:
+    """Index 3 is missing, and the keys at 0 and 1 have changed places."""
+    swapped = F.when(F.col(name) == 0, 1).when(F.col(name) == 1, 0).otherwise(F.col(name)).cast("bigint")
+    return index.filter(F.col(name) != 3).select(key, swapped.alias(name))
+
+
+@_query
+def damaged_index_quality(spark, sf):
+    """The index checks on damaged user indices, sound item indices, and a copy of them that lacks a row."""
+    tx = views.transactions(spark, sf)
+    items = indexing.item_mapping(tx).table.select("article_id", "item_index")
+    users = _damaged_index(indexing.user_mapping(tx).table, "customer_id", "user_index")
+    return quality.index_quality(users, items, items.filter("item_index != 5"))
+
+
+@_query
+def damaged_embedding_contract(spark, sf):
+    """The given vectors, every seventh doubled and the first without a copy; the copy has an extra row."""
+    vectors = views.table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "embedding")
+    doubled = F.transform("embedding", lambda x: x * 2)
+    made = vectors.withColumn("embedding", F.when(F.col("article_id") % 7 == 3, doubled).otherwise(F.col("embedding")))
+    stored = vectors.filter("article_id > 0").unionByName(vectors.filter("article_id = 1"))
+    return quality.embedding_contract(made, vectors.select("article_id"), stored, "article_id", _DIM)
+
+
+@_query
+def damaged_context_quality(spark, sf):
+    """Served contexts where one customer in eleven counts no purchase."""
+    users = serving.user_context_lookup(views.raw_transactions(spark, sf)).table
+    total, average = _USER_CONTEXT
+    bad = F.when(F.col("user_index") % 11 == 0, 0).otherwise(F.col(total))
+    return quality.context_quality(users.withColumn(total, bad), total, average)
+
+
+@_query
+def damaged_recommendation_quality(spark, sf):
+    """Lists of purchased articles, up to ten of them, some of which repeat."""
+    tx = views.transactions(spark, sf)
+    place = Window.partitionBy("customer_id").orderBy("t_dat", "article_id", "price")
+    lists = tx.withColumn("rank", F.row_number().over(place)).filter("rank <= 10")
+    lists = lists.select("customer_id", F.pmod("article_id", F.lit(7)).alias("article_id"), F.lit(0.5).alias("similarity"))
+    return quality.recommendation_quality(lists, retrieve.TOP_K)
+
+
+@_query
+def damaged_verdict(spark, sf):
+    return quality.verdict(damaged_index_quality(spark, sf).unionByName(damaged_context_quality(spark, sf)))
+
+
+@_query
+def scan_transactions_csv(spark, sf):
+    """The purchases written as CSV by several tasks and read back by name."""
+    folder = f"{scratch_path(spark, 'csv')}/{retail.FILES['transactions']}"
+    tx = views.transactions(spark, sf).select(*retail.CONTRACT["transactions"])
+    tx.repartition(3).write.option("header", True).csv(folder)
+    read = retail.conform(retail.read_csv(spark, folder), "transactions")
+    return read.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
 # streaming
 
 
+def _in_files(spark, sf, name: str, files: int = 4):
+    """A folder with the table's rows in several files, so that a stream takes several micro-batches."""
+    folder = f"{scratch_path(spark, 'stream-input')}"
+    views.table(spark, sf, name).repartition(files).write.parquet(f"{folder}/{name}.parquet")
+    return f"{folder}/{name}.parquet"
+
+
 @_query
 def stream_user_context(spark, sf):
-    context = running_context.run_running_context(views.purchase_stream(spark, sf), "customer_id", "customer")
+    context = running_context.run_running_context(
+        views.purchase_stream(spark, sf, _in_files(spark, sf, "events")), "customer_id", "customer"
+    )
     return _round(context, "customer_avg_price")
 
 
 @_query
 def stream_item_context(spark, sf):
-    context = running_context.run_running_context(views.transaction_stream(spark, sf), "article_id", "item")
+    context = running_context.run_running_context(
+        views.transaction_stream(spark, sf, _in_files(spark, sf, "lineitem")), "article_id", "item"
+    )
     return _round(context, "item_avg_price")
 
 
@@ -638,26 +721,44 @@ def _factors(spark, sf):
 
 @_query
 def als_embeddings(spark, sf):
-    """Fitted vectors of both sides."""
+    """What must hold for the fitted vector of every key of both sides."""
     factors = _factors(spark, sf)
-    users = factors.users.select(F.lit("user").alias("side"), F.col("user_index").alias("index"), "embedding")
-    items = factors.items.select(F.lit("item").alias("side"), F.col("item_index").alias("index"), "embedding")
+    v = F.col("embedding")
+    facts = [F.size(v).alias("size"), is_finite(v).alias("finite"), is_unit(v, 1e-4).alias("unit")]
+    users = factors.users.select(F.lit("user").alias("side"), F.col("user_index").alias("index"), *facts)
+    items = factors.items.select(F.lit("item").alias("side"), F.col("item_index").alias("index"), *facts)
     return users.unionByName(items)
 
 
 @_query
 def context_ranker_loss(spark, sf):
-    """Loss of the fitted context-aware score on its training set."""
+    """Whether the fitted context-aware score beats an even guess on its training set."""
     factors = _factors(spark, sf)
     data = training.training_features(views.transactions(spark, sf), method=MD5)
     examples = freeze(encode.score_pairs(data, factors.users, factors.items), "ranker-examples")
-    return fit.mean_loss(fit.fit_context_ranker(examples)(examples))
+    loss = fit.mean_loss(fit.fit_context_ranker(examples)(examples))
+    return loss.select("example_count", (F.col("mean_loss") < math.log(2)).alias("better_than_even"))
 
 
 @_query
 def fitted_recall(spark, sf):
-    """Fit on the train period, recommend, and compare with the test period."""
-    return fitted.fitted_recall(views.transactions(spark, sf))
+    """Fit on the train period, recommend, and compare with the test period: what must hold of the outcome."""
+    found = fitted.fitted_recall(views.transactions(spark, sf))
+    return found.select(
+        "user_count",
+        F.col("hit_count").between(0, F.col("user_count")).alias("hits_are_customers"),
+        (F.abs(F.col("recall") - F.col("hit_count") / F.col("user_count")) < 1e-9).alias("recall_is_their_share"),
+    )
+
+
+@_query
+def item_topk_float(spark, sf):
+    """The search over vectors of the float tower path: length of each vector and rank of its own article."""
+    vectors = freeze(_encode_items(spark, sf, True, "float"), "float-vectors")
+    own = retrieve.self_retrieval(vectors.select("article_id", "item_index", "embedding"))
+    near = vectors.select(F.col("article_id").alias("query_id"), is_unit(F.col("embedding"), 1e-5).alias("unit"))
+    close = F.abs(F.col("best_similarity") - 1) < 1e-5
+    return own.join(near, "query_id").select("query_id", "unit", close.alias("finds_itself"), "result_count")
 
 
 def queries() -> dict[str, Query]:

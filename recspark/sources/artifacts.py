@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recspark.functions.vectors import is_finite, is_unit
+
 USER_CONTEXT = ("customer_id", "user_index", "customer_total_purchases", "customer_avg_price")
 ITEM_CONTEXT = ("article_id", "item_index", "item_total_purchases", "item_avg_price")
 ITEM_EMBEDDINGS = ("article_id", "item_index", "embedding")
+NORM_TOLERANCE = 1e-4
 WEIGHTS = ("tower", "layer", "out_unit", "w", "b")
 BATCHES = ("batch_id", "user_index", "item_index", "label")
 
@@ -41,8 +44,21 @@ def save_item_embeddings(df: DataFrame, path: str) -> None:
     _write(df, path, ITEM_EMBEDDINGS)
 
 
-def load_item_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, ITEM_EMBEDDINGS)
+def load_item_embeddings(spark: SparkSession, path: str, size: int | None = None) -> DataFrame:
+    """The stored vectors; ends with an error if one is not finite, not of length 1 or of another size than the rest.
+
+    ``size`` is the number of components they must have, by default that of the first one.
+    """
+    df = _read(spark, path, ITEM_EMBEDDINGS)
+    v = F.col("embedding")
+    found = df.agg(
+        F.count_if(~F.coalesce(is_finite(v) & is_unit(v, NORM_TOLERANCE), F.lit(False))).alias("bad"),
+        F.min(F.coalesce(F.size(v), F.lit(-1))).alias("least"),
+        F.max(F.size(v)).alias("most"),
+    ).first()
+    if found.bad or found.least != found.most or size not in (None, found.most):
+        raise ValueError(f"{path}: {found.bad} vectors are not finite or not of length 1; sizes {found.least} to {found.most}")
+    return df
 
 
 def save_model_weights(df: DataFrame, path: str) -> None:

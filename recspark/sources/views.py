@@ -109,27 +109,27 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(again)
 
 
-def purchase_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Purchase events as a stream of ``(customer_id, event_type, price)``."""
+def purchase_stream(spark: SparkSession, sf_dir: str, folder: str | None = None, files_per_trigger: int = 1) -> DataFrame:
+    """Purchase events as a stream of ``(customer_id, event_type, price)``, from a folder of event files if one is given."""
     schema = table(spark, sf_dir, "events").schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
+        .option("pathGlobFilter", "*.parquet" if folder else "events.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(sf_dir)
+        .parquet(folder or sf_dir)
         .filter(F.col("event_type") == "purchase")
         .select(F.col("user_id").alias("customer_id"), F.col("value").alias("price"))
     )
 
 
-def transaction_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Order lines as a stream of ``(article_id, price)``."""
+def transaction_stream(spark: SparkSession, sf_dir: str, folder: str | None = None, files_per_trigger: int = 1) -> DataFrame:
+    """Order lines as a stream of ``(article_id, price)``, from a folder of line files if one is given."""
     schema = table(spark, sf_dir, "lineitem").schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "lineitem.parquet")
+        .option("pathGlobFilter", "*.parquet" if folder else "lineitem.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(sf_dir)
+        .parquet(folder or sf_dir)
         .select(F.col("l_partkey").alias("article_id"), F.col("l_extendedprice").alias("price"))
     )
 

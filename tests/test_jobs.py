@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from recspark.__main__ import JOBS, run
+from recspark.__main__ import run
+from recspark.sources import artifacts, views
 
 TABLES = {
     "clean": {"articles", "customers", "transactions", "statistics"},
@@ -26,7 +28,7 @@ def csv_data(spark, tmp_path_factory, transactions):
     return str(folder)
 
 
-@pytest.mark.parametrize("job", sorted(JOBS))
+@pytest.mark.parametrize("job", sorted(TABLES))
 def test_job_writes_its_tables(spark, csv_data, tmp_path, job):
     run(spark, [job, csv_data, str(tmp_path)])
     for name in TABLES[job]:
@@ -37,3 +39,38 @@ def test_job_writes_its_tables(spark, csv_data, tmp_path, job):
     if job == "evaluate":
         recall = spark.read.parquet(f"{tmp_path}/recall").first()
         assert 0 <= recall.recall <= 1 and recall.user_count > 0
+
+
+def test_serving_jobs(spark, csv_data, tmp_path, sf_dir):
+    out, weights, vectors = str(tmp_path), str(tmp_path / "weights"), str(tmp_path / "vectors")
+    artifacts.save_model_weights(views.formula_weights(spark), weights)
+    assert sorted(map(str, artifacts.load_model_weights(spark, weights).collect())) == sorted(map(str, views.formula_weights(spark).collect()))
+    views.index_embeddings(spark, sf_dir, 100).write.parquet(vectors)
+    run(spark, ["artifacts", csv_data, out, "--weights", weights, "--vectors", vectors])
+    run(spark, ["validate", out, out])
+    assert spark.read.parquet(f"{out}/checks").filter("passed").count() == 6
+    asked = [(1, " c1 ", 3), (2, "c2", None), (3, "nobody", 3), (4, "", 3), (5, "c1", 0)]
+    spark.createDataFrame(asked, "request_id bigint, customer_id string, top_k int").write.parquet(f"{out}/requests")
+    run(spark, ["answer", f"{out}/requests", out, "--model", out, "--weights", weights, "--vectors", vectors])
+    answers = {r.request_id: r for r in spark.read.parquet(f"{out}/answers").collect()}
+    assert {i: r.status for i, r in answers.items()} == {1: 200, 2: 200, 3: 404, 4: 400, 5: 422}
+    assert len(answers[1].recommendations) == 3 and len(answers[2].recommendations) == 10
+    lists = spark.read.parquet(f"{out}/answers").filter("status = 200").select("customer_id", F.explode("recommendations").alias("r"))
+    lists.select("customer_id", "r.rank", "r.item_index").write.parquet(f"{out}/lists")
+    run(spark, ["store", f"{out}/lists", out])
+    spark.createDataFrame([("c1",), ("c5",)], "customer_id string").write.parquet(f"{out}/asked")
+    run(spark, ["fetch", f"{out}/store", f"{out}/fetched", "--asked", f"{out}/asked"])
+    fetched = {r.customer_id: r["items"] for r in spark.read.parquet(f"{out}/fetched/lists").collect()}
+    assert fetched == {"c1": [x.item_index for x in answers[1].recommendations], "c5": None}
+    # a damaged vector is refused when it is loaded
+    artifacts.save_item_embeddings(spark.read.parquet(f"{out}/item_embeddings").withColumn("embedding", F.transform("embedding", lambda x: x * 2)), f"{out}/bad/item_embeddings")
+    with pytest.raises(ValueError, match="length 1"):
+        artifacts.load_item_embeddings(spark, f"{out}/bad/item_embeddings")
+
+
+def test_compact_job(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 2, 3.0)], "customer_id string, purchase_count bigint, price_sum double")
+    for batch in range(3):
+        rows.write.parquet(f"{tmp_path}/t/batch_id={batch}")
+    run(spark, ["compact", f"{tmp_path}/t", str(tmp_path)])
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/context").collect()] == [("a", 2, 3.0, 2)]

@@ -113,3 +113,26 @@ def test_store_returns_latest_unexpired(spark):
 
     assert read(day + dt.timedelta(minutes=30)) == {5: [3, 4, 5], 6: None, 7: None}
     assert read(day + dt.timedelta(minutes=70)) == {5: None, 6: None, 7: None}
+
+
+def test_files_of_one_folder_must_agree_in_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t_dat,customer_id\n2020-01-01,c1\n")
+    (tmp_path / "b.csv").write_text("customer_id,t_dat\nc2,2020-01-02\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        retail.read_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("t_dat,customer_id\n2020-01-01,c1\n")
+    (tmp_path / "c" / "b.csv").write_text("t_dat\n2020-01-02\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        retail.read_csv(spark, str(tmp_path / "c")).collect()
+
+
+def test_one_scan_gives_both_contexts(spark, sf_dir):
+    from recspark.plans import serving
+    from recspark.sources import views
+
+    raw = views.raw_transactions(spark, sf_dir)
+    users, items = serving.context_lookups(raw)
+    for got, expected in ((users, serving.user_context_lookup(raw)), (items, serving.item_context_lookup(raw))):
+        rows = lambda lookup: sorted(str((*r[:3], round(r[3], 2))) for r in lookup.table.collect())
+        assert got.size == expected.size and rows(got) == rows(expected)

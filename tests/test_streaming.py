@@ -58,3 +58,29 @@ def test_replayed_batch_replaces_itself(spark, tmp_path, times):
         df.write.mode("overwrite").parquet(f"{tmp_path}/t/batch_id=0")
     got = running_context.read_running_context(spark, f"{tmp_path}/t", "customer_id", "customer")
     assert [tuple(r) for r in got.collect()] == [("a", 2, 1.5)]
+
+
+def test_a_run_whose_latest_batches_were_empty_keeps_its_table(spark, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i, rows in enumerate([[("a", 1.0), ("a", 3.0)], [], [(None, 1.0)], [], [("b", None)]]):
+            _write(tmp_path, f"{i}.json", rows)
+        got = running_context.run_running_context(_stream(spark, str(tmp_path)), "customer_id", "customer")
+        assert [(r.customer_id, r.customer_total_purchases) for r in got.collect()] == [("a", 2)]
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_compaction_keeps_the_latest_totals(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = "customer_id string, purchase_count bigint, price_sum double"
+    for batch, rows in enumerate([[("a", 1, 1.0), ("b", 1, 2.0)], [("a", 2, 4.0)], [("c", 1, 5.0)]]):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/t/batch_id={batch}")
+    key = T.StructField("customer_id", T.StringType())
+    running_context.compact_running_context(spark, f"{tmp_path}/t", key, f"{tmp_path}/small")
+    for table in ("t", "small"):
+        got = running_context.read_running_context(spark, f"{tmp_path}/{table}", key, "customer").collect()
+        assert {r.customer_id: r.customer_total_purchases for r in got} == {"a": 2, "b": 1, "c": 1}
+    assert spark.read.parquet(f"{tmp_path}/small").count() == 3
