@@ -14,6 +14,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: Adaptive execution merges partitions of a shuffle but splits none of a grouping, a range or a
 #: window, so shuffles start with many. For 100 TB, set it to about one per 256 MB of the largest shuffle.
 INITIAL_PARTITIONS = 2_000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,13 +23,14 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
 
     Joins on customer or article keys rely on adaptive execution to split
     skewed partitions, so it is switched on here even where a site default
-    turns it off. Streaming state lives on disk rather than in the heap.
+    turns it off. Streaming state lives on disk rather than in the heap. A number of
+    shuffle partitions that is asked for is also the one that adaptive execution starts with.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", INITIAL_PARTITIONS)
+        .config(_INITIAL, str(conf.get("spark.sql.shuffle.partitions", INITIAL_PARTITIONS)))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")

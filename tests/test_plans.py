@@ -128,3 +128,19 @@ def test_freeze_uses_the_named_shared_folder(spark):
 def test_only_needed_columns_are_scanned(spark, sf_dir, feature):
     plan = feature(views.transactions(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert "l_returnflag" not in plan and "o_orderpriority" not in plan and "partial_count" in plan
+
+
+def test_ranges_follow_the_number_of_partitions_asked_for(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(name) == "8"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (8, 24):
+            spark.conf.set(name, str(n))
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            ranged = spark.range(1000).repartitionByRange("id").select(F.spark_partition_id().alias("p"))
+            assert ranged.distinct().count() == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set(name, "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
