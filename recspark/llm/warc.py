@@ -291,5 +291,7 @@ def _batch(rows: list, types: list, names: list) -> pa.RecordBatch:
 def look_up(spark: SparkSession, archive: Archive, wanted: DataFrame, url: str = "url", page: str = "page_id", with_payload: bool = False) -> DataFrame:
     """Every record of the wanted captures (url, page id), each capture once however often it is asked for."""
     keys = wanted.select(url_key(F.col(url)).alias("key"), F.col(page).cast("bigint").alias("page_id")).distinct()
-    ranged = keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    # keys are short but each is a range read: as many tasks as wrote the archive, however small the keys are
+    tasks = max(1, len(archive.catalog))
+    ranged = keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return ranged.mapInArrow(_reader(tuple(archive), with_payload), _FOUND + (", payload binary" if with_payload else ""))
