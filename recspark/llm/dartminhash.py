@@ -1,8 +1,10 @@
 """Near-duplicate documents by DartMinHash signatures, banded joins and exact verification.
 
-A text is the weighted set of its five-word shingles, the weight being how often one
-occurs; a text of one to four words is one shingle. The similarity of two texts is the weighted
-Jaccard similarity: the sum of the smaller weights over the sum of the greater ones.
+A text is the weighted set of its five-word shingles; a text of one to four words is one
+shingle. The similarity of two texts is the weighted Jaccard similarity: the sum of the smaller
+weights over the sum of the greater ones. Every distinct shingle weighs 1, which makes this the Jaccard
+similarity of the sets; with ``weighted`` it weighs as often as it occurs, which lets a phrase that
+fills two otherwise different texts make them alike.
 
 DartMinHash: every shingle owns a strip of the plane, as wide as its weight. Darts are
 thrown at unit cells of it, how many and where is decided by hashing the shingle and
@@ -15,8 +17,8 @@ an empty coordinate are thrown at again, higher up.
 Texts that agree on all four coordinates of one of 24 bands are candidates (missed at 0.8 with a
 probability under 4 in a million), compared exactly. Within a band's bucket all texts are
 compared with one of them, its head, so that a bucket costs as many comparisons as it has
-texts. Only where texts of a bucket are then still in different classes, they are compared across
-classes: with further heads at first, at last with each other.
+texts. Where texts of a bucket are then still in different classes, all links between these
+texts are found by prefix filtering: similar texts share one of their rarest shingles, and enough after it.
 
 Equal word sequences are one node from the start. Words are runs of letters, digits and
 characters beyond ASCII, A-Z lower-cased. Texts without words (null and empty ones too)
@@ -42,8 +44,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 4
-#: Rounds of further heads in buckets with several classes, before what remains is compared pair by pair.
-HEAD_ROUNDS = 2
+#: Counters of element frequencies, 8 bytes each.
+SLOTS = 1 << 21
 
 _U32 = np.uint64(0xFFFFFFFF)
 
@@ -118,7 +120,7 @@ def signatures(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int
     return out
 
 
-def _signed(shingle: int, bands: int, per_band: int):
+def _signed(shingle: int, bands: int, per_band: int, weighted: bool):
     """Arrow map over (id, text): content key, elements (32 bits, one per unit of weight) and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +128,7 @@ def _signed(shingle: int, bands: int, per_band: int):
             for low, data, offsets in T.slices(batch.column(1)):
                 rows = len(offsets) - 1
                 row, value, weight, h1, h2 = shingles(data, offsets, shingle)
+                weight = weight if weighted else np.ones_like(weight)
                 signature = signatures(row, value, weight, rows, bands * per_band)
                 keys = np.zeros((rows, bands), np.uint64)
                 for b in range(bands):
@@ -141,10 +144,11 @@ def _signed(shingle: int, bands: int, per_band: int):
                     batch.column(0).slice(low, rows),
                     pa.array(h1.view(np.int64)),
                     pa.array(h2.view(np.int64)),
+                    pa.array(np.bincount(row[unit], minlength=rows), pa.int32()),
                     T.lists(element, np.bincount(row[unit], minlength=rows), pa.int32()),
                     T.lists(keys[has].reshape(-1).view(np.int64), np.where(has, bands, 0), pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "h1", "h2", "elements", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "h1", "h2", "units", "elements", "bands"])
 
     return run
 
@@ -176,15 +180,77 @@ def _verified(pairs: DataFrame, elements: DataFrame, similarity: float) -> DataF
 
 
 def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Of (band, node, node_units): the rows of buckets that hold several roots, with the root."""
+    """Of (band, node): the rows of buckets that hold several roots, with the root."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi")
     return rooted.join(mixed.select("band"), "band")
 
 
+def _slot_counts(slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(slots, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy() & (slots - 1), minlength=slots)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
+
+    return run
+
+
+def _prefixes(counts, similarity: float):
+    """Arrow map over (node, root, elements): the rarest elements of a text that may be shared by one similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = counts.value
+        for batch in batches:
+            ends, values = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
+            made = []
+            for i in range(batch.num_rows):
+                own = values[ends[i] : ends[i + 1]]
+                often = known[own & (len(known) - 1)]
+                first = np.lexsort((own, often))[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
+                at = np.flatnonzero(often[first] > 1)
+                made.append((np.full(len(at), i), own[first[at]], at, np.full(len(at), len(own))))
+            row, element, place, units = (np.concatenate(x) for x in zip(*made, strict=True))
+            columns = [batch.column(c).take(pa.array(row)) for c in (0, 1)]
+            columns += [pa.array(element, pa.int32()), pa.array(place, pa.int32()), pa.array(units, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "element", "place", "units"])
+
+    return run
+
+
+def _prefix_pairs(nodes: DataFrame, similarity: float, slots: int = SLOTS) -> DataFrame:
+    """Every pair of texts of different roots that is similar enough, and few others.
+
+    Elements are ordered by how often they occur, rare ones first. Of two similar texts the first
+    share - similarity plus one element - of the one meets that of the other, and what follows their first
+    common element must be enough for the overlap. Both are exact in any order; counts, added up in a fixed
+    number of slots, only decide how few other pairs there are. An element that occurs once meets nobody.
+    """
+    spark = nodes.sparkSession
+    counted = nodes.select("elements").mapInArrow(_slot_counts(slots), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    counted = counted.toArrow()
+    counts = np.zeros(slots, np.int64)
+    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    sent = spark.sparkContext.broadcast(counts)
+    rows = nodes.select("node", "root", "elements").mapInArrow(
+        _prefixes(sent, similarity), "node bigint, root bigint, element int, place int, units int"
+    )
+    rows = freeze(rows, "prefixes")
+    left = rows.select("element", "node", "root", "place", F.col("units").alias("node_units"))
+    right = rows.select(
+        "element", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("place").alias("other_place"), F.col("units").alias("other_units")
+    )
+    enough = F.least(F.col("node_units") - F.col("place"), F.col("other_units") - F.col("other_place")) >= (
+        similarity / (1 + similarity) * (F.col("node_units") + F.col("other_units")) - 1e-9
+    )
+    return left.join(right, (left["element"] == right["element"]) & (F.col("root") < F.col("other_root")) & enough)
+
+
 def classes(
     documents: DataFrame, doc: str = "doc_id", text: str = "text", extra: list[str] | None = None,
     similarity: float = SIMILARITY, shingle: int = SHINGLE, bands: int = BANDS, per_band: int = ROWS,
+    weighted: bool = False,
 ) -> DataFrame:
     """One row per document: its id, ``extra`` columns, ``class_id`` (smallest id of its class) and ``kept`` (one per class).
 
@@ -194,46 +260,32 @@ def classes(
     source = documents.select(F.struct(F.col(doc).alias("doc"), *extra).alias("id"), F.col(text).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signed = source.mapInArrow(
-        _signed(shingle, bands, per_band),
-        f"id {kind}, h1 bigint, h2 bigint, elements array<int>, bands array<bigint>",
+        _signed(shingle, bands, per_band, weighted),
+        f"id {kind}, h1 bigint, h2 bigint, units int, elements array<int>, bands array<bigint>",
     )
     rows = freeze(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = rows.groupBy("h1", "h2").agg(F.min("row").alias("node"))
     nodes = freeze(nodes, "nodes")
-    heads = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    banded = heads.select(F.explode("bands").alias("band"), F.col("row").alias("node"), F.size("elements").alias("node_units"))
-    head = F.min(F.struct("node", "node_units")).alias("h")
-    shared = banded.groupBy("band").agg(head, F.count("*").alias("n")).filter("n > 1")
-    shared = shared.select("band", F.col("h.node").alias("other"), F.col("h.node_units").alias("other_units"))
-    members = freeze(banded.join(shared, "band"), "buckets")
-    tested = freeze(_close(members.filter("node != other"), similarity), "tested")
-    elements = heads.select(F.col("row").alias("node"), "elements").join(members.select("node").distinct(), "node", "left_semi")
+    # texts of their own stay where they are until it is known which of them meet others
+    heads = nodes.select(F.col("node").alias("row"))
+    banded = rows.select("row", "units", "bands").join(heads, "row", "left_semi")
+    banded = banded.select(F.explode("bands").alias("band"), F.col("row").alias("node"), F.col("units").alias("node_units"))
+    shared = banded.groupBy("band").agg(F.min("node").alias("other"), F.count("*").alias("n")).filter("n > 1")
+    members = freeze(banded.join(shared.select("band", "other"), "band"), "buckets")
+    met = members.filter("node != other").select("node", "other", "node_units").distinct()
+    units = rows.select(F.col("row").alias("other"), F.col("units").alias("other_units"))
+    tested = freeze(_close(met.join(units, "other"), similarity), "tested")
+    elements = rows.select(F.col("row").alias("node"), "elements").join(members.select("node").distinct(), "node", "left_semi")
     elements = freeze(elements, "elements")
     links = _verified(tested, elements, similarity)
     roots = components(links)
-    members = members.select("band", "node", "node_units")
-    for step in range(HEAD_ROUNDS + 1):
-        mixed = freeze(_across(members, roots), "mixed")
-        if mixed.isEmpty():
-            break
-        members = mixed.select("band", "node", "node_units")
-        if step < HEAD_ROUNDS:
-            # another head per bucket: the text that comes first by a hash that differs in each round
-            order = F.min(F.struct(F.xxhash64("node", F.lit(step)), "node", "node_units", "root")).alias("h")
-            other = mixed.groupBy("band").agg(order)
-        else:
-            other = mixed.select("band", F.struct("node", "node_units", "root").alias("h"))
-        other = other.select("band", F.col("h.node").alias("other"), F.col("h.node_units").alias("other_units"), F.col("h.root").alias("other_root"))
-        apart = "root != other_root" if step < HEAD_ROUNDS else "root < other_root"
-        pairs = _close(mixed.join(other, "band").filter(apart), similarity)
+    mixed = freeze(_across(members.select("band", "node"), roots).select("node", "root").distinct(), "mixed")
+    if not mixed.isEmpty():
+        pairs = _close(_prefix_pairs(freeze(mixed.join(elements, "node"), "open"), similarity), similarity)
         pairs = freeze(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = tested.union(pairs)
         found = _verified(pairs, elements, similarity)
         if not found.isEmpty():
-            links = links.union(found)
-            roots = components(links)
+            roots = components(links.union(found))
     named = nodes.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
     placed = freeze(rows.select("id", "row", "h1", "h2").join(named, ["h1", "h2"]).drop("h1", "h2"), "placed")
     first = F.min(F.struct(F.col("id.doc").isNull().alias("last"), F.col("id.doc").alias("doc"), "row"))

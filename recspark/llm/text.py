@@ -1,7 +1,7 @@
 """Whole texts as byte buffers: words, their hashes and n-grams of them, without a Python loop over words.
 
 Every function takes the UTF-8 bytes of an Arrow column and works on slices of
-about ``SLICE_BYTES``, so that memory is bounded by a slice (or by one longer text).
+about ``SLICE_BYTES`` and at most ``SLICE_ROWS`` rows, so that memory is bounded by a slice (or by one longer text).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 2048
 
 _BYTE = np.arange(256, dtype=np.uint8)
 UPPER = (_BYTE >= 65) & (_BYTE <= 90)
@@ -75,7 +76,7 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.
     data, offsets = buffers(column)
     low = 0
     while low < len(offsets) - 1:
-        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + size, side="right")) - 1)
+        high = max(low + 1, min(low + SLICE_ROWS, int(np.searchsorted(offsets, offsets[low] + size, side="right")) - 1))
         yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high
 

@@ -177,12 +177,13 @@ def test_knapsack_is_best():
 # --- near-duplicates -----------------------------------------------------------------------------------------------
 
 
-def brute_classes(texts, similarity=0.8):
+def brute_classes(texts, weighted, similarity=0.8):
     words = lambda t: re.findall(r"[0-9a-zA-Z\x80-\U0010ffff]+", t or "")
     sets = []
     for _, t in texts:
         w = [x.lower() for x in words(t)]
-        sets.append(collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else collections.Counter([tuple(w)] if w else []))
+        found = [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) > 4 else [tuple(w)] if w else []
+        sets.append(collections.Counter(found if weighted else set(found)))
     parent = list(range(len(texts)))
 
     def root(i):
@@ -201,19 +202,28 @@ def brute_classes(texts, similarity=0.8):
     return sorted(sorted(map(str, g)) for g in groups.values())
 
 
-def test_near_duplicates_equal_brute_force(spark, odd_texts):
+@pytest.mark.parametrize("weighted", [False, True])
+def test_near_duplicates_equal_brute_force(spark, odd_texts, weighted):
     rng = random.Random(5)
     texts = list(odd_texts)
+    base_words = sentence(rng, 150).split()
     chain = sentence(rng, 200).split()
     for k in range(12):  # neighbours are near-duplicates, the ends are not
         texts.append((100 + k, " ".join(chain)))
         chain[16 * k + 3] = f"new{k}"
-    out = dartminhash.classes(documents(spark, texts), extra=["lang"]).collect()
+    texts += [(200, sentence(rng, 40) + " so on" * 300), (201, sentence(rng, 40) + " so on" * 310)]  # alike by weight alone
+    for k in range(6):  # copies of one text with less in common with each other than with it
+        copy = base_words[:]
+        for j in range(3):
+            copy[10 + 30 * j + 4 * k] = f"edit{k}{j}"
+        texts.append((300 + k, " ".join(copy)))
+    texts.append((310, " ".join(base_words)))
+    out = dartminhash.classes(documents(spark, texts), extra=["lang"], weighted=weighted).collect()
     assert len(out) == len(texts)
     groups = collections.defaultdict(list)
     for r in out:
         groups[r.class_id if r.class_id is not None else f"none{r.doc_id}"].append(str(r.doc_id))
-    assert sorted(sorted(g) for g in groups.values()) == brute_classes(texts)
+    assert sorted(sorted(g) for g in groups.values()) == brute_classes(texts, weighted)
     assert sum(r.kept for r in out) == len(groups)
     assert all(r.class_id == min(int(x) for x in groups[r.class_id] if x != "None") for r in out if r.class_id is not None)
 
