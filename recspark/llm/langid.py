@@ -5,18 +5,21 @@ of the text, of the language declared in the markup (or by the source) and of th
 suffix of the address.
 
 * Text: naive Bayes over hashed 4-byte grams of the lower-cased letters. Grams overlap and
-  depend on each other, so n of them count as min(n, 8 sqrt(n)). Counted over all documents.
+  depend on each other, so n of them count as min(n, 8 sqrt(n)). Counted over all documents. A
+  gram that a language never shows is no likelier in it than in all languages together, so that
+  odd texts do not go to languages with few documents.
 * Declared language and suffix: how often each occurs with the languages that the text alone
   makes clear, smoothed.
 * Host: language counts of hosts, smoothed towards those of their domain, these towards
   all documents, by grouped aggregation over all documents.
 
-The languages are those declared on at least ``min_share`` of the documents with a declared
-language, so there are at most 1 / ``min_share`` of them, and the text model has
-2^16 numbers for each.
+The languages are all that are declared on any text with a gram, however rare; the text model has
+2^16 numbers (256 KB) for each. ``min_share`` leaves out languages declared on a smaller share of the
+documents with a declared language. A document declared in a language without a model is
+undecided: it gets no language and is kept if its text has letters.
 
-A document is ``kept`` if a language was found and it is the declared one, or none is
-declared. A text without letters (null and empty ones too) has no language and is not kept.
+A document is ``kept`` if a language was found and it is the declared one, if none is
+declared, or if it is undecided. A text without letters (null and empty ones too) has no language and is not kept.
 Null evidence of any kind is left out. Repeated rows get equal results. In an empty
 table, or where nothing is declared, no language is found.
 """
@@ -36,11 +39,14 @@ from recspark.llm import text as T
 from recspark.session import freeze
 
 BUCKETS = 1 << 16
-MIN_SHARE = 0.01
+MIN_SHARE = 0.0
 CLEAR = 0.9
 _LETTERS = T.UPPER | T.LOWER | (np.arange(256) >= 128)
 _SPACED = np.where(_LETTERS, np.arange(256), 32).astype(np.uint8)
 _PRIOR = 20.0
+_PART = 1 << 14  # grams of a text that are scored at once
+_DENSE = 64  # languages whose gram counts a task holds at once
+_LOOPED = 16  # up to so many languages are scored one by one, more of them text by text
 
 
 def gram_buckets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -78,22 +84,38 @@ def domain_of(host: Column) -> Column:
 
 def _count_grams(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), BUCKETS), np.int64)
         code = {name: i for i, name in enumerate(languages)}
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
             own = np.array([code.get(x, -1) for x in batch.column(0).to_pylist()], dtype=np.int64)
-            for low, _, row, bucket in gram_buckets(batch.column(1)):
-                language = own[low + row]
-                known = language >= 0
-                place = language[known] * BUCKETS + bucket[known]
-                total += np.bincount(place, minlength=total.size).reshape(total.shape)
-        language, bucket = np.nonzero(total)
-        columns = [pa.array(language, pa.int32()), pa.array(bucket, pa.int32()), pa.array(total[language, bucket])]
-        yield pa.RecordBatch.from_arrays(columns, names=["language", "bucket", "n"])
+            for low, letters, row, bucket in gram_buckets(batch.column(1)):
+                held = own[low : low + len(letters)]
+                present = np.unique(held[held >= 0])
+                for some in (present[i : i + _DENSE] for i in range(0, len(present), _DENSE)):
+                    rank = np.full(len(languages) + 1, -1)  # the last one is that of rows without a language
+                    rank[some] = np.arange(len(some))
+                    at = rank[held[row]]
+                    known = at >= 0
+                    place = at[known] * BUCKETS + bucket[known]
+                    made = np.bincount(place, minlength=len(some) * BUCKETS).reshape(-1, BUCKETS)
+                    if len(totals.keys() | set(some.tolist())) > _DENSE:
+                        yield _counted(totals)
+                        totals = {}
+                    for i, language in enumerate(some.tolist()):
+                        totals[language] = totals[language] + made[i] if language in totals else made[i]
+        yield _counted(totals)
 
     return run
 
 
+def _counted(totals: dict[int, np.ndarray]) -> pa.RecordBatch:
+    table = np.array(list(totals.values()), np.int64).reshape(-1, BUCKETS)
+    at, bucket = np.nonzero(table)
+    language = np.array(list(totals), np.int64)[at]
+    columns = [pa.array(language, pa.int32()), pa.array(bucket, pa.int32()), pa.array(table[at, bucket])]
+    return pa.RecordBatch.from_arrays(columns, names=["language", "bucket", "n"])
+
+
 _SCORE = ST.StructType(
     [
         ST.StructField("evidence", ST.ArrayType(ST.FloatType())),
@@ -114,14 +136,21 @@ def _score(model):
 
     def score(column: pa.Array) -> pa.Array:
         table = model.value
+        by_bucket = np.ascontiguousarray(table.T) if table.shape[0] > _LOOPED else None
         out = np.zeros((len(column), table.shape[0]))
         grams, letters = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
         for low, own, row, bucket in gram_buckets(column):
             rows = len(own)
             letters[low : low + rows] = own
             grams[low : low + rows] = np.bincount(row, minlength=rows)
-            for i in range(table.shape[0]):
-                out[low : low + rows, i] = np.bincount(row, weights=table[i, bucket], minlength=rows)
+            if by_bucket is None:
+                for i in range(table.shape[0]):
+                    out[low : low + rows, i] = np.bincount(row, weights=table[i, bucket], minlength=rows)
+            else:
+                ends = np.searchsorted(row, np.arange(rows + 1))
+                for i in range(rows):
+                    for a in range(ends[i], ends[i + 1], _PART):
+                        out[low + i] += by_bucket[bucket[a : min(a + _PART, ends[i + 1])]].sum(axis=0, dtype=np.float64)
         n = np.maximum(grams, 1)
         out *= (np.minimum(n, 8 * np.sqrt(n)) / n)[:, None]
         out -= out.max(axis=1, keepdims=True)
@@ -166,21 +195,30 @@ def _smoothed(counts: str, parent: str, weight: float = _PRIOR) -> Column:
 
 
 def languages_of(df: DataFrame, declared: Column, min_share: float = MIN_SHARE) -> list[str]:
-    """Declared languages with at least ``min_share`` of the documents, in alphabetical order."""
+    """Declared languages, those with at least ``min_share`` of the documents, in alphabetical order."""
     counted = df.select(primary(declared).alias("l")).filter("l is not null").groupBy("l").count()
     n = counted.agg(F.sum("count")).first()[0] or 0
     return sorted(r["l"] for r in counted.filter(F.col("count") >= min_share * n).collect())
 
 
-def text_model(df: DataFrame, text: Column, declared: Column, languages: list[str]) -> np.ndarray:
-    """Log probability of each gram bucket in each language, add-half smoothed."""
+def text_model(df: DataFrame, text: Column, declared: Column, languages: list[str]) -> tuple[list[str], np.ndarray]:
+    """The languages with any gram, and the log probability of each gram bucket in each, add-half smoothed.
+
+    A gram that a language does not show gets the probability in all languages together if that is smaller.
+    """
     mapped = df.select(primary(declared).alias("l"), text.alias("t")).mapInArrow(
         _count_grams(languages), "language int, bucket int, n bigint"
     )
     counted = mapped.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.full((len(languages), BUCKETS), 0.5)
-    table[counted["language"].to_numpy(), counted["bucket"].to_numpy()] += counted["n"].to_numpy()
-    return np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    language, bucket, n = (counted[c].to_numpy() for c in ("language", "bucket", "n"))
+    shown = np.unique(language) if len(language) else np.arange(len(languages))
+    together = np.bincount(bucket, weights=n, minlength=BUCKETS) + 0.5
+    together = np.log(together / together.sum())
+    sums = np.bincount(language, weights=n, minlength=len(languages))[shown] + 0.5 * BUCKETS
+    table = np.minimum(together, np.log(0.5 / sums)[:, None]).astype(np.float32)
+    at = np.searchsorted(shown, language)
+    table[at, bucket] = np.log((n + 0.5) / sums[at])
+    return [languages[i] for i in shown], table
 
 
 def identify(
@@ -205,7 +243,9 @@ def identify(
         return none.withColumns(
             {"language": F.lit(None).cast("string"), "posterior": F.lit(0.0), "n_letters": F.lit(0).cast("bigint"), "kept": F.lit(False)}
         )
-    model = spark.sparkContext.broadcast(text_model(df, text, declared, languages))
+    languages, table = text_model(df, text, declared, languages)
+    n = len(languages)
+    model = spark.sparkContext.broadcast(table)
     scored = df.select(
         held, primary(declared).alias("declared"), F.lower(host).alias("host"), F.lower(suffix).alias("suffix"), _score(model)(text).alias("_s")
     )
@@ -234,7 +274,8 @@ def identify(
         .withColumn("prior", F.coalesce("prior", everywhere))
     )
     fused = joined.withColumn("_f", _fuse(n)("evidence", "prior", "of_declared", "of_suffix"))
-    found = F.col("n_letters") > 0
+    undecided = F.col("declared").isNotNull() & ~F.col("declared").isin(languages)
+    found = (F.col("n_letters") > 0) & ~undecided
     name = F.array(*[F.lit(x) for x in languages])[F.col("_f.language")]
     out = fused.select(
         "_key.*",
@@ -244,4 +285,5 @@ def identify(
         "n_letters",
     )
     agrees = F.col("declared").isNull() | (F.col("declared") == F.col("language"))
-    return out.withColumn("kept", F.coalesce(F.col("language").isNotNull() & agrees, F.lit(False)))
+    kept = F.when(undecided, F.col("n_letters") > 0).otherwise(F.col("language").isNotNull() & agrees)
+    return out.withColumn("kept", F.coalesce(kept, F.lit(False)))

@@ -265,6 +265,38 @@ def test_languages_and_rejections(spark):
     assert out[1003].kept and out[1003].language == "en" and out[None].kept and out[1004].kept
 
 
+def test_rare_languages_are_found(spark):
+    rng = random.Random(2)
+    words = {"en": "the and ship tree with house", "de": "der und schiff baum mit haus", "is": "það og skip tré með hús", "fi": "joka ja laiva puu talo"}
+    text = lambda l, n: " ".join(rng.choice(words[l].split()) for _ in range(n))
+    rows = [(i, text(("en", "de")[i % 2], 30), ("en", "de")[i % 2], "s") for i in range(1000)]
+    rows += [(2000 + i, text("is", 30), "is", "s") for i in range(5)] + [(3000, text("fi", 40), "fi", "s")]  # 0.5 %, 0.1 %
+    rows += [(4000, text("en", 60), "is", "s"), (4001, text("is", 60), "en", "s"), (4002, text("is", 60), None, "s"), (4003, "qx 7 zv 3 kk 9 " * 30, "en", "s")]
+    rows += [(4004, "ab", "sv", "s"), (4005, "12", "sv", "s")]  # too short for a model of its language
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    out = {r.doc_id: r for r in langid.identify(df).collect()}
+    assert len(out) == len(rows) and all(out[i].kept for i in range(1000))
+    assert all((out[i].language, out[i].kept) == ("is", True) for i in range(2000, 2005))
+    assert (out[3000].language, out[3000].kept) == ("fi", True)
+    assert [(out[i].language, out[i].kept) for i in (4000, 4001, 4002, 4003)] == [("en", False), ("is", False), ("is", True), ("en", True)]
+    assert (out[4004].language, out[4004].kept) == (None, True) and not out[4005].kept
+    few = {r.doc_id: r for r in langid.identify(df, min_share=0.1).collect()}
+    assert all((few[i].language, few[i].kept) == (None, True) for i in (2000, 3000))
+
+
+def test_many_languages(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for _ in range(30)]
+    rows = [(i, " ".join(rng.choice(words[i % 30]) for _ in range(30)), f"l{i % 30}", "s") for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    code = [f"l{i}" for i in range(30)]
+    whole = langid.text_model(df, F.col("text"), F.col("lang"), code)
+    monkeypatch.setattr(langid, "_DENSE", 4)
+    held = langid.text_model(df, F.col("text"), F.col("lang"), code)
+    assert held[0] == whole[0] == code and (held[1] == whole[1]).all()
+    assert all(r.kept and r.language == f"l{r.doc_id % 30}" for r in langid.identify(df).collect())
+
+
 def test_host_prior_decides_where_the_text_says_nothing(spark):
     rows = [(i, "der und haus schiff " * 8, "de", "host.de") for i in range(60)] + [(100 + i, "the and ship house " * 8, "en", "host.com") for i in range(60)]
     rows += [(1, "zz", None, "host.de"), (2, "zz", None, "host.com")]
