@@ -10,7 +10,7 @@
 * In clean text the best segment of n tokens follows an extreme-value law,
   P(S >= x) = 1 - exp(-K n exp(-lambda x)). K and lambda are fitted to the best segments of labelled clean
   documents that took no part in the rates. A segment is a significant passage if that
-  probability is under ``SIGNIFICANT``. The evidence of the r best segments together follows from
+  probability is under ``SIGNIFICANT``. The evidence of the r best segments together, for every r up to all of a text, follows from
   the sum statistic of Karlin and Altschul; the strongest evidence is the document's, and a
   logistic curve over it, fitted on the same rows, gives the score.
 
@@ -33,6 +33,7 @@ from pyspark.sql import types as ST
 
 from recspark.llm import text as T
 from recspark.llm.labels import labelled_sample, labelled_texts
+from recspark.session import freeze
 
 SAMPLE_ROWS = 20_000
 #: Bytes of the prefixes that a token's rate is shrunk towards, shortest first.
@@ -45,7 +46,6 @@ CAUTION = 1.0
 LEAST_DOCUMENTS = 2
 MAX_UNITS = 1 << 20
 SIGNIFICANT = 0.01
-_BEST = 8
 
 
 class Model(NamedTuple):
@@ -145,32 +145,36 @@ def segments_of(model: Model, data: np.ndarray, offsets: np.ndarray) -> Iterator
         yield b - a, maximal_segments(scores[a:b])
 
 
-_LOG_FACTORIAL = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, _BEST + 1)))])
-
-
-def evidence(best: np.ndarray, words: np.ndarray, scale: float, log_k: float) -> np.ndarray:
-    """Minus log of the least tail probability over the r best segments, r = 1, 2, ...; missing ones are NaN."""
-    normal = scale * best - log_k - np.log(np.maximum(words, 1))[:, None]
+def evidence(best: list[list[float]], words: np.ndarray, scale: float, log_k: float) -> np.ndarray:
+    """Minus log of the least tail probability over the r best segments, r = 1, 2, ... up to all of a text."""
+    counts = np.array([len(x) for x in best], dtype=np.int64)
+    starts = np.cumsum(counts) - counts
+    scores = np.array([s for x in best for s in x], dtype=np.float64)
+    normal = scale * scores - log_k - np.repeat(np.log(np.maximum(words, 1)), counts)
+    most = int(counts.max(initial=0))
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, most + 1)))])
     out = np.zeros(len(best))
     total = np.zeros(len(best))
-    for r in range(1, best.shape[1] + 1):
-        total = total + normal[:, r - 1]
+    left = np.arange(len(best))
+    for r in range(1, most + 1):
+        left = left[counts[left] >= r]
+        total[left] += normal[starts[left] + r - 1]
+        now = total[left]
         if r == 1:
-            minus_log = -np.log(-np.expm1(-np.exp(-np.clip(total, -30, 600))) + 1e-300)
+            minus_log = -np.log(-np.expm1(-np.exp(-np.clip(now, -30, 600))) + 1e-300)
         else:
-            tail = total - (r - 1) * np.log(np.maximum(total, 1.0)) + _LOG_FACTORIAL[r] + _LOG_FACTORIAL[r - 1]
-            minus_log = np.where(total > r, tail - np.log(r), 0.0)
-        out = np.fmax(out, minus_log)
+            tail = now - (r - 1) * np.log(np.maximum(now, 1.0)) + log_factorial[r] + log_factorial[r - 1]
+            minus_log = np.where(now > r, tail - np.log(r), 0.0)
+        out[left] = np.fmax(out[left], minus_log)
     return out
 
 
 def _best_of(segments: list[tuple[int, int, float]]) -> list[float]:
-    top = sorted((s for _, _, s in segments), reverse=True)[:_BEST]
-    return top + [np.nan] * (_BEST - len(top))
+    return sorted((s for _, _, s in segments), reverse=True)
 
 
 def _best_segments(model):
-    """Arrow map over (label, text): words and the best segments' scores."""
+    """Arrow map over (label, text): words and the segments' scores, best first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Model(*model.value)
@@ -187,6 +191,17 @@ def _best_segments(model):
     return run
 
 
+def _strengths(scale: float, log_k: float):
+    """Arrow map over (label, words, best): the evidence of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strength = evidence(batch.column(2).to_pylist(), batch.column(1).to_numpy(), scale, log_k)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(strength)], names=["label", "strength"])
+
+    return run
+
+
 def fit_extremes(best: np.ndarray, words: np.ndarray) -> tuple[float, float]:
     """lambda and log K of the best segments in clean texts, by the moments of lambda S - log n."""
     use = ~np.isnan(best) & (words > 0)
@@ -244,13 +259,14 @@ def train(
         return None
     sent = spark.sparkContext.broadcast(tuple(model))
     rows = texts.filter(held).select(F.col("label").cast("int"), "text")
-    seen = rows.mapInArrow(_best_segments(sent), "label int, words bigint, best array<double>").toArrow()
-    best = np.array(seen["best"].to_pylist(), dtype=np.float64).reshape(-1, _BEST)
-    words, toxic = seen["words"].to_numpy(), seen["label"].to_numpy()
+    seen = freeze(rows.mapInArrow(_best_segments(sent), "label int, words bigint, best array<double>"), "segments")
+    first = seen.select("label", "words", F.coalesce(F.get("best", 0), F.lit(float("nan"))).alias("best")).toArrow()
+    best, words, toxic = (first[c].to_numpy() for c in ("best", "words", "label"))
     if not len(toxic) or toxic.min() == toxic.max():
         return None
-    scale, log_k = fit_extremes(best[toxic == 0, 0], words[toxic == 0])
-    intercept, slope = fit_curve(evidence(best, words, scale, log_k), toxic)
+    scale, log_k = fit_extremes(best[toxic == 0], words[toxic == 0])
+    curve = seen.mapInArrow(_strengths(scale, log_k), "label int, strength double").toArrow()
+    intercept, slope = fit_curve(curve["strength"].to_numpy(), curve["label"].to_numpy())
     return model._replace(scale=scale, log_k=log_k, intercept=intercept, slope=slope)
 
 
@@ -280,7 +296,7 @@ def scorer(spark, model: Model | None):
                 words.append(n)
                 p = [-np.expm1(-np.exp(min(30.0, fitted.log_k + np.log(max(n, 1)) - fitted.scale * s))) for _, _, s in found]
                 passages.append([{"from": b, "to": e, "p": float(q)} for (b, e, _), q in zip(found, p, strict=True) if q < SIGNIFICANT])
-        strength = evidence(np.array(best, dtype=np.float64).reshape(-1, _BEST), np.array(words), fitted.scale, fitted.log_k)
+        strength = evidence(best, np.array(words), fitted.scale, fitted.log_k)
         score = 1 / (1 + np.exp(-np.clip(fitted.intercept + fitted.slope * strength, -30, 30)))
         made = [pa.array(score), pa.array(strength), pa.array(passages, _ARROW.field("passages").type)]
         return pa.StructArray.from_arrays(made, names=["score", "evidence", "passages"])

@@ -355,6 +355,15 @@ def test_extreme_values_are_recovered():
     assert abs(scale - 1.7) < 0.1 and abs(log_k + 3.0) < 0.3
 
 
+def test_evidence_of_many_mild_segments():
+    mild, words = [[3.0] * n for n in (0, 1, 8, 9, 40, 400)], np.full(6, 10)
+    found = toxicity.evidence(mild, words, 1.5, 1.0)
+    assert found[0] == 0 and (np.diff(found) > 0).all()
+    alone = [toxicity.evidence([x], words[:1], 1.5, 1.0)[0] for x in mild]
+    assert found.tolist() == alone  # not even in the last digit does a row depend on the others
+    assert toxicity.evidence([[3.0] * 40 + [0.1] * 500], words[:1], 1.5, 1.0)[0] >= found[4]
+
+
 # --- web pages -------------------------------------------------------------------------------------------------------
 
 PAGE = """<html><body><div id="wrapper"><div class="top-bar"><a href=/>Home</a> <a href=/a>News</a></div>
