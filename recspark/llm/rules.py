@@ -67,7 +67,7 @@ def n_dup_lines(lines: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint")
 
 
-#: Bits of a sorted long that hold a window's position; longer texts sort pairs instead.
+#: Bits of a sorted long that hold a window's position; longer texts sort pairs of the whole hash and position instead.
 _PLACE = 20
 
 
@@ -77,6 +77,11 @@ def _windows(hashed: Column) -> Column:
     return F.when(F.size(hashed) >= 3, F.transform(F.sequence(F.lit(0), F.size(hashed) - 3), at))
 
 
+def _pairs(windows: Column, at: Column) -> Column:
+    """Windows at some positions as sorted pairs of the whole hash and the position."""
+    return F.sort_array(F.transform(at, lambda i: F.struct(F.get(windows, i).alias("h"), i.alias("i"))))
+
+
 def _packed(windows: Column) -> Column:
     """Windows sorted by hash, as longs with 44 bits of the hash above the position."""
     keep = F.lit(-(1 << _PLACE)).cast("bigint")
@@ -101,22 +106,25 @@ def n_repeat_words(hashed: Column) -> Column:
 
     Equal windows are neighbours once windows are sorted by hash. Texts without such
     neighbours are done; else the positions of all repeated windows are sorted, and each
-    adds the words up to the next one.
+    adds the words up to the next one. Where neighbours are alike in the 44 bits kept beside a
+    position, the whole hashes decide.
     """
     top = lambda x: F.shiftright(x, _PLACE)
 
-    def short(s: Column) -> Column:
+    def short(s: Column, windows: Column) -> Column:
         twins = F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.coalesce(top(a) == top(b), F.lit(False)))
         place = lambda x: x.bitwiseAND((1 << _PLACE) - 1).cast("int")
         return F.when(
-            F.array_contains(twins, True), let(_neighbours(s, lambda a, b: top(a) == top(b), place), _covered)
+            F.array_contains(twins, True),
+            let(_pairs(windows, _neighbours(s, lambda a, b: top(a) == top(b), place)), long),
         ).otherwise(F.lit(0).cast("bigint"))
 
     def long(s: Column) -> Column:
         return let(_neighbours(s, lambda a, b: a["h"] == b["h"], lambda x: x["i"]), _covered)
 
     pairs = F.sort_array(F.transform(_windows(hashed), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    found = F.when(F.size(hashed) < (1 << _PLACE), let(_packed(_windows(hashed)), short)).otherwise(let(pairs, long))
+    packed = let(_windows(hashed), lambda windows: let(_packed(windows), lambda s: short(s, windows)))
+    found = F.when(F.size(hashed) < (1 << _PLACE), packed).otherwise(let(pairs, long))
     return F.coalesce(found, F.lit(0).cast("bigint"))
 
 

@@ -66,6 +66,13 @@ def test_repeats_beyond_the_packed_positions(spark, monkeypatch):
     assert {r.doc_id: r.n_repeat_words for r in out} == {1: 9, 2: 0}
 
 
+def test_windows_alike_in_the_packed_bits_only(spark, monkeypatch):
+    monkeypatch.setattr(rules, "_PLACE", 58)  # leaves 6 bits of the hash
+    odd = [(1, " ".join(f"w{i}" for i in range(300))), (2, " ".join(f"w{i}" for i in range(300)) + " w7 w8 w9 w10")]
+    out = rules.judge(documents(spark, odd)).collect()
+    assert {r.doc_id: r.n_repeat_words for r in out} == {1: 0, 2: 8}
+
+
 def test_order_of_rules_changes_no_verdict(spark, odd_texts):
     df = documents(spark, odd_texts)
     a = rules.judge(df, order=False).select("doc_id", "kept").collect()
