@@ -12,6 +12,7 @@ columns pass through, one named as a column made here is replaced.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,9 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 
-#: Words in the host names of advertising and spam sites, and query keys that only track.
-LISTED_HOST = r"(^|\.)(spam|ads|casino|cheap|free)-[a-z]+\."
+#: First words in the names of advertising and spam sites, as in ``spam-farm.example.org``.
+LISTED_NAMES = ("spam", "ads", "casino", "cheap", "free", "adult")
+#: Query keys that only track.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -119,10 +121,11 @@ def listed_verdict(df: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     )
 
 
-def listed_urls(pages: DataFrame, url: str = "url") -> DataFrame:
-    """The default list: canonical URLs seen on hosts that are named like advertising and spam sites."""
+def listed_urls(pages: DataFrame, url: str = "url", names: tuple[str, ...] = LISTED_NAMES) -> DataFrame:
+    """The default list: canonical URLs seen on hosts named like advertising and spam sites, by the first words ``names``."""
+    listed_host = rf"(^|\.)({'|'.join(map(re.escape, names))})-[a-z]+\."
     parts = _parts(pages.select(url), url)
-    spam = parts.filter(F.col("host").rlike(LISTED_HOST))
+    spam = parts.filter(F.col("host").rlike(listed_host))
     return spam.select(canonical(F.col("host"), F.col("path"), F.col("_url")).alias("canonical")).distinct()
 
 

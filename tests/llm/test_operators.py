@@ -452,6 +452,15 @@ def test_url_verdicts(spark):
         assert (r.host, r.path, r.rule, r.verdict) == cases[r.url], r
 
 
+def test_listed_names(spark):
+    hosts = [f"www.{n}-x.example.{t}" for n in ("spam", "ads", "casino", "cheap", "free", "adult") for t in ("com", "org")]
+    pages = spark.createDataFrame([(f"http://{h}/p/?ref=1",) for h in [*hosts, "news.example.com", "adult.example.com"]], "url string")
+    out = urlfilter.judge(pages, urlfilter.listed_urls(pages)).collect()
+    assert {r.host for r in out if r.verdict == "block"} == set(hosts)
+    some = urlfilter.listed_urls(pages, names=("news", "cheap")).collect()
+    assert {r.canonical for r in some} == {"cheap-x.example.com/p", "cheap-x.example.org/p"}
+
+
 def test_bloom_filter_misses_nothing(spark, monkeypatch):
     listed = spark.range(3000).select(F.concat(F.lit("h"), "id").alias("k"))
     asked = spark.range(6000).select(F.concat(F.lit("h"), "id").alias("k"), "id")
