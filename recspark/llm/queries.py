@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import dartminhash, extract, langid, packing, quality, rules, toxicity, urlfilter, warc, winnow
+from recspark.llm import codes, credentials, dartminhash, extract, langid, packing, quality, rules, toxicity, urlfilter, warc, winnow, zonemaps
 from recspark.llm.labels import held_out
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,5 +108,20 @@ def op10_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@register
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op12_centroid_clustering(spark, sf_dir):
+    return zonemaps.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_secret_scan(spark, sf_dir):
+    return credentials.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
