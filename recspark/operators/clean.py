@@ -36,6 +36,13 @@ def clean_customers(customers: DataFrame) -> DataFrame:
     return one_row_per_key(customers.filter(F.col("customer_id").isNotNull()), "customer_id")
 
 
+def typed_purchases(transactions: DataFrame) -> DataFrame:
+    """Purchases with both keys, a positive price and a readable date; the row rules of cleaning."""
+    typed = transactions.withColumns({"t_dat": to_day("t_dat"), "price": to_number("price")})
+    usable = F.col("customer_id").isNotNull() & F.col("article_id").isNotNull() & F.col("t_dat").isNotNull()
+    return typed.filter(usable & (F.col("price") > 0))
+
+
 def clean_transactions(transactions: DataFrame) -> DataFrame:
     """Distinct purchases with both keys, a positive price and a readable date.
 
@@ -43,9 +50,7 @@ def clean_transactions(transactions: DataFrame) -> DataFrame:
     below the duplicate removal, so that bad rows are never shuffled and the
     rest is compared and shuffled as typed values.
     """
-    typed = transactions.withColumns({"t_dat": to_day("t_dat"), "price": to_number("price")})
-    usable = F.col("customer_id").isNotNull() & F.col("article_id").isNotNull() & F.col("t_dat").isNotNull()
-    return typed.filter(usable & (F.col("price") > 0)).distinct()
+    return typed_purchases(transactions).distinct()
 
 
 def clean_datasets(

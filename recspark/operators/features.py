@@ -6,9 +6,11 @@ them before the shuffle and a hot customer or article costs one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recspark.functions.exact import as_double, exact_sum, merged
+
 
 def customer_frequency(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("customer_id").agg(F.count("*").alias("purchase_frequency"))
@@ -100,15 +102,32 @@ def real_interactions(transactions: DataFrame) -> DataFrame:
     )
 
 
+def price_totals(priced: DataFrame, *keys: str) -> DataFrame:
+    """``n`` and ``total`` of the readable prices per key: partial results that merge exactly, see ``merge_totals``."""
+    return priced.groupBy(*keys).agg(F.count("price").alias("n"), exact_sum(F.col("price")).alias("total"))
+
+
+def merge_totals(totals: DataFrame, key: str) -> DataFrame:
+    """Totals of days, files or finer keys brought together by ``key``; as if made from all rows at once."""
+    return totals.groupBy(key).agg(F.sum("n").alias("n"), merged(F.col("total")).alias("total"))
+
+
+def average(n: Column, total: Column) -> Column:
+    return as_double(total) / n
+
+
+def context_of(totals: DataFrame, key: str, prefix: str) -> DataFrame:
+    return totals.select(
+        key, F.col("n").alias(f"{prefix}_total_purchases"), average(F.col("n"), F.col("total")).alias(f"{prefix}_avg_price")
+    )
+
+
 def served_context(priced: DataFrame, key: str, prefix: str) -> DataFrame:
     """Serving context: only rows with a readable price count.
 
-    Built from count and sum, which merge across any number of parts.
+    Built from counts and exact sums, so any cut into parts and any order gives the same context, bit for bit.
     """
-    return priced.groupBy(key).agg(
-        F.count("price").alias(f"{prefix}_total_purchases"),
-        (F.sum("price") / F.count("price")).alias(f"{prefix}_avg_price"),
-    )
+    return context_of(price_totals(priced, key).filter("n > 0"), key, prefix)
 
 
 def unique_counts(interactions: DataFrame) -> DataFrame:

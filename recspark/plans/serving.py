@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators import encode, evaluate, features, indexing, quality, requests, retrieve, split
 from recspark.session import freeze, side_by_side
-from recspark.sources import artifacts, retail
+from recspark.sources import artifacts, manifest, published, retail
 
 # Rows of a query table per task, so that all cores are busy with matrix products.
 _ROWS_PER_TASK = 1_000_000
@@ -32,15 +32,12 @@ def context_lookups(raw_transactions: DataFrame) -> tuple[Lookup, Lookup]:
 
     A row without a customer still counts for its article, and the other way round.
     """
-    customers = retail.priced_rows(raw_transactions, "customer_id", "article_id")
-    pairs = freeze(customers.groupBy("customer_id", "article_id").agg(F.count("*").alias("n"), F.sum("price").alias("total")), "priced-pairs")
+    priced = retail.priced_rows(raw_transactions, "customer_id", "article_id")
+    pairs = freeze(features.price_totals(priced, "customer_id", "article_id"), "priced-pairs")
 
     def lookup(key: str, prefix: str, index: str, columns: tuple[str, ...]) -> Lookup:
-        sums = pairs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("_n"), F.sum("total").alias("_total"))
-        context = sums.select(
-            key, F.col("_n").alias(f"{prefix}_total_purchases"), (F.col("_total") / F.col("_n")).alias(f"{prefix}_avg_price")
-        )
-        made = indexing.dense_index(context, [key], index, f"{prefix}-context")
+        totals = features.merge_totals(pairs.filter(F.col(key).isNotNull()), key)
+        made = indexing.dense_index(features.context_of(totals, key, prefix), [key], index, f"{prefix}-context")
         return Lookup(made.table.select(*columns), made.size)
 
     return tuple(
@@ -85,6 +82,23 @@ def build_artifacts(
     )
 
 
+def publish_artifacts(
+    raw_transactions: DataFrame, root: str, embeddings, weights: DataFrame, dim: int = encode.EMBEDDING_DIM, value_type: str = "float"
+) -> manifest.Manifest:
+    """Both contexts and the item vectors as one version, checked in the passes that write them."""
+    users, items = context_lookups(raw_transactions)
+    vectors = encode.encode_items(items.table, embeddings(items.size), weights, True, value_type)
+    return published.publish(
+        raw_transactions.sparkSession,
+        root,
+        {
+            "user_context": published.checked_context(users.table, "user_index", "customer_total_purchases", "customer_avg_price"),
+            "item_context": published.checked_context(items.table, "item_index", "item_total_purchases", "item_avg_price"),
+            "item_embeddings": published.checked_vectors(vectors.select(*artifacts.ITEM_EMBEDDINGS), "item_index", dim, items.size),
+        },
+    )
+
+
 class Recommender(NamedTuple):
     """Stored tables a recommendation run reads."""
 

@@ -16,7 +16,7 @@ def two_tower_training(transactions: DataFrame, seed: int = sampling.SEED, metho
     Indices and samples all come from the stored distinct pairs.
     """
     positives = sampling.stored_positives(transactions)
-    items, users = side_by_side(
+    items, users = side_byside_table(
         transactions.sparkSession,
         lambda: indexing.item_mapping(positives),
         lambda: indexing.user_mapping(positives),
@@ -41,7 +41,7 @@ def pair_totals(transactions: DataFrame, bounds: split.SplitBounds) -> DataFrame
     )
 
 
-def _side(pairs: DataFrame, key: str, index: str, prefix: str) -> indexing.DenseIndex:
+def side_table(pairs: DataFrame, key: str, index: str, prefix: str) -> indexing.DenseIndex:
     """Index over all periods and context of the train period, one row per key.
 
     A key without purchases in the train period has null context.
@@ -70,10 +70,10 @@ def training_features(
     """
     pairs = freeze(pair_totals(transactions, split.split_bounds(transactions)), "pairs")
     positives = pairs.filter(F.col("train_rows") > 0).select(*sampling.PAIR)
-    users, items, train_items = side_by_side(
+    users, items, train_items = side_byside_table(
         transactions.sparkSession,
-        lambda: _side(pairs, "customer_id", "user_index", "customer").table,
-        lambda: _side(pairs, "article_id", "item_index", "item").table,
+        lambda: side_table(pairs, "customer_id", "user_index", "customer").table,
+        lambda: side_table(pairs, "article_id", "item_index", "item").table,
         lambda: indexing.item_mapping(positives),
     )
     interactions = sampling.sample_interactions(positives, train_items, negative_ratio, seed, method)

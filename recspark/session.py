@@ -23,14 +23,13 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
 
     Joins on customer or article keys rely on adaptive execution to split
     skewed partitions, so it is switched on here even where a site default
-    turns it off. Streaming state lives on disk rather than in the heap. A number of
-    shuffle partitions that is asked for is also the one that adaptive execution starts with.
+    turns it off. Streaming state lives on disk rather than in the heap. Where a number of
+    shuffle partitions is asked for, adaptive execution starts with that number, also when it is changed later.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config(_INITIAL, str(conf.get("spark.sql.shuffle.partitions", INITIAL_PARTITIONS)))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -39,6 +38,8 @@ def build_session(app_name: str = "recspark", master: str | None = None, **conf:
     )
     if master:
         builder = builder.master(master)
+    if "spark.sql.shuffle.partitions" not in conf:
+        builder = builder.config(_INITIAL, str(INITIAL_PARTITIONS))
     for key, value in conf.items():
         builder = builder.config(key, str(value))
     return builder.getOrCreate()

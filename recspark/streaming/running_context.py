@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.functions.exact import as_double
+from recspark.operators.features import price_totals
 from recspark.session import scratch_path
 
 
 def running_totals(purchases: DataFrame, key: str) -> DataFrame:
-    """Count and sum of the readable prices per key; ``purchases`` may be a stream."""
-    return (
-        purchases.filter(F.col(key).isNotNull() & F.col("price").isNotNull())
-        .groupBy(key)
-        .agg(F.count("price").alias("purchase_count"), F.sum("price").alias("price_sum"))
-    )
+    """Count and sum of the readable prices per key; ``purchases`` may be a stream.
+
+    The state holds exact sums, so it does not matter which micro-batch a purchase comes in.
+    """
+    known = purchases.filter(F.col(key).isNotNull() & F.col("price").isNotNull())
+    return price_totals(known, key).select(key, F.col("n").alias("purchase_count"), as_double(F.col("total")).alias("price_sum"))
 
 
 def start_running_context(purchases: DataFrame, key: str, table: str, checkpoint: str):
