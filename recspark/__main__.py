@@ -7,13 +7,20 @@
     python -m recspark context   DATA OUT     serving context of customers and articles
     python -m recspark recommend DATA OUT     fitted vectors and top-k lists of all customers
     python -m recspark evaluate  DATA OUT     recall on the test period
+    python -m recspark towers    DATA OUT     both towers trained: weights, vectors, losses and recall (--epochs, --rate)
     python -m recspark artifacts DATA OUT     user context and item vectors through the towers (--weights, --vectors)
+    python -m recspark publish   DATA OUT     the same and the item context as the next version of OUT, checked while written
 
 Jobs over Parquet tables:
 
     python -m recspark answer    DATA OUT     lists for the requests in DATA (--model: OUT of artifacts; --weights, --vectors)
     python -m recspark store     DATA OUT     ranked lists in DATA as entries that expire
     python -m recspark fetch     DATA OUT     unexpired entries of the store DATA for the customers in --asked
+    python -m recspark put       DATA OUT     ranked lists in DATA as a run of the log store OUT (--run)
+    python -m recspark get       DATA OUT     unexpired entries of the log store DATA for the customers in --asked
+    python -m recspark merge     DATA OUT     all runs of the log store DATA as one
+    python -m recspark index     DATA OUT     inverted-file index of the item vectors in DATA (--lists)
+    python -m recspark near      DATA OUT     top-k lists of the vectors in DATA (customer_id, embedding) from the index --model
     python -m recspark validate  DATA OUT     checks of the artifacts in DATA; ends with an error if one fails
     python -m recspark compact   DATA OUT     running context DATA with one row per key (--key, --key-type)
 
@@ -28,10 +35,10 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.operators import assemble, batches, clean, encode, features, quality, retrieve
+from recspark.operators import assemble, batches, clean, encode, features, ivf, quality, retrieve, towers
 from recspark.plans import fitted, serving, training
 from recspark.session import build_session, freeze
-from recspark.sources import artifacts, retail, store
+from recspark.sources import artifacts, log_store, retail, store
 from recspark.streaming import running_context
 
 
@@ -95,6 +102,26 @@ def evaluate_job(spark: SparkSession, data: str, args: argparse.Namespace) -> di
     return {"recall": fitted.fitted_recall(retail.load_transactions(spark, data), args.top_k)}
 
 
+def towers_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    tx = freeze(retail.load_transactions(spark, data), "transactions")
+    made = fitted.fit_tower_model(tx, args.epochs, rate=args.rate, seed=args.seed)
+    losses = spark.createDataFrame(list(enumerate(made.fitted.losses)), "epoch int, held_out_loss double")
+    return {
+        "weights": made.fitted.weights,
+        "user_vectors": made.model.users,
+        "item_vectors": made.model.items,
+        "losses": losses,
+        "recall": fitted.tower_recall(tx, made, args.top_k),
+    }
+
+
+def publish_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    raw = retail.load_table(spark, data, "transactions", raw=True)
+    vectors, weights = spark.read.parquet(args.vectors), artifacts.load_model_weights(spark, args.weights)
+    serving.publish_artifacts(raw, args.out, lambda size: vectors.filter(F.col("index") < size), weights)
+    return {}
+
+
 def artifacts_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
     raw = retail.load_table(spark, data, "transactions", raw=True)
     vectors, weights = spark.read.parquet(args.vectors), artifacts.load_model_weights(spark, args.weights)
@@ -115,10 +142,42 @@ def answer_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict
     return {"answers": _stored_recommender(spark, args).answer(spark.read.parquet(data))}
 
 
-def store_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+def _entries(spark: SparkSession, data: str, ttl: int) -> DataFrame:
     entry = F.struct("rank", "item_index")
     lists = spark.read.parquet(data).groupBy("customer_id").agg(F.sort_array(F.collect_list(entry))["item_index"].alias("items"))
-    return {"store": store.store_recommendations(lists.withColumn("created_at", F.current_timestamp()), args.ttl)}
+    return store.store_recommendations(lists.withColumn("created_at", F.current_timestamp()), ttl)
+
+
+def store_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    return {"store": _entries(spark, data, args.ttl)}
+
+
+def put_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "expires_at")}
+    log_store.put(spark, args.out, _entries(spark, data, args.ttl).withColumns(times), args.run)
+    return {}
+
+
+def get_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    asked = spark.read.parquet(args.asked).select("customer_id")
+    kind = asked.schema["customer_id"].dataType.simpleString()
+    return {"lists": log_store.get(spark, data, asked, F.current_timestamp().cast("timestamp_ntz"), kind)}
+
+
+def merge_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    log_store.compact(spark, data, F.current_timestamp().cast("timestamp_ntz"))
+    return {}
+
+
+def index_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    ivf.build(artifacts.load_item_embeddings(spark, data), f"{args.out}/index", args.lists)
+    return {}
+
+
+def near_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
+    index, queries = ivf.load(spark, args.model), spark.read.parquet(data)
+    probes = args.probes or ivf.probes_for(queries, ivf.vectors(spark, index), index, k=args.top_k)
+    return {"lists": ivf.search(queries, index, probes, args.top_k).lists}
 
 
 def fetch_job(spark: SparkSession, data: str, args: argparse.Namespace) -> dict[str, DataFrame]:
@@ -156,10 +215,17 @@ JOBS = {
     "context": context_job,
     "recommend": recommend_job,
     "evaluate": evaluate_job,
+    "towers": towers_job,
     "artifacts": artifacts_job,
+    "publish": publish_job,
     "answer": answer_job,
     "store": store_job,
     "fetch": fetch_job,
+    "put": put_job,
+    "get": get_job,
+    "merge": merge_job,
+    "index": index_job,
+    "near": near_job,
     "validate": validate_job,
     "compact": compact_job,
 }
@@ -176,6 +242,11 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     parser.add_argument("--top-k", type=int, default=retrieve.TOP_K)
     for name in ("--weights", "--vectors", "--model", "--asked"):
         parser.add_argument(name)
+    parser.add_argument("--epochs", type=int, default=1)
+    parser.add_argument("--rate", type=float, default=towers.LEARNING_RATE)
+    parser.add_argument("--run")
+    parser.add_argument("--lists", type=int)
+    parser.add_argument("--probes", type=int)
     parser.add_argument("--ttl", type=int, default=store.DEFAULT_TTL)
     parser.add_argument("--key", default="customer_id")
     parser.add_argument("--key-type", default="string")

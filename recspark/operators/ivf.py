@@ -35,6 +35,7 @@ MAX_CENTROID_BYTES = 256 * 1024 * 1024
 TUNING_QUERIES = 256
 TARGET_RECALL = 0.95
 
+_VECTORS, _LISTS = "vectors", "lists"
 _UNIT = float(1 << 20)
 _ITEM_BLOCK = 8_192
 _QUERY_BLOCK = 2_048
@@ -44,7 +45,7 @@ _DRAWS = 1 << 30
 
 
 class Index(NamedTuple):
-    path: str  # article_id, item_index, embedding, block, in one folder for each list
+    path: str  # its folder: vectors, in one folder for each list, and a table of the lists
     lists: np.ndarray  # numbers of the lists that hold something
     centroids: np.ndarray  # (lists, size)
     counts: DataFrame  # list, items, blocks
@@ -140,9 +141,20 @@ def build(items: DataFrame, path: str, lists: int | None = None, rounds: int = R
     block = F.pmod(F.xxhash64("article_id", F.lit(seed)), F.col("blocks")).cast("int")
     placed = placed.withColumn("block", block).drop("blocks")
     tasks = max(spark.sparkContext.defaultParallelism, -(-count // (16 * _ITEM_BLOCK)))
-    placed.repartitionByRange(tasks, "list", "block").sortWithinPartitions("list", "block").write.partitionBy("list").parquet(path)
-    used = np.array(sorted(r["list"] for r in counts.select("list").collect()), np.int32)
-    return Index(path, used, centroids[used], counts, size)
+    ordered = placed.repartitionByRange(tasks, "list", "block").sortWithinPartitions("list", "block")
+    ordered.write.partitionBy("list").parquet(f"{path}/{_VECTORS}")
+    rows = [(int(n), [float(x) for x in c]) for n, c in enumerate(centroids)]
+    named = spark.createDataFrame(rows, "list int, centroid array<double>")
+    counts.join(F.broadcast(named), "list").coalesce(1).write.parquet(f"{path}/{_LISTS}")
+    return load(spark, path)
+
+
+def load(spark: SparkSession, path: str) -> Index:
+    """An index that ``build`` wrote. The driver holds one centroid for each list that holds something."""
+    table = spark.read.parquet(f"{path}/{_LISTS}")
+    rows = table.select("list", "centroid").orderBy("list").collect()
+    centroids = np.array([r["centroid"] for r in rows], np.float64)
+    return Index(path, np.array([r["list"] for r in rows], np.int32), centroids, table.drop("centroid"), centroids.shape[1])
 
 
 def nearest_lists(queries: DataFrame, index: Index, key: str, probes: int) -> DataFrame:
@@ -167,8 +179,14 @@ def nearest_lists(queries: DataFrame, index: Index, key: str, probes: int) -> Da
     return rows.mapInArrow(run, T.StructType([*rows.schema, *more]))
 
 
-def _stored(spark: SparkSession, index: Index) -> DataFrame:
-    return spark.read.parquet(index.path)
+def vectors(spark: SparkSession, index: Index, lists: list[int] | None = None) -> DataFrame:
+    """What the index, or some of its lists, holds: ``(article_id, item_index, embedding, block, list)``."""
+    folder = f"{index.path}/{_VECTORS}"
+    if lists is None or 2 * len(lists) > len(index.lists):
+        table = spark.read.parquet(folder)
+        return table if lists is None else table.filter(F.col("list").isin(lists))
+    # named one by one, so that the folders of the other lists are not even listed
+    return spark.read.option("basePath", folder).parquet(*(f"{folder}/list={n}" for n in lists))
 
 
 class Search(NamedTuple):
@@ -199,7 +217,7 @@ def search(queries: DataFrame, index: Index, probes: int, k: int = retrieve.TOP_
         return Search(spark.createDataFrame([], schema), 0, 0)
     sizes = F.broadcast(wanted)  # likewise
     entry = F.struct("article_id", "item_index", "embedding")
-    items = _stored(spark, index).filter(F.col("list").isin(names)).groupBy("list", "block").agg(F.collect_list(entry).alias("_items"))
+    items = vectors(spark, index, names).groupBy("list", "block").agg(F.collect_list(entry).alias("_items"))
     items = items.join(sizes.select("list", "groups"), "list").select(
         F.col("list").alias("_list"),
         F.col("block").alias("_block"),
@@ -260,7 +278,7 @@ def probes_for(
     sample = queries.select(key, "embedding").filter(F.col(key).isNotNull())
     sample = freeze(sample if count <= rows else sample.filter(draw < int(_DRAWS * rows / count)), "tuning-queries")
     exact = retrieve.top_k(sample, items, k, key).select(key, "article_id")
-    home = _stored(queries.sparkSession, index).select("article_id", F.col("list"))
+    home = vectors(queries.sparkSession, index).select("article_id", F.col("list"))
     ranks = nearest_lists(sample, index, key, len(index.centroids)).select(key, "list", "rank")
     per_rank = exact.join(home, "article_id").join(ranks, [key, "list"]).groupBy("rank").agg(F.count("*").alias("n"))
     found = sorted((r["rank"], r["n"]) for r in per_rank.collect())  # at most one row for each list

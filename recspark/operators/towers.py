@@ -49,6 +49,7 @@ class FittedTowers(NamedTuple):
     items: DataFrame  # item_index, context columns, embedding
     weights: DataFrame  # as encode.load_tower reads them
     losses: list[float]  # held-out loss before the first and after each epoch
+    fitted_losses: list[float]  # mean loss of each epoch's batches, each before the step that it was in
 
 
 def first_weights(seed: int) -> Weights:
@@ -255,22 +256,25 @@ def fit_towers(
         loss, n = rows.agg(F.sum("loss"), F.sum("n")).first()
         return loss / _FIXED / n if n else float("nan")
 
-    losses, step = [held_out_loss()], 0
+    losses, fitted_losses, step = [held_out_loss()], [], 0
     for epoch in range(epochs):
+        loss = rows_of_epoch = 0
         for part in range(steps):
             shared = spark.sparkContext.broadcast(values)
             rows = _met(fitted.filter(F.col("step") == (part + epoch) % steps).drop("step"), *state)
             sums = rows.groupBy("batch_id").applyInArrow(_gradient_rows(shared), _SUMS).groupBy("kind", "index").agg(*(F.sum(c).alias(c) for c in _COLUMNS))
             sums = freeze(sums, "gradients")
             dense = sums.filter(F.col("kind") >= _DENSE).collect()  # one row for each 64 dense weights
-            rows_met = next((r["g1"] for r in dense if r["kind"] == _LOSS), 0)
-            if not rows_met:
+            told = next((r for r in dense if r["kind"] == _LOSS), None)
+            if told is None:
                 continue
-            step += 1
+            rows_met, step = told["g1"], step + 1
+            loss, rows_of_epoch = loss + told["g0"] / _FIXED, rows_of_epoch + rows_met
             ordered = sorted((r for r in dense if r["kind"] == _DENSE), key=lambda r: r["index"])
             grad = np.array([[r[c] for c in _COLUMNS] for r in ordered], np.float64).reshape(-1)[: len(values)] / (_FIXED * rows_met)
             values, m, v = _stepped(values, m, v, grad, rate, step)
             state = [freeze(_update(t, sums, s[1], s[2], rows_met, rate, step), f"{s[0]}-state") for t, s in zip(state, _SIDES, strict=True)]
         losses.append(held_out_loss())
+        fitted_losses.append(loss / rows_of_epoch if rows_of_epoch else float("nan"))
     users, items = (t.drop("m", "v", "context") for t in state)
-    return FittedTowers(users, items, as_table(spark, unflat(values)), losses)
+    return FittedTowers(users, items, as_table(spark, unflat(values)), losses, fitted_losses)

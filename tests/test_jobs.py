@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.__main__ import run
-from recspark.sources import artifacts, views
+from recspark.sources import artifacts, published, views
 
 TABLES = {
     "clean": {"articles", "customers", "transactions", "statistics"},
@@ -14,6 +14,7 @@ TABLES = {
     "context": {"user_context", "item_context"},
     "recommend": {"user_embeddings", "item_embeddings", "recommendations"},
     "evaluate": {"recall"},
+    "towers": {"weights", "user_vectors", "item_vectors", "losses", "recall"},
 }
 
 
@@ -62,6 +63,20 @@ def test_serving_jobs(spark, csv_data, tmp_path, sf_dir):
     run(spark, ["fetch", f"{out}/store", f"{out}/fetched", "--asked", f"{out}/asked"])
     fetched = {r.customer_id: r["items"] for r in spark.read.parquet(f"{out}/fetched/lists").collect()}
     assert fetched == {"c1": [x.item_index for x in answers[1].recommendations], "c5": None}
+    # the same through the log of runs
+    for name in ("first", "first", "second"):
+        run(spark, ["put", f"{out}/lists", f"{out}/log", "--run", name])
+    run(spark, ["merge", f"{out}/log", out])
+    run(spark, ["get", f"{out}/log", f"{out}/got", "--asked", f"{out}/asked"])
+    assert {r.customer_id: r["items"] for r in spark.read.parquet(f"{out}/got/lists").collect()} == fetched
+    # published in one version, and searched by an index
+    run(spark, ["publish", csv_data, f"{out}/published", "--weights", weights, "--vectors", vectors])
+    assert published.load(spark, f"{out}/published", "item_embeddings").count() == spark.read.parquet(f"{out}/item_embeddings").count()
+    run(spark, ["index", f"{out}/item_embeddings", out, "--lists", "4"])
+    spark.read.parquet(f"{out}/item_embeddings").select(F.col("article_id").alias("customer_id"), "embedding").write.parquet(f"{out}/asking")
+    run(spark, ["near", f"{out}/asking", f"{out}/near", "--model", f"{out}/index", "--probes", "4", "--top-k", "3"])
+    near = spark.read.parquet(f"{out}/near/lists")
+    assert {r["count"] for r in near.groupBy("customer_id").count().collect()} == {3}
     # a damaged vector is refused when it is loaded
     artifacts.save_item_embeddings(spark.read.parquet(f"{out}/item_embeddings").withColumn("embedding", F.transform("embedding", lambda x: x * 2)), f"{out}/bad/item_embeddings")
     with pytest.raises(ValueError, match="length 1"):
