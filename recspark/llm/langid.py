@@ -30,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
@@ -51,7 +50,7 @@ _LOOPED = 16  # up to so many languages are scored one by one, more of them text
 
 def gram_buckets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, letters of each row, row, bucket) of the grams of slices of a text column."""
-    for low, data, offsets in T.slices(pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))):
+    for low, data, offsets in T.slices(column, prepare=T.lower):
         spaced = _SPACED[data]
         letters = np.diff(np.concatenate([[0], np.cumsum(spaced != 32)])[offsets])
         keep = np.ones(len(spaced), bool)

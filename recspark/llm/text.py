@@ -1,16 +1,20 @@
 """Whole texts as byte buffers: words, their hashes and n-grams of them, without a Python loop over words.
 
 Every function takes the UTF-8 bytes of an Arrow column and works on slices of
-about ``SLICE_BYTES`` and at most ``SLICE_ROWS`` rows, so that memory is bounded by a slice (or by one longer text).
+about ``SLICE_BYTES`` and at most ``SLICE_ROWS`` rows, so that memory is bounded by a slice (or by one longer text). Nothing
+is copied for more than a slice at a time, and what a batch took is given back to the machine at its end: workers are used again by
+the tasks that follow, and would else keep the most that any of them needed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 SLICE_ROWS = 2048
@@ -51,14 +55,29 @@ def _byte_codes(seed: int) -> np.ndarray:
 
 
 def _powers(base: int, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B006
-    """base^0 .. base^(n-1) modulo 2^64; the longest so far is kept by the worker."""
-    if len(kept.get(base, ())) < n:
-        row = np.full(max(n, 2 * SLICE_BYTES), base, dtype=np.uint64)
-        row[0] = 1
-        kept[base] = np.cumprod(row)
+    """base^0 .. base^(n-1) modulo 2^64; those that a slice needs are kept by the worker."""
+    if n > 2 * SLICE_BYTES:
+        return _power_row(base, n)
+    if base not in kept:
+        kept[base] = _power_row(base, 2 * SLICE_BYTES)
     return kept[base][:n]
 
 
+def _power_row(base: int, n: int) -> np.ndarray:
+    row = np.full(n, base, dtype=np.uint64)
+    row[:1] = 1
+    return np.cumprod(row, out=row)
+
+
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold but do not use to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and the rows' offsets in them; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -71,14 +90,25 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of consecutive rows with about ``size`` bytes together."""
-    data, offsets = buffers(column)
+def lower(column: pa.Array) -> pa.Array:
+    return pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))
+
+
+def slices(
+    column: pa.Array, size: int = SLICE_BYTES, prepare: Callable[[pa.Array], pa.Array] | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of consecutive rows with about ``size`` bytes together, each slice ``prepare``d by itself."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
     low = 0
-    while low < len(offsets) - 1:
-        high = max(low + 1, min(low + SLICE_ROWS, int(np.searchsorted(offsets, offsets[low] + size, side="right")) - 1))
-        yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+    while low < len(column):
+        high = max(low + 1, min(low + SLICE_ROWS, int(np.searchsorted(ends, ends[low] + size, side="right")) - 1))
+        part = column.slice(low, high - low)
+        yield low, *buffers(prepare(part) if prepare else part)
         low = high
+    give_back()
 
 
 def runs(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

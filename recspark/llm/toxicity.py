@@ -26,7 +26,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
@@ -59,10 +58,6 @@ class Model(NamedTuple):
     slope: float = 1.0
 
 
-def _lower(column: pa.Array) -> pa.Array:
-    return pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))
-
-
 def _units(data: np.ndarray, w: T.Words) -> Iterator[np.ndarray]:
     """Per level, shortest prefix first: the hash of each token's prefix, or of the whole token if it is no longer."""
     for size in PREFIXES:
@@ -75,7 +70,7 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow map over (label, text): documents and toxic documents of each unit, added up per slice."""
     for batch in batches:
         label = batch.column(0).to_numpy(zero_copy_only=False)
-        for low, data, offsets in T.slices(_lower(batch.column(1))):
+        for low, data, offsets in T.slices(batch.column(1), prepare=T.lower):
             w = T.words(data, offsets, fold=False)
             pairs = []
             for unit in _units(data, w):
@@ -179,7 +174,7 @@ def _best_segments(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Model(*model.value)
         for batch in batches:
-            for low, data, offsets in T.slices(_lower(batch.column(1))):
+            for low, data, offsets in T.slices(batch.column(1), prepare=T.lower):
                 made = [(n, _best_of(s)) for n, s in segments_of(fitted, data, offsets)]
                 columns = [
                     batch.column(0).slice(low, len(made)),
@@ -289,17 +284,19 @@ def scorer(spark, model: Model | None):
             rows = [{"score": 0.0, "evidence": 0.0, "passages": []}] * len(column)
             return pa.array(rows, _ARROW)
         fitted = Model(*sent.value)
-        best, words, passages = [], [], []
-        for _, data, offsets in T.slices(_lower(column)):
+        parts = [pa.array([], _ARROW)]
+        for _, data, offsets in T.slices(column, prepare=T.lower):
+            best, words, passages = [], [], []
             for n, found in segments_of(fitted, data, offsets):
                 best.append(_best_of(found))
                 words.append(n)
                 p = [-np.expm1(-np.exp(min(30.0, fitted.log_k + np.log(max(n, 1)) - fitted.scale * s))) for _, _, s in found]
                 passages.append([{"from": b, "to": e, "p": float(q)} for (b, e, _), q in zip(found, p, strict=True) if q < SIGNIFICANT])
-        strength = evidence(best, np.array(words), fitted.scale, fitted.log_k)
-        score = 1 / (1 + np.exp(-np.clip(fitted.intercept + fitted.slope * strength, -30, 30)))
-        made = [pa.array(score), pa.array(strength), pa.array(passages, _ARROW.field("passages").type)]
-        return pa.StructArray.from_arrays(made, names=["score", "evidence", "passages"])
+            strength = evidence(best, np.array(words), fitted.scale, fitted.log_k)
+            score = 1 / (1 + np.exp(-np.clip(fitted.intercept + fitted.slope * strength, -30, 30)))
+            made = [pa.array(score), pa.array(strength), pa.array(passages, _ARROW.field("passages").type)]
+            parts.append(pa.StructArray.from_arrays(made, names=["score", "evidence", "passages"]))
+        return pa.concat_arrays(parts)
 
     return F.arrow_udf(score, _SCORED)
 
