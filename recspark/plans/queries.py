@@ -886,7 +886,7 @@ def fitted_recall(spark, sf):
 def two_tower_fit(spark, sf):
     """Both towers trained on the train period: size of what came out, whether the loss fell, and recall on the test period."""
     tx = views.transactions(spark, sf)
-    made = fitted.fit_tower_model(tx, epochs=3, steps=4, rate=0.02, method=MD5, batch_rows=256)
+    made = fitted.fit_tower_model(tx, epochs=2, steps=3, rate=0.02, method=MD5, batch_rows=256)
     losses = made.fitted.fitted_losses
     found = fitted.tower_recall(tx, made)
     return found.select(
