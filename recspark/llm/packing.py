@@ -7,9 +7,9 @@ no more entries than a sequence has tokens. A configuration says how many pieces
 length share one sequence. The linear program over all configurations (cover every
 length as often as it occurs, with as few sequences as possible) is solved by
 multiplicative weights: lengths covered less weigh more, and a knapsack dynamic program
-finds the heaviest configuration for the weights. The solution is rounded down to whole
-sequences that the histogram still allows; this is repeated on what remains, and the last
-rest is filled by best fit, on counts as well. Pieces of one length are interchangeable:
+finds the heaviest configurations for the weights. Steps are rounded down to whole
+sequences. Rounds go on while a full sequence can be made of what is not covered yet; the
+rest, about a hundredth, is filled by best fit, on counts as well. Pieces of one length are interchangeable:
 they are numbered, task by task, and the plan says for each number which sequence and
 offset it has. No piece is moved for that.
 
@@ -26,6 +26,7 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 from pyspark.sql.window import Window
 
+from recspark.llm import text as T
 from recspark.session import freeze
 
 SEQUENCE = 2048
 END_ID = 0
-_CACHED_WORDS = 700_000
-_ROUNDS = 60
-_PHASES = 4
+_CACHED_WORDS = 300_000
+#: Share of a length that one step covers at most.
+_STEP = 0.1
+#: How a length's weight grows with the length, and how fast it falls as the length is covered.
+_SETTINGS = ((1.1, 0.5), (1.02, 0.2), (1.3, 0.1))
+#: A plan within this share of the least possible number of sequences is not tried to be bettered.
+_NEAR = 1.0005
 
 
 def _ranked(path: str):
@@ -79,7 +85,7 @@ class Encoder:
     The byte-level pre-tokeniser never joins what stands before a single space or line feed
     with what follows, as long as the neighbours are no white space themselves; a
     space goes with the word after it. So words are encoded once and kept. A text with
-    other white space is encoded as a whole.
+    other white space is encoded as a whole, and so is one that holds an added token of the file, such as an end mark.
     """
 
     def __init__(self, path: str):
@@ -87,7 +93,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.ranked = _ranked(path)
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed_bytes = array("I", [self.line_feed]).tobytes()
@@ -128,18 +134,20 @@ class Encoder:
             self.spaced.update(zip(spaced, ids[len(firsts) :], strict=True))
             self.missing_first.clear()
             self.missing_spaced.clear()
-            for i, known in enumerate(found):
-                if known is None:
-                    again = self._known(texts[i])
-                    found[i] = self._ids([texts[i]])[0] if again is None else again
-            self.missing_first.clear()
-            self.missing_spaced.clear()
+        for i, known in enumerate(found):
+            if known is None:
+                again = self._known(texts[i])
+                found[i] = self._ids([texts[i]])[0] if again is None else again
+        self.missing_first.clear()
+        self.missing_spaced.clear()
         return found
 
     def _known(self, text: str) -> bytes | None:
         """Ids of a text of known words; else None, and its unknown words are noted."""
         if not text:
             return b""
+        if any(token in text for token in self.added):
+            return None
         first, spaced = self.first.get, self.spaced.get
         lines, whole = [], True
         for line in text.split("\n"):
@@ -191,6 +199,8 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
                     made.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(made, names=names)
+        del encoder
+        T.give_back()
 
     return run
 
@@ -198,54 +208,62 @@ def _pieces(path: str, length: int, end_id: int, keep_ids: bool):
 _PIECE_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
-def heaviest(lengths: np.ndarray, limits: np.ndarray, weights: np.ndarray, size: int) -> dict[int, int]:
-    """Bounded knapsack: the pieces of greatest total weight that fit a sequence, as length index -> how many.
+def priced(lengths: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    """Knapsack by dynamic programming: the greatest weight of pieces that fit 0, 1, ... ``size`` tokens. ``lengths`` ascend."""
+    best = np.zeros(size + 1)
+    fitting = np.searchsorted(lengths, np.arange(size + 1), side="right")
+    for room in range(1, size + 1):
+        j = fitting[room]
+        best[room] = max(best[room - 1], (weights[:j] + best[room - lengths[:j]]).max(initial=0.0))
+    return best
+
+
+def configuration(seed: int, lengths: np.ndarray, weights: np.ndarray, left: np.ndarray, best: np.ndarray, size: int) -> tuple[dict[int, int], int]:
+    """The heaviest sequence that holds a piece of length number ``seed``, as length number -> how many, and its free tokens.
 
-    Copies are taken in powers of two, so that every number up to the limit can be made up.
+    It is read back from the dynamic program; no more copies are taken than are left.
     """
-    items: list[tuple[int, int]] = []
-    for i in np.flatnonzero(weights > 0):
-        left, step = min(int(limits[i]), size // int(lengths[i])), 1
-        while left > 0:
-            take = min(step, left)
-            items.append((int(i), take))
-            left -= take
-            step *= 2
-    best = np.zeros(size + 1)
-    took = np.zeros((len(items), size + 1), bool)
-    for j, (i, n) in enumerate(items):
-        room = int(lengths[i]) * n
-        with_item = best[:-room] + weights[i] * n
-        took[j, room:] = with_item > best[room:]
-        np.maximum(best[room:], with_item, out=best[room:])
-    found: dict[int, int] = {}
-    room = size
-    for j in range(len(items) - 1, -1, -1):
-        if took[j, room]:
-            i, n = items[j]
-            found[i] = found.get(i, 0) + n
-            room -= int(lengths[i]) * n
-    return found
-
-
-def fractional(lengths: np.ndarray, counts: np.ndarray, size: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations with fractional numbers of sequences, by multiplicative weights."""
-    covered = np.zeros(len(lengths))
-    used: dict[tuple, float] = {}
-    for _ in range(rounds):
-        # a little more than in proportion to length, so that short pieces are kept for what long ones leave
-        weights = (lengths / size) ** 1.3 * np.exp(-0.5 * covered)
-        weights[covered >= 1] = 0
-        if not weights.any():
-            break
-        config = heaviest(lengths, counts, weights, size)
-        step = min(min((1 - covered[i]) * counts[i] / n, max(1.0, 0.3 * counts[i] / n)) for i, n in config.items())
-        step = max(step, 1e-9)
+    config, room = {seed: 1}, size - int(lengths[seed])
+    while room > 0:
+        j = int(np.searchsorted(lengths, room, side="right"))
+        value = np.where(weights[:j] > 0, weights[:j] + best[room - lengths[:j]], 0.0)
         for i, n in config.items():
-            covered[i] += n * step / counts[i]
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + step
-    return [(dict(k), x) for k, x in used.items()]
+            if i < j and n >= left[i]:
+                value[i] = 0.0
+        if not value.any():
+            break
+        i = int(value.argmax())
+        config[i] = config.get(i, 0) + 1
+        room -= int(lengths[i])
+    return config, room
+
+
+def program(lengths: np.ndarray, counts: np.ndarray, size: int, power: float, rate: float) -> tuple[dict[tuple, int], np.ndarray]:
+    """Full configurations with numbers of sequences, and what of the histogram they leave.
+
+    Multiplicative weights: a length weighs less the more of it is covered. Each round prices all configurations with one
+    dynamic program and reads one of them back for every length that is not covered. A step covers at most ``_STEP`` of a
+    length and is rounded down to whole sequences, at least one. Columns are kept between rounds: what a later round
+    finds again is added up. Rounds go on until all lengths are covered or no full configuration is left.
+    """
+    left, pool, moved = counts.copy(), {}, True
+    while moved and left.any():
+        weights = np.where(left > 0, (lengths / size) ** power * np.exp(-rate * (1 - left / counts)), 0.0)
+        best, moved = priced(lengths, weights, size), False
+        for seed in np.flatnonzero(left)[::-1]:
+            if not left[seed]:
+                continue
+            config, room = configuration(int(seed), lengths, np.where(left > 0, weights, 0.0), left, best, size)
+            if room:
+                continue
+            most = min(left[i] // n for i, n in config.items())
+            step = int(min(most, max(1, _STEP * min(counts[i] / n for i, n in config.items()))))
+            for i, n in config.items():
+                left[i] -= n * step
+            key = tuple(sorted(config.items()))
+            pool[key] = pool.get(key, 0) + step
+            moved = True
+    return pool, left
 
 
 def best_fit(left: Counter, size: int) -> list[tuple[dict[int, int], int]]:
@@ -278,31 +296,36 @@ def best_fit(left: Counter, size: int) -> list[tuple[dict[int, int], int]]:
     return [(c, n) for g in groups.values() for c, n in g]
 
 
-def plan(histogram: dict[int, int], size: int = SEQUENCE, rounds: int = _ROUNDS, phases: int = _PHASES) -> list[tuple[dict[int, int], int]]:
-    """(length -> how many, sequences like that); together they hold the histogram exactly."""
-    left = Counter({n: c for n, c in histogram.items() if c > 0})
-    done: list[tuple[dict[int, int], int]] = []
-    if left.get(size):
-        done.append(({size: 1}, left.pop(size)))
-    for _ in range(phases):
-        if sum(left.values()) < 2:
+class Plan(NamedTuple):
+    made: list[tuple[dict[int, int], int]]  # (length -> how many, sequences like that)
+    programmed: float  # share of the pieces that the program placed, the rest being placed by best fit
+
+
+def planned(histogram: dict[int, int], size: int = SEQUENCE) -> Plan:
+    """A plan that holds the histogram exactly: of the programs of ``_SETTINGS`` the first that is near the bound, else the best."""
+    counted = {n: c for n, c in histogram.items() if c > 0}
+    whole = counted.pop(size, 0)
+    done = [({size: 1}, whole)] if whole else []
+    if not counted:
+        return Plan(done, 1.0)
+    lengths = np.array(sorted(counted), dtype=np.int64)
+    counts = np.array([counted[int(n)] for n in lengths], dtype=np.int64)
+    fewest = -(-int((lengths * counts).sum()) // size)
+    found: list[tuple[int, Plan]] = []
+    for power, rate in _SETTINGS:
+        pool, left = program(lengths, counts, size, power, rate)
+        made = [({int(lengths[i]): n for i, n in config}, x) for config, x in pool.items()]
+        made += best_fit(Counter({int(n): int(c) for n, c in zip(lengths, left, strict=True) if c}), size)
+        share = 1 - int(left.sum()) / (int(counts.sum()) + whole)
+        found.append((sum(x for _, x in made), Plan(done + made, share)))
+        if found[-1][0] <= fewest * _NEAR:
             break
-        lengths = np.array(sorted(left), dtype=np.int64)
-        counts = np.array([left[int(n)] for n in lengths], dtype=np.int64)
-        before = sum(left.values())
-        for config, x in sorted(fractional(lengths, counts, size, rounds), key=lambda c: -c[1]):
-            pieces = {int(lengths[i]): n for i, n in config.items()}
-            fill = sum(length * n for length, n in pieces.items())
-            most = min(left[length] // n for length, n in pieces.items())
-            take = min(most, int(np.ceil(x - 1e-6)) if fill == size else int(x))
-            if take > 0 and fill >= size - 1:
-                done.append((pieces, take))
-                for length, n in pieces.items():
-                    left[length] -= n * take
-        left = +left
-        if sum(left.values()) > 0.98 * before:
-            break
-    return done + best_fit(left, size)
+    return min(found, key=lambda f: (f[0], -f[1].programmed))[1]
+
+
+def plan(histogram: dict[int, int], size: int = SEQUENCE) -> list[tuple[dict[int, int], int]]:
+    """(length -> how many, sequences like that); together they hold the histogram exactly."""
+    return planned(histogram, size).made
 
 
 def slots(made: list[tuple[dict[int, int], int]]) -> np.ndarray:

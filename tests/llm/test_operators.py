@@ -170,15 +170,53 @@ def test_plan_holds_the_histogram(seed):
 def test_knapsack_is_best():
     rng = np.random.default_rng(1)
     for _ in range(20):
-        lengths, limits, weights = rng.integers(1, 9, 4), rng.integers(1, 4, 4), rng.random(4)
-        chosen = packing.heaviest(lengths, limits, weights, 15)
-        assert sum(lengths[i] * n for i, n in chosen.items()) <= 15 and all(n <= limits[i] for i, n in chosen.items())
-        best = max(
-            sum(w * k for w, k in zip(weights, c, strict=True))
-            for c in np.ndindex(*(limits + 1))
-            if sum(a * k for a, k in zip(lengths, c, strict=True)) <= 15
-        )
-        assert abs(sum(weights[i] * n for i, n in chosen.items()) - best) < 1e-9
+        lengths, weights = np.sort(rng.choice(np.arange(1, 9), 4, replace=False)), rng.random(4)
+        best = packing.priced(lengths, weights, 15)
+        for room in (0, 3, 15):
+            every = np.ndindex(*(room // lengths + 1))
+            expected = max(float(weights @ c) for c in every if lengths @ c <= room)
+            assert abs(best[room] - expected) < 1e-9
+        left = np.full(4, 99)
+        config, free = packing.configuration(2, lengths, weights, left, best, 15)
+        used = sum(lengths[i] * n for i, n in config.items())
+        assert used + free == 15 and config[2] >= 1
+        assert abs(sum(weights[i] * n for i, n in config.items()) - weights[2] - best[15 - lengths[2]]) < 1e-9
+
+
+def test_a_configuration_takes_no_more_than_is_left():
+    lengths, weights = np.array([3, 5]), np.array([0.9, 0.5])
+    config, free = packing.configuration(1, lengths, weights, np.array([2, 4]), packing.priced(lengths, weights, 20), 20)
+    assert config[0] == 2 and config[1] == 2 and free == 4
+
+
+def test_the_program_places_nearly_all_pieces():
+    rng = np.random.default_rng(2)
+    for sizes, share in ((np.clip(rng.lognormal(4, 1, 20_000).astype(int) + 1, 1, 512), 0.9), (rng.integers(1, 512, 20_000), 0.8)):
+        histogram = collections.Counter(sizes.tolist())
+        made = packing.planned(histogram, 512)
+        fewest = -(-sum(k * n for k, n in histogram.items()) // 512)
+        assert made.programmed >= share
+        assert sum(n for _, n in made.made) <= 1.03 * fewest
+
+
+def test_added_tokens_are_encoded_as_the_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> you", "<|endoftext|>", "no mark here", "a<|endoftext|>b\nhello you", "hello <|endof text"]
+    got = packing.Encoder(path).encode(texts)
+    assert got == [array("I", plain.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+
+
+def test_a_filter_of_fingerprints_finds_all_and_only_them():
+    rng = np.random.default_rng(3)
+    known = np.unique(np.minimum(rng.integers(0, 2**63, 5000), rng.integers(0, 2**63, 5000)).astype(np.uint64))
+    others = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    mixed = np.concatenate([others, known[::7], others[:50]])
+    assert (winnow.Known(known).which(mixed) == np.flatnonzero(np.isin(mixed, known))).all()
+    for few in (known[:0], known[:1]):
+        assert (winnow.Known(few).which(mixed) == np.flatnonzero(np.isin(mixed, few))).all()
 
 
 # --- near-duplicates -----------------------------------------------------------------------------------------------
@@ -482,6 +520,7 @@ def test_empty_tables(spark, tmp_path):
         "pages": "page_id bigint, url string, html string",
         "benchmark": "item_id bigint, text string",
         "labels": "doc_id bigint, quality int, toxic int",
+        "embeddings": "vec_id bigint, embedding array<float>, label int",
     }
     for name, schema in tables.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
