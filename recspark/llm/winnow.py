@@ -33,6 +33,9 @@ GRAM = 6
 #: beyond it documents keep all windows and the join alone decides.
 MAX_SENT = 4_000_000
 
+#: Bits of the filter for each fingerprint sent.
+_FILTER_BITS = 16
+
 _WINDOW_TYPE = "struct<at:int,words:int,h1:bigint,h2:bigint>"
 
 
@@ -45,11 +48,34 @@ def _winnowed(grams: np.ndarray, whole: np.ndarray, run: int) -> np.ndarray:
     return best
 
 
+class Known:
+    """A sorted set of fingerprints behind a bit filter, which most others do not pass."""
+
+    def __init__(self, prints: np.ndarray):
+        self.prints = prints
+        self.shift = np.uint64(64 - max(10, int(len(prints) * _FILTER_BITS).bit_length()))
+        at = np.unique(self._places(prints))
+        self.bits = np.zeros(1 << (64 - int(self.shift) - 3), np.uint8)
+        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def _places(self, prints: np.ndarray) -> np.ndarray:
+        # the smallest hashes of windows crowd at the low end, so they are spread again
+        return (prints * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def which(self, prints: np.ndarray) -> np.ndarray:
+        """Numbers of the fingerprints that are in the set."""
+        at = self._places(prints)
+        passed = np.flatnonzero((self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+        if not len(self.prints):
+            return passed[:0]
+        place = np.minimum(np.searchsorted(self.prints, prints[passed]), len(self.prints) - 1)
+        return passed[self.prints[place] == prints[passed]]
+
+
 def _windows_of(data: np.ndarray, offsets: np.ndarray, window: int, gram: int, lengths: tuple[int, ...], known):
     """(row, word position, words, h1, h2) of the windows with known fingerprints, and the words per row.
 
-    ``lengths`` are the numbers of words below ``window`` to look for as well; ``known`` is a
-    sorted array of fingerprints or None for all.
+    ``lengths`` are the numbers of words below ``window`` to look for as well; ``known`` is None for all.
     """
     w = T.words(data, offsets)
     second = T.span_hashes(T.FOLD[data], w.start, w.end, seed=1)
@@ -63,7 +89,9 @@ def _windows_of(data: np.ndarray, offsets: np.ndarray, window: int, gram: int, l
             prints = _winnowed(T.grams(w.hash, gram), whole, window - gram + 1)[: len(whole)]
         else:
             prints = T.grams(w.hash, size)
-        at = np.flatnonzero(whole if known is None else whole & np.isin(prints, known))
+        at = np.flatnonzero(whole)
+        if known is not None:
+            at = at[known.which(prints[at])]
         if not len(at):
             continue
         index = at[:, None] + np.arange(size)
@@ -100,7 +128,7 @@ def _document_windows(window: int, gram: int, lengths: tuple[int, ...], known):
     """Arrow map over (id, text): one row per document with its words and its windows with known fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints = None if known is None else known.value
+        prints = None if known is None else Known(known.value)
         for batch in batches:
             for low, data, offsets in T.slices(batch.column(1)):
                 (row, at, size, h1, h2, _), counts = _windows_of(data, offsets, window, gram, lengths, prints)
