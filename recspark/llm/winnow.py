@@ -51,12 +51,15 @@ def _winnowed(grams: np.ndarray, whole: np.ndarray, run: int) -> np.ndarray:
 class Known:
     """A sorted set of fingerprints behind a bit filter, which most others do not pass."""
 
-    def __init__(self, prints: np.ndarray):
+    def __init__(self, prints: np.ndarray, bits: np.ndarray | None = None):
         self.prints = prints
-        self.shift = np.uint64(64 - max(10, int(len(prints) * _FILTER_BITS).bit_length()))
-        at = np.unique(self._places(prints))
-        self.bits = np.zeros(1 << (64 - int(self.shift) - 3), np.uint8)
-        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        size = max(10, int(len(prints) * _FILTER_BITS).bit_length())
+        self.shift = np.uint64(64 - size)
+        if bits is None:
+            there = np.zeros(1 << size, bool)
+            there[self._places(prints)] = True
+            bits = np.packbits(there, bitorder="little")
+        self.bits = bits
 
     def _places(self, prints: np.ndarray) -> np.ndarray:
         # the smallest hashes of windows crowd at the low end, so they are spread again
@@ -128,7 +131,7 @@ def _document_windows(window: int, gram: int, lengths: tuple[int, ...], known):
     """Arrow map over (id, text): one row per document with its words and its windows with known fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints = None if known is None else Known(known.value)
+        prints = None if known is None else Known(*known.value)
         for batch in batches:
             for low, data, offsets in T.slices(batch.column(1)):
                 (row, at, size, h1, h2, _), counts = _windows_of(data, offsets, window, gram, lengths, prints)
@@ -170,7 +173,8 @@ def contamination(
     known = None
     if prints.count() <= max_sent:
         values = prints.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)
-        known = spark.sparkContext.broadcast(np.sort(values))
+        made = Known(np.sort(values))  # the filter is made once and sent along
+        known = spark.sparkContext.broadcast((made.prints, made.bits))
     kind = documents.schema[doc].dataType.simpleString()
     mapped = documents.select(F.col(doc).alias("id"), F.col(text).alias("text")).mapInArrow(
         _document_windows(window, gram, lengths, known), f"id {kind}, n_words bigint, windows array<{_WINDOW_TYPE}>"

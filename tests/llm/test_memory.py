@@ -42,7 +42,7 @@ mappers = {
     "toxicity": lambda: toxicity.scorer(spark, model).func(batch.column(1)),
     "language ID": lambda: langid._score(sent(np.zeros((4, langid.BUCKETS), np.float32))).func(batch.column(1)),
     "near-duplicates": lambda: drain(dartminhash._signed(5, 24, 4, False)),
-    "decontamination": lambda: drain(winnow._document_windows(10, 6, (3, 5), sent(units))),
+    "decontamination": lambda: drain(winnow._document_windows(10, 6, (3, 5), sent((units, winnow.Known(units).bits)))),
     "packing": lambda: drain(packing._pieces(tokenizer_path(), 2048, 0, False)),
 }
 text.give_back()
