@@ -20,6 +20,9 @@ from recspark.llm.queries import tokenizer_path
 from recspark.session import freeze
 
 _KEY = "_corpus_row_key"
+#: Rows that tasks hand to Python at once. Whole texts are long: ten thousand of them, Spark's default, are held several
+#: times over, by Spark, on the way and by Python.
+_ROWS_AT_ONCE = "2000"
 _TOXIC = 0.5
 
 
@@ -35,8 +38,14 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(gone, _KEY, "left_anti")
 
 
+def _in_small_batches(spark: SparkSession) -> None:
+    """For the rest of the session, as a stage is not run before it is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _ROWS_AT_ONCE)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5, learnt from all labels of the folder."""
+    _in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     score = toxicity.scorer(spark, toxicity.train(docs, labels))
     return docs.filter(score("text")["score"] < _TOXIC)
@@ -44,6 +53,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_declared_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the language that they are declared to be in, and those with a language but none declared."""
+    _in_small_batches(spark)
     keyed = _keyed(docs)
     found = langid.identify(keyed, keys=[_KEY])
     return _without(keyed, found.filter(~F.col("kept"))).select(*docs.columns)
@@ -51,6 +61,7 @@ def keep_declared_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the smallest id; of rows that are alike, one."""
+    _in_small_batches(spark)
     keyed = _keyed(docs)
     found = dartminhash.classes(keyed, extra=[_KEY])
     by_key = freeze(found.groupBy(_KEY).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdicts")
@@ -63,6 +74,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
+    _in_small_batches(spark)
     keyed = _keyed(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = winnow.contamination(keyed, benchmark, doc=_KEY)
@@ -70,6 +82,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return packing.packed(docs, tokenizer_path())
 
 
