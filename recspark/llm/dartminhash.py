@@ -17,7 +17,7 @@ an empty coordinate are thrown at again, higher up.
 Texts that agree on all four coordinates of one of 24 bands are candidates (missed at 0.8 with a
 probability under 4 in a million), compared exactly. Within a band's bucket all texts are
 compared with one of them, its head, so that a bucket costs as many comparisons as it has
-texts. Where texts of a bucket are then still in different classes, all links between these
+texts. Twice more, texts of a bucket that are in different classes meet another member, drawn by a hash. Where texts of a bucket are then still in different classes, all links between these
 texts are found by prefix filtering: similar texts share one of their rarest shingles, and enough after it.
 
 Equal word sequences are one node from the start. Words are runs of letters, digits and
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -47,6 +47,12 @@ ROWS = 4
 #: Counters of element frequencies, 8 bytes each.
 SLOTS = 1 << 21
 
+#: Times that members of different classes in one bucket meet another member before links are completed.
+_TURNS = 2
+#: Words of the bit filter that go to the tasks at most, 8 bytes each.
+_FILTER_WORDS = 1 << 24
+#: Cells that are visited at once.
+_CELLS = 1 << 18
 _U32 = np.uint64(0xFFFFFFFF)
 
 
@@ -99,7 +105,23 @@ def _throw(row, value, weight, heights, k: int, seed: int):
 
 
 def signatures(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int, k: int, seed: int = 1) -> np.ndarray:
-    """(rows, k) ids of the lowest darts; rows without shingles keep zeros. Weights are whole numbers."""
+    """(rows, k) ids of the lowest darts; rows without shingles keep zeros. Weights are whole numbers, ``row`` ascends.
+
+    Rows are thrown at in groups of about ``_CELLS`` cells, however long or short their texts are.
+    """
+    total = np.bincount(row, weights=weight, minlength=rows)
+    cells = np.cumsum(np.maximum(total, k * np.log(k) + 4 * k) + total)
+    ends = np.searchsorted(row, np.arange(rows + 1))
+    out, low = np.zeros((rows, k), np.uint64), 0
+    while low < rows:
+        high = max(low + 1, int(np.searchsorted(cells, (cells[low - 1] if low else 0) + _CELLS, side="right")))
+        some = slice(ends[low], ends[high])
+        out[low:high] = _signatures(row[some] - low, value[some], weight[some], high - low, k, seed)
+        low = high
+    return out
+
+
+def _signatures(row: np.ndarray, value: np.ndarray, weight: np.ndarray, rows: int, k: int, seed: int) -> np.ndarray:
     out = np.zeros((rows, k), np.uint64)
     total = np.bincount(row, weights=weight, minlength=rows)
     darts = k * np.log(k) + 4 * k
@@ -186,6 +208,42 @@ def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(mixed.select("band"), "band")
 
 
+def _met_across(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs (node, other) with their sizes: of buckets with several roots, one member drawn by a hash and all of other roots."""
+    across = _across(members, roots)
+    drawn = F.min_by(F.struct("node", "root", "node_units"), F.xxhash64("node", F.lit(turn))).alias("head")
+    heads = across.groupBy("band").agg(drawn).select("band", "head.*").toDF("band", "other", "other_root", "other_units")
+    met = across.join(heads, "band").filter("root != other_root")
+    return met.select("node", "other", "node_units", "other_units").distinct()
+
+
+def _bit_filter(nodes: DataFrame) -> Column | None:
+    """A test on ``row`` that all of ``nodes`` pass and few others; none where it would take over ``_FILTER_WORDS`` words.
+
+    Spark sets the bits: a row for each 64-bit word, at most a quarter of the nodes, reaches the driver. The test only
+    saves shuffled bytes, an exact join follows.
+    """
+    spark = nodes.sparkSession
+    count = nodes.count()
+    words = 1 << max(10, (count // 4).bit_length())
+    if words > _FILTER_WORDS:
+        return None
+    hashed = F.xxhash64("node")
+    word, bit = F.shiftrightunsigned(hashed, 6).bitwiseAND(words - 1), hashed.bitwiseAND(63).cast("int")
+    table = nodes.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bit"))
+    found = table.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(words, np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(bits)
+
+    def test(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy().view(np.uint64)
+        held = sent.value[((h >> np.uint64(6)) & np.uint64(words - 1)).astype(np.int64)]
+        return pa.array(((held >> (h & np.uint64(63))) & np.uint64(1)).astype(bool))
+
+    return F.arrow_udf(test, ST.BooleanType())(F.xxhash64("row"))
+
+
 def _slot_counts(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
@@ -204,7 +262,7 @@ def _prefixes(counts, similarity: float):
         known = counts.value
         for batch in batches:
             ends, values = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
-            made = []
+            made = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for i in range(batch.num_rows):
                 own = values[ends[i] : ends[i + 1]]
                 often = known[own & (len(known) - 1)]
@@ -275,10 +333,20 @@ def classes(
     met = members.filter("node != other").select("node", "other", "node_units").distinct()
     units = rows.select(F.col("row").alias("other"), F.col("units").alias("other_units"))
     tested = freeze(_close(met.join(units, "other"), similarity), "tested")
-    elements = rows.select(F.col("row").alias("node"), "elements").join(members.select("node").distinct(), "node", "left_semi")
-    elements = freeze(elements, "elements")
+    wanted = freeze(members.select("node").distinct(), "bucket-nodes")
+    able = _bit_filter(wanted)
+    few = rows.select("row", "elements") if able is None else rows.select("row", "elements").filter(able)
+    elements = freeze(few.select(F.col("row").alias("node"), "elements").join(wanted, "node", "left_semi"), "elements")
     links = _verified(tested, elements, similarity)
     roots = components(links)
+    for turn in range(_TURNS):
+        more = _close(_met_across(members.select("band", "node", "node_units"), roots, turn), similarity)
+        more = freeze(more.join(tested, ["a", "b"], "left_anti"), "met-again")
+        if more.isEmpty():
+            break
+        tested = tested.unionByName(more)
+        links = links.unionByName(_verified(more, elements, similarity))
+        roots = components(links)
     mixed = freeze(_across(members.select("band", "node"), roots).select("node", "root").distinct(), "mixed")
     if not mixed.isEmpty():
         pairs = _close(_prefix_pairs(freeze(mixed.join(elements, "node"), "open"), similarity), similarity)
