@@ -193,3 +193,17 @@ def test_state_holds_only_what_is_alive(spark, tmp_path):
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert max(held) <= 100  # of 100 keys in all: a value and two timer entries for each of the latest 20, and some that are about to go
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 80
+
+
+def test_stream_runs_in_a_session_that_names_no_store_on_disk(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    held, other = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    schema = _write_stream(spark, str(tmp_path / "in"), [(1, [1], 0), (2, [2], 10)])
+    spark.conf.set(key, other)
+    try:
+        _run(spark, str(tmp_path / "in"), schema, tmp_path)
+        assert spark.conf.get(key) == other
+    finally:
+        spark.conf.set(key, held)
+    entries = expiring_store.read_entries(spark, str(tmp_path / "table"), _at(20))
+    assert {r.key for r in entries.collect()} == {store.KEY_PREFIX + "1", store.KEY_PREFIX + "2"}
