@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recspark.functions.vectors import dot
+from recspark.operators import meet
 from recspark.operators.arrow import to_list_column, to_matrix
 
 # Layer sizes of both towers.
@@ -158,10 +158,8 @@ def encode_items(
 
 
 def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Score of each (user_index, item_index) pair: the inner product of its two vectors."""
-    return (
-        pairs.join(items.select("item_index", F.col("embedding").alias("_item")), "item_index")
-        .join(users.select("user_index", F.col("embedding").alias("_user")), "user_index")
-        .withColumn("score", dot(F.col("_user"), F.col("_item")))
-        .drop("_user", "_item")
-    )
+    """Score of each (user_index, item_index) pair: the inner product of its two vectors.
+
+    ``users`` and ``items`` are read twice and should be stored tables.
+    """
+    return meet.score_pairs(pairs, users, items, "user_index", "item_index")

@@ -27,6 +27,7 @@ from recspark.operators import (
     fit,
     indexing,
     ivf,
+    meet,
     quality,
     retrieve,
     sampling,
@@ -467,12 +468,12 @@ def pair_similarity(spark, sf):
     tx = views.transactions(spark, sf)
     vectors = views.table(spark, sf, "embeddings")
     count = vectors.count()
-    one = vectors.select(F.col("vec_id").alias("_u"), F.col("embedding").alias("_a"))
-    two = vectors.select(F.col("vec_id").alias("_i"), F.col("embedding").alias("_b"))
+    one = vectors.select(F.col("vec_id").alias("_u"), "embedding")
+    two = vectors.select(F.col("vec_id").alias("_i"), "embedding")
     pairs = sampling.positive_interactions(tx).select(
         "customer_id", "article_id", (F.col("customer_id") % count).alias("_u"), (F.col("article_id") % count).alias("_i")
     )
-    scored = pairs.join(one, "_u").join(two, "_i").withColumn("similarity", vec.dot(F.col("_a"), F.col("_b")))
+    scored = meet.score_pairs(pairs, one, two, "_u", "_i", "similarity")
     return _round(scored.select("customer_id", "article_id", "similarity"), "similarity", digits=6)
 
 
@@ -548,6 +549,7 @@ def _pair_scores(spark, sf):
         recommender.weights,
         "double",
     )
+    users = freeze(users.select("user_index", "embedding"), "user-vectors")
     return encode.score_pairs(training.two_tower_training(tx, method=MD5), users, recommender.items)
 
 
