@@ -194,3 +194,27 @@ def test_refused_vectors_are_answered_with_400(spark):
     refused = spark.createDataFrame([("b",)], "customer_id string")
     got = requests.answer_requests(requests.check_requests(asked), lists, refused).collect()
     assert {r.request_id: r.status for r in got} == {1: 200, 2: 400}
+
+
+def test_few_items_are_scored_in_double_precision(monkeypatch):
+    """Before, every score was made in double precision and every block began a list of its own."""
+    rng = np.random.default_rng(3)
+    whole, seen = retrieve._ranked, []
+    monkeypatch.setattr(retrieve, "_ranked", lambda v, x, ids, k, held, waiting: (seen.append(sum(len(w[0]) for w in waiting)), whole(v, x, ids, k, held, waiting))[1])
+    items, vectors, k = rng.normal(size=(20_000, 16)), rng.normal(size=(50, 16)), 5
+    ids, index, held = rng.permutation(20_000), np.arange(20_000), None
+    for at in range(0, 20_000, 4_000):
+        part = slice(at, at + 4_000)
+        held = retrieve._merged(held, retrieve._block_lists(vectors, items[part], ids[part], index[part], k, held), k)
+    assert sum(seen) < 50 * 20_000 // 100
+    rows, positions, scores, _ = retrieve._best_of_all(vectors, items, ids, k)
+    assert np.array_equal(held["row"], rows) and np.array_equal(held["index"], positions) and np.array_equal(held["score"], scores)
+
+
+def test_lists_are_equal_with_many_ties_and_odd_lengths():
+    rng = np.random.default_rng(4)
+    for scale in (1.0, 1e-30, 1e9, 1e20):
+        items, vectors = np.round(rng.normal(size=(3_000, 4))) * scale, np.round(rng.normal(size=(600, 4))) * scale
+        ids = rng.integers(0, 2_000, 3_000)
+        for found, expected in zip(retrieve._best(vectors, items, ids, 20), retrieve._best_of_all(vectors, items, ids, 20), strict=True):
+            assert np.array_equal(found, expected)
