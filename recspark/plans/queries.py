@@ -43,6 +43,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _USER_CONTEXT = ("customer_total_purchases", "customer_avg_price")
 _DIM = encode.EMBEDDING_DIM
+#: Rows of a written file, the work of one task.
+_FILE_ROWS = 1_000_000
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -797,7 +799,7 @@ def scan_transactions_csv(spark, sf):
     """The purchases written as CSV by several tasks and read back by name."""
     folder = f"{scratch_path(spark, 'csv')}/{retail.FILES['transactions']}"
     tx = views.transactions(spark, sf).select(*retail.CONTRACT["transactions"])
-    tx.repartition(3).write.option("header", True).csv(folder)
+    tx.repartition(_files(tx, 3)).write.option("header", True).csv(folder)
     read = retail.conform(retail.read_csv(spark, folder), "transactions")
     return read.withColumn("customer_id", F.col("customer_id").cast("bigint"))
 
@@ -805,17 +807,23 @@ def scan_transactions_csv(spark, sf):
 # streaming
 
 
-def _in_files(spark, sf, name: str, files: int = 4):
-    """A folder with the table's rows in several files, so that a stream takes several micro-batches."""
-    folder = f"{scratch_path(spark, 'stream-input')}"
-    views.table(spark, sf, name).repartition(files).write.parquet(f"{folder}/{name}.parquet")
-    return f"{folder}/{name}.parquet"
+def _files(rows: DataFrame, least: int) -> int:
+    """A multiple of ``least`` that leaves no task more than ``_FILE_ROWS`` rows."""
+    return least * max(1, -(-rows.count() // (least * _FILE_ROWS)))
+
+
+def _in_files(spark, sf, name: str, steps: int = 4) -> tuple[str, int]:
+    """A folder with the table's rows in files for a stream of several micro-batches, and the number of files of each."""
+    rows, folder = views.table(spark, sf, name), f"{scratch_path(spark, 'stream-input')}/{name}.parquet"
+    files = _files(rows, steps)
+    rows.repartition(files).write.parquet(folder)
+    return folder, files // steps
 
 
 @_query
 def stream_user_context(spark, sf):
     context = running_context.run_running_context(
-        views.purchase_stream(spark, sf, _in_files(spark, sf, "events")), "customer_id", "customer"
+        views.purchase_stream(spark, sf, *_in_files(spark, sf, "events")), "customer_id", "customer"
     )
     return _round(context, "customer_avg_price")
 
@@ -823,7 +831,7 @@ def stream_user_context(spark, sf):
 @_query
 def stream_item_context(spark, sf):
     context = running_context.run_running_context(
-        views.transaction_stream(spark, sf, _in_files(spark, sf, "lineitem")), "article_id", "item"
+        views.transaction_stream(spark, sf, *_in_files(spark, sf, "lineitem")), "article_id", "item"
     )
     return _round(context, "item_avg_price")
 
@@ -833,11 +841,11 @@ def stream_clean_transactions(spark, sf):
     """Cleaning as purchases arrive, one period after another."""
     raw = freeze(views.raw_transactions(spark, sf), "raw-purchases")
     source, table = scratch_path(spark, "purchase-files"), scratch_path(spark, "cleaned")
-    bounds = split.split_bounds(retail.with_day(raw))
+    bounds, files = split.split_bounds(retail.with_day(raw)), _files(raw, 1)
     day = F.coalesce(F.col("t_dat").try_cast("date"), F.lit(bounds.first_day))
     for part in split.split_parts(raw.withColumn("_text", F.col("t_dat")).withColumn("t_dat", day), bounds):
-        part.withColumn("t_dat", F.col("_text")).drop("_text").coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        part.withColumn("t_dat", F.col("_text")).drop("_text").repartition(files).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(source)
     clean_stream.run_clean_stream(stream, table, scratch_path(spark, "cleaned-state"))
     return clean_stream.read_cleaned(spark, table)
 
