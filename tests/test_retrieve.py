@@ -218,3 +218,46 @@ def test_lists_are_equal_with_many_ties_and_odd_lengths():
         ids = rng.integers(0, 2_000, 3_000)
         for found, expected in zip(retrieve._best(vectors, items, ids, 20), retrieve._best_of_all(vectors, items, ids, 20), strict=True):
             assert np.array_equal(found, expected)
+
+
+def _decaying(rng, n, d=16):
+    """Vectors that mostly differ along a few directions, as those of a fitted model do."""
+    m = rng.normal(size=(n, d)) * 0.5 ** np.arange(d)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def test_boxes_are_passed_over_and_lists_stay(monkeypatch):
+    """Before, every query was compared with every item."""
+    rng = np.random.default_rng(8)
+    items, vectors = _decaying(rng, 20_000), _decaying(rng, 300)
+    items[5_000:6_000] = items[:1_000]  # ties
+    ids = rng.permutation(20_000)
+    seen, matmul = [], np.matmul
+    monkeypatch.setattr(np, "matmul", lambda a, b, **kw: (seen.append(a.shape[0] * b.shape[1]), matmul(a, b, **kw))[1])
+    for k in (1, 10, 400):
+        seen.clear()
+        boxes = retrieve._boxed(items, ids, np.arange(20_000))
+        rows, positions, scores, rank = retrieve._best_in_boxes(vectors, boxes, k)
+        expected = retrieve._best_of_all(vectors, items, ids, k)
+        assert np.array_equal(rows, expected[0]) and np.array_equal(scores, expected[2]) and np.array_equal(rank, expected[3])
+        assert np.array_equal(boxes.ids[positions], ids[expected[1]])
+        assert sum(seen) < 300 * 20_000 // (4 if k < 400 else 1)
+
+
+def test_boxes_with_ties_odd_lengths_and_few_items():
+    rng = np.random.default_rng(9)
+    for scale in (1.0, 1e-30, 1e9, 1e20):
+        for n in (1, 7, 3_000):
+            items, vectors = np.round(rng.normal(size=(n, 4))) * scale, np.round(rng.normal(size=(600, 4))) * scale
+            ids = rng.integers(0, 2_000, n)
+            boxes = retrieve._boxed(items, ids, np.arange(n))
+            rows, positions, scores, rank = retrieve._best_in_boxes(vectors, boxes, 20)
+            expected = retrieve._best_of_all(vectors, items, ids, min(20, n))
+            for found, right in zip((rows, boxes.ids[positions], scores, rank), (expected[0], ids[expected[1]], *expected[2:]), strict=True):
+                assert np.array_equal(found, right)
+
+
+def test_grid_follows_the_bytes_of_both_sides():
+    """Before, the number of cells followed the shuffle partitions and every item block was copied once per row of the grid."""
+    assert retrieve.grid_of(36, 1000, 600, 10) == (1, 36) and retrieve.grid_of(36, 1000, 10, 600) == (36, 1)
+    assert retrieve.grid_of(36, 1000, 600, 600) == (6, 6) and retrieve.grid_of(36, 1000, 600, 600, 20) == (2, 20)
