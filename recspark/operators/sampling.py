@@ -21,6 +21,9 @@ SEED = 42
 
 PAIR = ["customer_id", "article_id"]
 
+#: Rows that one task groups.
+_ROWS_PER_TASK = 1_000_000
+
 
 def positive_interactions(transactions: DataFrame) -> DataFrame:
     return transactions.select(*PAIR).distinct().withColumn("label", F.lit(POSITIVE_LABEL))
@@ -54,13 +57,15 @@ def label_pairs(positives: DataFrame, candidates: DataFrame) -> DataFrame:
     Both sets meet in one grouping by pair, where the greatest label wins: that
     removes purchased and repeated candidates in a single shuffle that is
     combined beforehand. The key is the whole pair, so a customer with very many
-    rows is spread over all tasks.
+    rows is spread over all tasks. Partitions follow the number of positives, and there are no more candidates than
+    positives, so the memory of a task stays the same; ``positives`` is counted for it and should be a stored table.
     """
+    tasks = max(positives.sparkSession.sparkContext.defaultParallelism, -(-2 * positives.count() // _ROWS_PER_TASK))
     bought = positives.select(*PAIR, F.lit(POSITIVE_LABEL).alias("label"))
     offered = candidates.filter(F.col("customer_id").isNotNull()).select(
         "customer_id", F.col("negative_article_id").alias("article_id"), F.lit(NEGATIVE_LABEL).alias("label")
     )
-    return bought.unionByName(offered).groupBy(*PAIR).agg(F.max("label").alias("label"))
+    return bought.unionByName(offered).repartition(tasks, *PAIR).groupBy(*PAIR).agg(F.max("label").alias("label"))
 
 
 def unpurchased(candidates: DataFrame, positives: DataFrame) -> DataFrame:

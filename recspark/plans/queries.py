@@ -380,7 +380,7 @@ def negative_candidates(spark, sf):
 @_query
 def negative_candidates_unpurchased(spark, sf):
     tx = views.transactions(spark, sf)
-    positives = sampling.positive_interactions(tx)
+    positives = freeze(sampling.positive_interactions(tx), "positives")  # read for the candidates and for what was bought
     candidates = sampling.negative_candidates(positives, indexing.item_mapping(tx), method=MD5)
     return sampling.unpurchased(candidates, positives)
 

@@ -85,3 +85,11 @@ def test_sampling_has_no_product_join(spark, transactions):
     plan = sampled._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert features.label_distribution(sampled).count() == 2
+
+
+def test_grouping_of_pairs_has_tasks_by_rows(transactions, monkeypatch):
+    """Before, the number of tasks followed the session, so the memory of one grew with the pairs."""
+    monkeypatch.setattr(sampling, "_ROWS_PER_TASK", 10)
+    positives = sampling.stored_positives(transactions)
+    candidates = sampling.negative_candidates(positives, indexing.item_mapping(positives))
+    assert sampling.label_pairs(positives, candidates).rdd.getNumPartitions() == -(-2 * positives.count() // 10)
