@@ -17,7 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,8 +39,11 @@ _VECTORS, _LISTS = "vectors", "lists"
 _UNIT = float(1 << 20)
 _ITEM_BLOCK = 8_192
 _QUERY_BLOCK = 2_048
-#: Query blocks that one task meets a block of items with.
+#: Lists that a block of queries meets before what it found in them is merged.
 _MEETINGS = 64
+#: Next lists begin this far apart among the item groups.
+_SPREAD = 7_919
+_ITEM, _QUERY = range(2)
 _DRAWS = 1 << 30
 
 
@@ -198,72 +201,154 @@ class Search(NamedTuple):
 def search(queries: DataFrame, index: Index, probes: int, k: int = retrieve.TOP_K, key: str = "customer_id") -> Search:
     """The k best items of each query among those of its ``probes`` nearest lists, ranked from 1; ties by article.
 
-    Query rows are numbered, so rows that share a key or have none get a list each. Blocks of queries and
-    blocks of items of one list meet by (list, block, group of query blocks), so neither a large list nor one
-    that every query asks for ends up in one task.
+    Query rows are numbered, so rows that share a key or have none get a list each. Which lists a query asks for travels
+    as one bit a list. Blocks of the lists are dealt to item groups and queries to query groups, and a cell of both is one
+    task's work: it keeps its blocks, and the queries that ask for one of them pass by. So neither a large list nor one that
+    every query asks for ends up in one task, and a query is copied once per item group at most, not once per list.
     """
     if k <= 0 or probes <= 0:
         raise ValueError("top_k and probes must be greater than zero")
     spark, size = queries.sparkSession, index.size
     schema = retrieve._result_schema(queries.schema[key])
-    numbered = queries.select(F.struct(F.col(key).alias("key"), F.monotonically_increasing_id().alias("number")).alias("id"), "embedding")
-    asked = freeze(nearest_lists(numbered, index, "id", probes).select("id.key", "id.number", "embedding", "list"), "probes")
-    wanted = asked.groupBy("list").agg(F.count("*").alias("queries")).join(index.counts, "list")
-    groups = F.ceil(F.col("queries") / F.lit(_QUERY_BLOCK * _MEETINGS)).cast("int")
-    wanted = freeze(wanted.withColumn("groups", groups), "wanted-lists")
+    key_type = queries.schema[key].dataType
+    numbered = queries.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_query"), "embedding")
+    asked = freeze(_asked(numbered, index, probes), "probes")
+    wanted = freeze(_askers(asked, len(index.lists), index.lists).join(index.counts, "list"), "wanted-lists")
     scored, lists_read = wanted.agg(F.coalesce(F.sum(F.col("queries") * F.col("items")), F.lit(0)), F.count("*")).first()
-    names = [r["list"] for r in wanted.select("list").collect()]  # at most one for each centroid
+    sizes = wanted.select("list", "items", "blocks").collect()  # at most one for each centroid
+    names = [r["list"] for r in sizes]
     if not names:
         return Search(spark.createDataFrame([], schema), 0, 0)
-    sizes = F.broadcast(wanted)  # likewise
-    entry = F.struct("article_id", "item_index", "embedding")
-    items = vectors(spark, index, names).groupBy("list", "block").agg(F.collect_list(entry).alias("_items"))
-    items = items.join(sizes.select("list", "groups"), "list").select(
-        F.col("list").alias("_list"),
-        F.col("block").alias("_block"),
-        F.col("_items.article_id").alias("ids"),
-        F.col("_items.item_index").alias("indices"),
-        F.flatten("_items.embedding").alias("item_vectors"),
-        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("_group"),
+    row_bytes, count = 8 * size + 16, sum(r["items"] for r in sizes)
+    tasks = retrieve._CELLS_PER_CORE * spark.sparkContext.defaultParallelism
+    query_count = asked.count()
+    query_groups, item_groups = retrieve.grid_of(
+        tasks, sum(r["blocks"] for r in sizes), count * row_bytes, query_count * (row_bytes + 24 * k), -(-count * row_bytes // retrieve._GROUP_BYTES)
     )
-    part = F.pmod(F.xxhash64("number"), F.ceil(F.col("queries") / F.lit(_QUERY_BLOCK))).cast("int")
-    packed = (
-        asked.join(sizes, "list")
-        .groupBy("list", "groups", "blocks", part.alias("part"))
-        .agg(F.collect_list(F.struct("key", "number", "embedding")).alias("_q"))
-        .select(
-            "list",
-            F.pmod("part", "groups").alias("group"),
-            F.col("_q.key").alias("keys"),
-            F.col("_q.number").alias("numbers"),
-            F.flatten("_q.embedding").alias("query_vectors"),
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        )
-    )
-    met = packed.join(items, (F.col("list") == F.col("_list")) & (F.col("block") == F.col("_block")) & (F.col("group") == F.col("_group")))
-    partial = T.StructType([schema[0], *schema.fields[1:], T.StructField("_query", T.LongType())])
-
-    def matrix(row: pa.RecordBatch, name: str) -> np.ndarray:
-        return row.column(name).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+    query_groups = max(1, min(query_groups, query_count))
+    place = {int(n): i for i, n in enumerate(index.lists)}  # bit of a list
+    masks = np.zeros((item_groups, len(index.lists)), bool)
+    for r in sizes:
+        masks[(r["list"] * _SPREAD + np.arange(min(r["blocks"], item_groups))) % item_groups, place[r["list"]]] = True
+    masks = np.packbits(masks, axis=1)
+
+    none = F.lit(None).cast("bigint")
+    item_group = F.pmod(F.col("list").cast("bigint") * _SPREAD + F.col("block"), F.lit(item_groups))
+    every = F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1)))
+    item_rows = vectors(spark, index, names).withColumn("_other", every).select(
+        (F.col("_other") * item_groups + item_group).cast("int").alias("_cell"), F.lit(_ITEM).alias("_kind"),
+        F.lit(None).cast(key_type).alias("_key"), none.alias("_query"), F.col("list").cast("int"),
+        F.col("article_id").cast("bigint"), F.col("item_index").cast("bigint"), F.lit(None).cast("binary").alias("_bits"), "embedding",
+    )
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = _bits_of(batch.column("_bits"), masks.shape[1])
+            row, group = np.nonzero(np.stack([(bits & mask).any(1) for mask in masks], axis=1))
+            taken = batch.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(group.astype(np.int32))], names=[*taken.schema.names, "_group"])
+
+    query_group = F.pmod(F.xxhash64("_query"), F.lit(query_groups))
+    query_rows = asked.mapInArrow(copied, T.StructType([*asked.schema, T.StructField("_group", T.IntegerType())])).select(
+        (query_group * item_groups + F.col("_group")).cast("int").alias("_cell"), F.lit(_QUERY).alias("_kind"), "_key", "_query",
+        F.lit(None).cast("int").alias("list"), none.alias("article_id"), none.alias("item_index"), "_bits", "embedding",
+    )
+    rows = (
+        item_rows.unionByName(query_rows)
+        .repartitionById(query_groups * item_groups, F.col("_cell"))
+        .sortWithinPartitions("_cell", "_kind", "list")
+    )
+    lists = retrieve.list_schema(key_type)
+    columns_of = ("list", "article_id", "item_index")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, held = None, [], None
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                vectors, others = matrix(row, "query_vectors"), matrix(row, "item_vectors")
-                ids, indices = (row.column(c).flatten().to_numpy() for c in ("ids", "indices"))
-                best = retrieve._block_lists(vectors, others, ids, indices, k)
-                keys, numbers = row.column("keys").flatten(), row.column("numbers").flatten().to_numpy()
-                columns = [keys.take(pa.array(best["row"])), pa.nulls(len(best), pa.int32())]
-                columns += [pa.array(best[c]) for c in ("id", "index", "score")] + [pa.array(numbers[best["row"]])]
-                yield pa.RecordBatch.from_arrays(columns, names=partial.names)
-
-    best = Window.partitionBy("_query").orderBy(F.desc("similarity"), "article_id")
-    needed = met.select("keys", "numbers", "query_vectors", "ids", "indices", "item_vectors")
-    found = needed.mapInArrow(meet, partial).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+            cells, kinds = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_cell", "_kind"))
+            starts = [0, *(np.flatnonzero((np.diff(cells) != 0) | (np.diff(kinds) != 0)) + 1), batch.num_rows]
+            for first, end in zip(starts, starts[1:], strict=False):
+                if first == end:
+                    continue
+                if cells[first] != at:
+                    at, parts, held = cells[first], [], None
+                run_of = batch.slice(first, end - first)
+                if kinds[first] == _ITEM:
+                    parts.append((to_matrix(run_of.column("embedding"), size).copy(), *(run_of.column(c).to_numpy(zero_copy_only=False) for c in columns_of)))
+                    continue
+                if parts:
+                    held, parts = [np.concatenate([part[c] for part in parts]) for c in range(4)], []
+                for begin in range(0, run_of.num_rows if held else 0, _QUERY_BLOCK):
+                    some = run_of.slice(begin, _QUERY_BLOCK)
+                    bits = np.unpackbits(_bits_of(some.column("_bits"), masks.shape[1]), axis=1).view(bool)
+                    best = _best_of_lists(to_matrix(some.column("embedding"), size), bits, held, place, k)
+                    yield retrieve.list_rows(some.column("_key"), some.column("_query"), *(best[c] for c in ("row", "id", "index", "score")), lists)
+
+    found = retrieve.merged_lists(rows.mapInArrow(meet, lists), key, k, item_groups)
     return Search(found.select(*schema.names), scored, lists_read)
 
 
+def _bits_of(column: pa.Array, width: int) -> np.ndarray:
+    """Packed bits of the lists that each query asks for, a row a query."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _asked(numbered: DataFrame, index: Index, probes: int) -> DataFrame:
+    """``numbered`` with one bit for each list of the index: whether it is among the ``probes`` nearest."""
+    shared = numbered.sparkSession.sparkContext.broadcast(index.centroids)
+    size, probes = index.size, min(probes, len(index.centroids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centroids = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, _QUERY_BLOCK):
+                part = batch.slice(at, _QUERY_BLOCK)
+                near = np.argsort(_order(to_matrix(part.column("embedding"), size), centroids), axis=1, kind="stable")[:, :probes]
+                asked = np.zeros((part.num_rows, len(centroids)), bool)
+                np.put_along_axis(asked, near, True, axis=1)
+                bits = pa.array([row.tobytes() for row in np.packbits(asked, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, bits], names=[*part.schema.names, "_bits"])
+
+    return numbered.mapInArrow(run, T.StructType([*numbered.schema, T.StructField("_bits", T.BinaryType())]))
+
+
+def _askers(asked: DataFrame, count: int, names: np.ndarray) -> DataFrame:
+    """``(list, queries)``: how many queries ask for each list that some query asks for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(count, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _QUERY_BLOCK):
+                bits = _bits_of(batch.column("_bits").slice(at, _QUERY_BLOCK), -(-count // 8))
+                total += np.unpackbits(bits, axis=1, count=count).sum(0, dtype=np.int64)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(names[met], pa.int32()), pa.array(total[met])], names=["list", "queries"])
+
+    return asked.select("_bits").mapInArrow(run, "list int, queries bigint").groupBy("list").agg(F.sum("queries").alias("queries"))
+
+
+def _best_of_lists(queries: np.ndarray, bits: np.ndarray, held, place: dict[int, int], k: int) -> np.ndarray:
+    """The k best of each query among the lists that it asks for, of a cell's items in the order of their lists."""
+    items, of, ids, indices = held
+    names, starts = np.unique(of, return_index=True)
+    best, waiting = None, []
+    for number, (name, at, end) in enumerate(zip(names, starts, [*starts[1:], len(of)], strict=True)):
+        rows = np.flatnonzero(bits[:, place[int(name)]])
+        if len(rows):
+            known = None
+            if best is not None and len(best):  # lists of these queries so far, by their new row
+                known = best[np.isin(best["row"], rows)]
+                known["row"] = np.searchsorted(rows, known["row"])
+            found = retrieve._block_lists(queries[rows], items[at:end], ids[at:end], indices[at:end], k, known)
+            found["row"] = rows[found["row"]]
+            waiting.append(found)
+        if waiting and (best is None or (number + 1) % _MEETINGS == 0 or end == len(of)):
+            best = retrieve._merged(best if best is not None else np.zeros(0, retrieve._LIST), np.concatenate(waiting), k)
+            waiting = []
+    if waiting:
+        best = retrieve._merged(best, np.concatenate(waiting), k)
+    return best if best is not None else np.zeros(0, retrieve._LIST)
+
+
 def probes_for(
     queries: DataFrame, items: DataFrame, index: Index, recall: float = TARGET_RECALL, k: int = retrieve.TOP_K,
     key: str = "customer_id", rows: int = TUNING_QUERIES, seed: int = 7,

@@ -352,16 +352,7 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
         .repartitionById(query_groups * item_groups, F.col("_cell"))
         .sortWithinPartitions("_cell", "_kind")
     )
-    long_list = T.ArrayType(T.LongType())
-    lists = T.StructType(
-        [
-            T.StructField("_key", key_field.dataType),
-            T.StructField("_query", T.LongType()),
-            T.StructField("article_id", long_list),
-            T.StructField("item_index", long_list),
-            T.StructField("similarity", T.ArrayType(T.DoubleType())),
-        ]
-    )
+    lists = list_schema(key_field.dataType)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, parts, held = None, [], None
@@ -387,13 +378,18 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
                     yield _finished((keys, numbers, held, _best_in_boxes(vectors[some], held, k)), lists)
 
     found = rows.mapInArrow(meet, lists)
+    return merged_lists(found, key, k, item_groups)
+
+
+def merged_lists(found: DataFrame, key: str, k: int, parts: int) -> DataFrame:
+    """Ranked rows of ``(_key, _query, article_id, item_index, similarity)``, the last three arrays: up to ``parts`` lists of a query."""
     entry = "array<struct<score:double,article_id:bigint,item_index:bigint>>"
 
     def entries(lists: Column) -> Column:
         return F.arrays_zip(F.transform(lists["similarity"], lambda s: -s), lists["article_id"], lists["item_index"]).cast(entry)
 
     one_list = F.struct("similarity", "article_id", "item_index")
-    if item_groups > 1:  # a query has a list of at most k entries for each item group
+    if parts > 1:  # each of at most k entries
         found = found.groupBy("_query").agg(F.first("_key").alias("_key"), F.collect_list(one_list).alias("_lists"))
         best = F.slice(F.sort_array(F.flatten(F.transform("_lists", entries))), 1, k)
     else:
@@ -407,6 +403,20 @@ def _top_k_blocks(queries, items, k: int, key: str, count: int, size: int, schem
     )
 
 
+def list_schema(key_type: T.DataType) -> T.StructType:
+    """One row for a query, its list in arrays."""
+    long_list = T.ArrayType(T.LongType())
+    return T.StructType(
+        [
+            T.StructField("_key", key_type),
+            T.StructField("_query", T.LongType()),
+            T.StructField("article_id", long_list),
+            T.StructField("item_index", long_list),
+            T.StructField("similarity", T.ArrayType(T.DoubleType())),
+        ]
+    )
+
+
 def _block_lists(vectors: np.ndarray, items: np.ndarray, ids: np.ndarray, indices: np.ndarray, k: int, held: np.ndarray | None = None) -> np.ndarray:
     """Rows (query row, article, index, score) of the k best of each query in one block of items; what cannot enter ``held`` may be left out."""
     floor = np.full(vectors.shape[0], -np.inf)
@@ -440,8 +450,13 @@ def _merged(held: np.ndarray | None, found: np.ndarray, k: int) -> np.ndarray:
 def _finished(found, schema: T.StructType) -> pa.RecordBatch:
     """One row for each query, its list."""
     keys, numbers, items, (rows, positions, scores, _) = found
+    return list_rows(keys, numbers, rows, items.ids[positions], items.indices[positions], scores, schema)
+
+
+def list_rows(keys: pa.Array, numbers: pa.Array, rows, ids, indices, scores, schema: T.StructType) -> pa.RecordBatch:
+    """Entries, those of a query one after the other, as arrays of their query."""
     offsets = pa.array(np.searchsorted(rows, np.arange(len(numbers) + 1)).astype(np.int32))
-    columns = [pa.array(items.ids[positions], pa.int64()), pa.array(items.indices[positions], pa.int64()), pa.array(scores)]
+    columns = [pa.array(ids, pa.int64()), pa.array(indices, pa.int64()), pa.array(scores)]
     return pa.RecordBatch.from_arrays([keys, numbers, *(pa.ListArray.from_arrays(offsets, c) for c in columns)], names=schema.names)
 
 
