@@ -261,3 +261,14 @@ def test_grid_follows_the_bytes_of_both_sides():
     """Before, the number of cells followed the shuffle partitions and every item block was copied once per row of the grid."""
     assert retrieve.grid_of(36, 1000, 600, 10) == (1, 36) and retrieve.grid_of(36, 1000, 10, 600) == (36, 1)
     assert retrieve.grid_of(36, 1000, 600, 600) == (6, 6) and retrieve.grid_of(36, 1000, 600, 600, 20) == (2, 20)
+
+
+def test_two_boxes_that_all_queries_begin_with():
+    """Every query meets both boxes first, in its own order."""
+    rng = np.random.default_rng(10)
+    items, vectors, ids = _decaying(rng, 300), _decaying(rng, 200), rng.permutation(300)
+    boxes = retrieve._boxed(items, ids, np.arange(300))
+    assert len(boxes.starts) == 3
+    rows, positions, scores, _ = retrieve._best_in_boxes(vectors, boxes, 10)
+    expected = retrieve._best_of_all(vectors, items, ids, 10)
+    assert np.array_equal(rows, expected[0]) and np.array_equal(boxes.ids[positions], ids[expected[1]]) and np.array_equal(scores, expected[2])
