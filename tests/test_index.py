@@ -90,3 +90,12 @@ def test_index_of_nothing_and_bad_arguments(spark, tmp_path, built):
     with pytest.raises(ValueError):
         ivf.search(_queries(items), index, 0, key="query_id")
     assert ivf.search(_queries(items).limit(0), index, 2, key="query_id").lists.collect() == []
+
+
+def test_a_query_is_stored_once_however_many_lists_it_asks_for(built, monkeypatch):
+    """Before, a query's vector was written and shuffled once for each list that it asks for."""
+    items, index = built
+    stored, freeze = {}, ivf.freeze
+    monkeypatch.setattr(ivf, "freeze", lambda df, name: stored.setdefault(name, freeze(df, name)))
+    ivf.search(_queries(items).filter("query_id % 30 = 0"), index, len(index.centroids), key="query_id")
+    assert stored["probes"].count() == 100
