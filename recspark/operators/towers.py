@@ -1,13 +1,14 @@
 """Both towers trained on labelled pairs, with logistic loss and Adam, over all executors.
 
-An epoch is cut into batches of fixed rows and its batches into steps. In a step every batch of the step is one task's
-work: its rows meet the embeddings of their customers and articles, and the batch gives the gradient of every dense weight
-and of every embedding row it touched. Spark adds the gradients up by key. Dense weights, whose number follows from the
-architecture, are updated on the driver; embedding rows, which grow with the data, by a join with the table that holds
-them and their Adam moments.
-
-Batches are the same rows in the same order on any cluster, and gradients are added as whole numbers (times 2^30), so a
-fit depends on its seed and not on partitions. Moments of an embedding row change only in the steps that touch it.
+An epoch is cut into batches of fixed rows and its batches into steps. In a step all keys pass their tower once, in blocks of
+fixed keys, and their unit vectors meet the pairs of the step in cells, one group of customers by one of articles: a vector is
+sent once per group of the other side, not once per pair. A cell adds up the gradients of the unit vectors that its pairs
+touch. They go to the state, which stays in its buckets, where each block goes back through its tower: that moves the embedding
+rows, which grow with the data, with their Adam moments, and gives the gradient of every dense weight. Dense weights, whose
+number follows from the architecture, are updated on the driver.
+
+Batches are the same rows in the same order on any cluster, and gradients of pairs and of blocks are added as whole numbers
+(times 2^30), so a fit depends on its seed and not on partitions. Moments of an embedding row change only in the steps that touch it.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.operators import batches, encode
 from recspark.operators.arrow import to_list_column, to_matrix
-from recspark.session import freeze
+from recspark.session import freeze, scratch_path
 
 # Learning rate and the constants of Adam.
 LEARNING_RATE = 0.001
@@ -32,8 +33,14 @@ STEPS = 4
 HELD_OUT = 10  # one batch in so many
 _DIM = encode.EMBEDDING_DIM
 _FIXED = float(1 << 30)
-#: Rows of gradient sums: of a customer, of an article, of 64 dense weights, and of loss and row count.
-_USER, _ITEM, _DENSE, _LOSS = range(4)
+#: Keys of a block, whose rows pass a tower together; and keys or pairs of a step for which another cell is worth its copies.
+_BLOCK, _KEYS_A_CELL, _PAIRS_A_CELL = 4_096, 400_000, 3_000_000
+_PAIRS_AT_ONCE = 16_384
+#: Unit vectors that a cell keeps (and gradients of the same size), and state of one bucket.
+_CELL_BYTES = 512 * 1024 * 1024
+_BUCKET_BYTES = 128 * 1024 * 1024
+#: Rows that cells meet: customers, articles, pairs; and sums of loss and row count, fitted and held out.
+_USER, _ITEM, _PAIR, _LOSS = range(4)
 _SIDES = (("user", _USER, "user_index"), ("item", _ITEM, "item_index"))
 _SHAPES = {
     encode.CONTEXT: (encode.CONTEXT_DIM, encode.CONTEXT_UNITS),
@@ -133,58 +140,144 @@ def loss_and_gradients(weights: Weights, users: np.ndarray, user_context: np.nda
     return float(loss.sum()), {"user": user_grads, "item": item_grads}, d_users, d_items
 
 
-_COLUMNS = [f"g{i}" for i in range(_DIM)]
-_SUMS = "kind int, index bigint, " + ", ".join(f"{c} bigint" for c in _COLUMNS)
+def _fixed(values: np.ndarray) -> np.ndarray:
+    return np.rint(values * _FIXED).astype(np.int64)
 
 
-def _batch_of(table: pa.Table):
-    """Arrays of one batch, its rows in the order of their numbers."""
-    table = table.sort_by("row_number")
-    matrix = lambda c, n: to_matrix(table.column(c).combine_chunks(), n)
-    vectors = [matrix(f"{side}_embedding", _DIM) for side, *_ in _SIDES]
-    contexts = [matrix(f"{side}_context", encode.CONTEXT_DIM) for side, *_ in _SIDES]
-    return table, vectors[0], contexts[0], vectors[1], contexts[1], table.column("label").to_numpy().astype(np.float64)
+def _dense_of(grads: dict[str, encode.Layer]) -> np.ndarray:
+    return np.concatenate([np.concatenate([grads[n].weight.reshape(-1), grads[n].bias]) for n in _SHAPES])
 
 
-def _fixed(values: np.ndarray) -> np.ndarray:
-    return np.rint(values * _FIXED).astype(np.int64)
+def _tower(kind: int) -> str:
+    return next(side for side, k, _ in _SIDES if k == kind)
 
 
-def _gradient_rows(shared):
-    """One batch to rows of whole-number sums: touched embeddings, dense weights, loss."""
-
-    def run(table: pa.Table) -> pa.Table:
-        weights = unflat(shared.value)
-        table, *parts = _batch_of(table)
-        loss, grads, d_users, d_items = loss_and_gradients(weights, *parts)
-        kinds, keys, sums = [], [], []
-        for (_, kind, index), d in zip(_SIDES, (d_users, d_items), strict=True):
-            key = table.column(index).to_numpy()
-            order = np.argsort(key, kind="stable")
-            met, first = np.unique(key[order], return_index=True)
-            kinds.append(np.full(len(met), kind))
-            keys.append(met)
-            sums.append(_fixed(np.add.reduceat(d[order], first, axis=0)))
-        dense = flat(grads)
-        dense = _fixed(np.pad(dense, (0, -len(dense) % _DIM))).reshape(-1, _DIM)
-        told = np.zeros((1, _DIM), np.int64)
-        told[0, :2] = _fixed(np.array([loss]))[0], len(table)
-        kinds += [np.full(len(dense), _DENSE), np.full(1, _LOSS)]
-        keys += [np.arange(len(dense)), np.zeros(1, np.int64)]
-        sums = np.concatenate([*sums, dense, told])
-        columns = [pa.array(np.concatenate(kinds).astype(np.int32)), pa.array(np.concatenate(keys).astype(np.int64)), *(pa.array(c) for c in sums.T)]
-        return pa.table(columns, names=["kind", "index", *_COLUMNS])
+def _unit_rows(shared):
+    """Unit vectors of one block of keys."""
+
+    def run(key, table):
+        table = table.sort_by("index")
+        parts = [to_matrix(table.column(c).combine_chunks(), n) for c, n in (("embedding", _DIM), ("context", encode.CONTEXT_DIM))]
+        unit = forward(unflat(shared.value)[_tower(key[0].as_py())], *parts).unit
+        return table.select(["kind", "block", "index"]).append_column("unit", to_list_column(unit, pa.float64()))
 
     return run
 
 
-def _loss_rows(shared):
-    def run(table: pa.Table) -> pa.Table:
-        _, *parts = _batch_of(table)
-        loss, *_ = loss_and_gradients(unflat(shared.value), *parts)
-        return pa.table([pa.array(_fixed(np.array([loss]))), pa.array([len(table)])], names=["loss", "n"])
+class _Cell:
+    """Vectors of one group of customers and one of articles, and the whole-number gradients of those that pairs touch."""
+
+    def __init__(self, vectors: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> None:
+        self.keys, self.units, self.sums, self.touched = {}, {}, {}, {}
+        self.told = np.zeros(4, np.int64)
+        for _, kind, _ in _SIDES:
+            parts = vectors[kind] or [(np.zeros(0, np.int64), np.zeros((0, _DIM)))]
+            keys = np.concatenate([k for k, _ in parts])
+            order = np.argsort(keys, kind="stable")
+            self.keys[kind] = keys[order]
+            self.units[kind] = np.concatenate([u for _, u in parts])[order]
+            self.sums[kind] = np.zeros(self.units[kind].shape, np.int64)
+            self.touched[kind] = np.zeros(len(keys), bool)
+            parts.clear()
+
+    def add(self, users: np.ndarray, items: np.ndarray, label: np.ndarray, held: np.ndarray) -> None:
+        at = {kind: np.searchsorted(self.keys[kind], keys) for kind, keys in ((_USER, users), (_ITEM, items))}
+        u, i = (self.units[kind][at[kind]] for kind in (_USER, _ITEM))
+        logit = (u * i).sum(1)
+        loss = _fixed(np.maximum(logit, 0) - logit * label + np.log1p(np.exp(-np.abs(logit))))
+        self.told += [loss[~held].sum(), (~held).sum(), loss[held].sum(), held.sum()]
+        d_logit = (1 / (1 + np.exp(-logit)) - label)[~held, None]
+        for kind, other in ((_USER, i), (_ITEM, u)):
+            place = at[kind][~held]
+            if len(place):
+                order = np.argsort(place, kind="stable")
+                met, first = np.unique(place[order], return_index=True)
+                self.sums[kind][met] += np.add.reduceat(_fixed(d_logit * other[~held])[order], first, axis=0)
+                self.touched[kind][met] = True
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for _, kind, _ in _SIDES:
+            met = np.flatnonzero(self.touched[kind])
+            for begin in range(0, len(met), _BLOCK):
+                some = met[begin : begin + _BLOCK]
+                yield _sums_batch(kind, self.keys[kind][some], self.sums[kind][some])
+        yield _sums_batch(_LOSS, np.zeros(1, np.int64), self.told[None, :])
+
+
+def _sums_batch(kind: int, keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys // _BLOCK), pa.array(keys), to_list_column(sums, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "block", "index", "sums"])
+
+
+def _meet(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells one after the other: their vectors first, then their pairs."""
+    at, vectors, cell = None, {_USER: [], _ITEM: []}, None
+    for batch in batches_:
+        cells, kinds = (batch.column(c).to_numpy() for c in ("cell", "kind"))
+        starts = [0, *(np.flatnonzero((np.diff(cells) != 0) | (np.diff(kinds) != 0)) + 1), batch.num_rows]
+        for first, end in zip(starts, starts[1:], strict=False):
+            if first == end:
+                continue
+            if cells[first] != at:
+                if cell:
+                    yield from cell.rows()
+                at, vectors, cell = cells[first], {_USER: [], _ITEM: []}, None
+            run_of = batch.slice(first, end - first)
+            if kinds[first] != _PAIR:
+                vectors[kinds[first]].append((run_of.column("index").to_numpy().copy(), to_matrix(run_of.column("unit"), _DIM).copy()))
+                continue
+            cell = cell or _Cell(vectors)
+            columns = [run_of.column(c).to_numpy(zero_copy_only=False) for c in ("index", "other", "label", "held")]
+            for begin in range(0, len(columns[0]), _PAIRS_AT_ONCE):
+                cell.add(*(c[begin : begin + _PAIRS_AT_ONCE] for c in columns))
+    if cell:
+        yield from cell.rows()
+
+
+def grid_of(tasks: int, users: int, items: int, pairs: int) -> tuple[int, int]:
+    """(customer groups, article groups) of the cells: as few copied vectors as their work and the memory of a cell allow."""
+    row, tasks = 8 * _DIM, max(1, min(tasks, max(-(-(users + items) // _KEYS_A_CELL), -(-pairs // _PAIRS_A_CELL))))
+    best = None
+    for across in range(1, max(tasks, -(-4 * items * row // _CELL_BYTES)) + 1):
+        room = _CELL_BYTES - -(-items // across) * row
+        if room < _BLOCK * row:
+            continue
+        down = max(1, -(-tasks // across), -(-users * row // room))
+        copies = users * across + items * down
+        best = min(best or (copies, down, across), (copies, down, across))
+    return best[1:]
+
+
+def _sums(state: DataFrame, pairs: DataFrame, values: np.ndarray, grid: tuple[int, int]) -> DataFrame:
+    """(kind, block, index, sums): gradients of the unit vectors that pairs touch, and losses, not yet added up over cells.
+
+    A vector is copied once per group of the other side, however many pairs it has.
+    """
+    return _met(state, pairs, values, grid).mapInArrow(_meet, "kind int, block bigint, index bigint, sums array<bigint>")
 
-    return run
+
+def _met(state: DataFrame, pairs: DataFrame, values: np.ndarray, grid: tuple[int, int]) -> DataFrame:
+    """Vectors and pairs, each in the partitions of its cells."""
+    down, across = grid
+    shared = state.sparkSession.sparkContext.broadcast(values)
+    units = state.select("kind", "block", "index", "context", "embedding").groupBy("kind", "block")
+    units = units.applyInArrow(_unit_rows(shared), "kind int, block bigint, index bigint, unit array<double>")
+    cell = lambda user_block, item_block: F.pmod(user_block, F.lit(down)) * across + F.pmod(item_block, F.lit(across))
+    is_user, block = F.col("kind") == _USER, F.col("block")
+    copies = F.sequence(F.lit(0), F.when(is_user, across - 1).otherwise(down - 1))
+    vectors = units.withColumn("_other", F.explode(copies)).select(
+        F.when(is_user, cell(block, F.col("_other"))).otherwise(cell(F.col("_other"), block)).cast("int").alias("cell"), "kind", "index",
+        F.lit(0).cast("bigint").alias("other"), F.lit(0.0).alias("label"), F.lit(False).alias("held"), "unit",
+    )
+    asked = pairs.select(
+        cell(_block("user_index"), _block("item_index")).cast("int").alias("cell"), F.lit(_PAIR).alias("kind"), F.col("user_index").alias("index"),
+        F.col("item_index").alias("other"), F.col("label").cast("double").alias("label"), "held", F.array().cast("array<double>").alias("unit"),
+    )
+    return vectors.unionByName(asked).repartitionById(down * across, F.col("cell")).sortWithinPartitions("cell", "kind")
+
+
+def _block(index: str) -> Column:
+    return F.floor(F.col(index) / _BLOCK).cast("bigint")
 
 
 def _start(table: DataFrame, index: str, context: tuple[str, str], seed: int) -> DataFrame:
@@ -197,12 +290,6 @@ def _start(table: DataFrame, index: str, context: tuple[str, str], seed: int) ->
     )
 
 
-def _met(rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    for state, (side, _, index) in zip((items, users), reversed(_SIDES), strict=True):
-        rows = rows.join(state.select(index, F.col("context").alias(f"{side}_context"), F.col("embedding").alias(f"{side}_embedding")), index)
-    return rows
-
-
 def _stepped(value: np.ndarray, m: np.ndarray, v: np.ndarray, grad: np.ndarray, rate: float, step: int):
     m = BETA_1 * m + (1 - BETA_1) * grad
     v = BETA_2 * v + (1 - BETA_2) * grad * grad
@@ -210,25 +297,76 @@ def _stepped(value: np.ndarray, m: np.ndarray, v: np.ndarray, grad: np.ndarray,
     return value - scaled * m / (np.sqrt(v) + EPSILON), m, v
 
 
-def _update(state: DataFrame, sums: DataFrame, kind: int, index: str, rows: int, rate: float, step: int) -> DataFrame:
-    """Embedding rows that the step touched, moved; the others as they were."""
-    touched = sums.filter(F.col("kind") == kind).select(F.col("index").alias(index), F.array(*_COLUMNS).alias("gradient"))
-    joined = state.join(touched, index, "left")
+_STATE = "kind int, block bigint, index bigint, context array<double>, embedding array<double>, m array<double>, v array<double>, dense array<bigint>"
+_NAMES = ("kind", "block", "index", "context", "embedding", "m", "v", "dense")
+
+
+def _update(shared, rows: int, rate: float, step: int):
+    """One block of keys and the gradients that cells sent for it: rows that the step touched, moved, the others as they
+    were, and a row of whole-number gradients of the dense weights. Losses only are added up."""
+
+    def told(kind: int, block: int, sums: np.ndarray) -> pa.Table:
+        row = dict.fromkeys(_NAMES) | {"kind": kind, "block": block, "dense": sums.tolist()}
+        return pa.Table.from_pylist([row], schema)
+
+    whole = [pa.list_(pa.float64())] * 4
+    schema = pa.schema(list(zip(_NAMES, [pa.int32(), pa.int64(), pa.int64(), *whole, pa.list_(pa.int64())], strict=True)))
+
+    def run(key, state, sums):
+        kind, block = (k.as_py() for k in key)
+        if kind == _LOSS:
+            return told(kind, block, to_whole(sums).sum(0))
+        state = state.sort_by("index").append_column("dense", pa.nulls(len(state), pa.list_(pa.int64())))
+        if not len(sums):
+            return state.cast(schema)
+        index = sums.column("index").to_numpy()
+        order = np.argsort(index, kind="stable")
+        keys, first = np.unique(index[order], return_index=True)
+        gradient = np.add.reduceat(to_whole(sums)[order], first, axis=0) / _FIXED
+        met = np.searchsorted(state.column("index").to_numpy(), keys)
+        columns = {c: to_matrix(state.column(c).combine_chunks(), _DIM).copy() for c in ("embedding", "m", "v")}
+        context = to_matrix(state.column("context").combine_chunks(), encode.CONTEXT_DIM)
+        layers = unflat(shared.value)[_tower(kind)]
+        dense, gradient = backward(layers, forward(layers, columns["embedding"][met], context[met]), gradient)
+        moved = _stepped(*(columns[c][met] for c in ("embedding", "m", "v")), gradient / rows, rate, step)
+        for name, new in zip(("embedding", "m", "v"), moved, strict=True):
+            columns[name][met] = new
+            state = state.set_column(state.schema.get_field_index(name), name, to_list_column(columns[name], pa.float64()))
+        return pa.concat_tables([state.cast(schema), told(kind, block, _fixed(_dense_of(dense)))])
 
-    def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_:
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "gradient"}
-            rows_met = np.flatnonzero(batch.column("gradient").is_valid().to_numpy(zero_copy_only=False))
-            if len(rows_met):
-                grad = to_matrix(batch.column("gradient").take(pa.array(rows_met)), _DIM) / (_FIXED * rows)
-                whole = [to_matrix(columns[c], _DIM).copy() for c in ("embedding", "m", "v")]
-                moved = _stepped(*(x[rows_met] for x in whole), grad, rate, step)
-                for name, x, new in zip(("embedding", "m", "v"), whole, moved, strict=True):
-                    x[rows_met] = new
-                    columns[name] = to_list_column(x, pa.float64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    return run
 
-    return joined.mapInArrow(run, state.schema)
+
+def to_whole(sums: pa.Table) -> np.ndarray:
+    return sums.column("sums").combine_chunks().flatten().to_numpy().reshape(len(sums), -1)
+
+
+def _stored(state: DataFrame, buckets: int) -> DataFrame:
+    """Kept in buckets of blocks, so that a step sends gradients to the state and not the state to the gradients."""
+    spark = state.sparkSession
+    path = scratch_path(spark, "tower-state")
+    name = "tower_state_" + path.rsplit("-", 1)[-1]
+    state.write.bucketBy(buckets, "kind", "block").sortBy("kind", "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _added(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each kind of sums that a partition holds."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches_:
+        for kind, dense in zip(batch.column("kind").to_pylist(), batch.column("dense"), strict=True):
+            total[kind] = total.get(kind, 0) + dense.values.to_numpy()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int32()), pa.array([t.tolist() for t in total.values()], pa.list_(pa.int64()))], names=["kind", "dense"]
+    )
+
+
+def _told(sums: DataFrame) -> dict[int, np.ndarray]:
+    """Sums of losses and dense weights, whose number follows from the architecture."""
+    found: dict[int, np.ndarray] = {}
+    for row in sums.mapInArrow(_added, "kind int, dense array<bigint>").collect():
+        found[row["kind"]] = found.get(row["kind"], 0) + np.array(row["dense"], np.int64)
+    return found
 
 
 def fit_towers(
@@ -242,39 +380,67 @@ def fit_towers(
     gradient of all batches of that step.
     """
     spark = examples.sparkSession
-    numbered = freeze(batches.training_batches(examples, batch_rows, True, seed), "tower-batches")
-    held = numbered.filter(F.col("batch_id") % HELD_OUT == HELD_OUT - 1)
-    fitted = numbered.filter(F.col("batch_id") % HELD_OUT != HELD_OUT - 1).withColumn("step", F.floor(F.col("batch_id") / HELD_OUT) % steps)
+    numbered = batches.training_batches(examples, batch_rows, True, seed)
+    for table, (_, _, index) in zip((users, items), _SIDES, strict=True):
+        numbered = numbered.join(table.select(index), index, "left_semi")
+    held = F.col("batch_id") % HELD_OUT == HELD_OUT - 1
+    step_of = F.when(~held, F.floor(F.col("batch_id") / HELD_OUT) % steps)
+    numbered = freeze(numbered.select("user_index", "item_index", "label", held.alias("held"), step_of.alias("step")), "tower-batches")
+    rows_of = {r["step"]: r["n"] for r in numbered.groupBy("step").agg(F.count("*").alias("n")).collect()}  # one row a step
     contexts = (("customer_total_purchases", "customer_avg_price"), ("item_total_purchases", "item_avg_price"))
-    state = [freeze(_start(t, s[2], c, seed), f"{s[0]}-state") for t, s, c in zip((users, items), _SIDES, contexts, strict=True)]
+    starts = [freeze(_start(t, s[2], c, seed), f"{s[0]}-start") for t, s, c in zip((users, items), _SIDES, contexts, strict=True)]
+    keyed = [
+        t.filter(F.col(index).isNotNull()).select(
+            F.lit(kind).alias("kind"), _block(index).alias("block"), F.col(index).cast("bigint").alias("index"), "context", "embedding", "m", "v"
+        )
+        for t, (_, kind, index) in zip(starts, _SIDES, strict=True)
+    ]
+    counts = [t.count() for t in keyed]
+    tasks = spark.sparkContext.defaultParallelism
+    grid = grid_of(tasks, *counts, max(rows_of.values(), default=0))
+    buckets = max(min(tasks, -(-sum(counts) // _BLOCK)), -(-sum(counts) * 24 * _DIM // _BUCKET_BYTES), 1)
+    state = keyed[0].unionByName(keyed[1]).withColumn("dense", F.lit(None).cast("array<bigint>"))
+    state = _stored(state.repartition(buckets, "kind", "block"), buckets)
     values = flat(first_weights(seed))
     m, v = np.zeros_like(values), np.zeros_like(values)
 
+    def mean(told: np.ndarray) -> float:
+        return told[0] / _FIXED / told[1] if told[1] else float("nan")
+
     def held_out_loss() -> float:
-        shared = spark.sparkContext.broadcast(values)
-        rows = _met(held, *state).groupBy("batch_id").applyInArrow(_loss_rows(shared), "loss bigint, n bigint")
-        loss, n = rows.agg(F.sum("loss"), F.sum("n")).first()
-        return loss / _FIXED / n if n else float("nan")
+        sums = _sums(state, numbered.filter("held"), values, grid).filter(F.col("kind") == _LOSS)
+        return mean(_told(sums.select("kind", F.col("sums").alias("dense"))).get(_LOSS, np.zeros(4, np.int64))[2:])
 
-    losses, fitted_losses, step = [held_out_loss()], [], 0
+    losses, fitted_losses, step = [], [], 0
     for epoch in range(epochs):
         loss = rows_of_epoch = 0
         for part in range(steps):
-            shared = spark.sparkContext.broadcast(values)
-            rows = _met(fitted.filter(F.col("step") == (part + epoch) % steps).drop("step"), *state)
-            sums = rows.groupBy("batch_id").applyInArrow(_gradient_rows(shared), _SUMS).groupBy("kind", "index").agg(*(F.sum(c).alias(c) for c in _COLUMNS))
-            sums = freeze(sums, "gradients")
-            dense = sums.filter(F.col("kind") >= _DENSE).collect()  # one row for each 64 dense weights
-            told = next((r for r in dense if r["kind"] == _LOSS), None)
-            if told is None:
+            number = (part + epoch) % steps
+            rows_met = rows_of.get(number, 0)
+            first = len(losses) == epoch  # the loss at the start of the epoch is measured in the pass of its first step
+            if not rows_met:
                 continue
-            rows_met, step = told["g1"], step + 1
-            loss, rows_of_epoch = loss + told["g0"] / _FIXED, rows_of_epoch + rows_met
-            ordered = sorted((r for r in dense if r["kind"] == _DENSE), key=lambda r: r["index"])
-            grad = np.array([[r[c] for c in _COLUMNS] for r in ordered], np.float64).reshape(-1)[: len(values)] / (_FIXED * rows_met)
+            step += 1
+            sums = _sums(state, numbered.filter((F.col("step") == number) | (F.col("held") & F.lit(first))), values, grid)
+            dealt = sums.repartition(buckets, "kind", "block").groupBy("kind", "block")
+            moved = state.drop("dense").groupBy("kind", "block").cogroup(dealt)
+            shared = spark.sparkContext.broadcast(values)
+            stored = _stored(moved.applyInArrow(_update(shared, rows_met, rate, step), _STATE), buckets)
+            told, state = _told(stored.filter("dense is not null").select("kind", "dense")), stored.filter("dense is null")
+            if first:
+                losses.append(mean(told[_LOSS][2:]))
+            loss, rows_of_epoch = loss + told[_LOSS][0] / _FIXED, rows_of_epoch + rows_met
+            grad = np.concatenate([told.get(kind, 0) for _, kind, _ in _SIDES]) / (_FIXED * rows_met)
             values, m, v = _stepped(values, m, v, grad, rate, step)
-            state = [freeze(_update(t, sums, s[1], s[2], rows_met, rate, step), f"{s[0]}-state") for t, s in zip(state, _SIDES, strict=True)]
-        losses.append(held_out_loss())
+        if len(losses) == epoch:  # no step had rows
+            losses.append(held_out_loss())
         fitted_losses.append(loss / rows_of_epoch if rows_of_epoch else float("nan"))
-    users, items = (t.drop("m", "v", "context") for t in state)
+    losses.append(held_out_loss())
+
+    def moved_side(start: DataFrame, kind: int, index: str) -> DataFrame:
+        last = state.filter(F.col("kind") == kind).select(F.col("index").alias("_index"), F.col("embedding").alias("_moved"))
+        joined = start.join(last, F.col(index) == F.col("_index"), "left").withColumn("embedding", F.coalesce("_moved", "embedding"))
+        return joined.drop("m", "v", "context", "_index", "_moved")
+
+    users, items = (freeze(moved_side(t, kind, index), f"{side}-state") for t, (side, kind, index) in zip(starts, _SIDES, strict=True))
     return FittedTowers(users, items, as_table(spark, unflat(values)), losses, fitted_losses)

@@ -7,7 +7,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from recspark.operators import encode, evaluate, retrieve, split, towers
+from recspark.operators import batches, encode, evaluate, retrieve, split, towers
 from recspark.plans import fitted
 
 GROUPS = 4
@@ -101,3 +101,45 @@ def test_fitted_towers_beat_popularity(spark):
     assert found.user_count == baseline.user_count > 0
     assert found.recall > 1.5 * baseline.recall
     assert retrieve.top_k(made.model.users.select("customer_id", "embedding").limit(1), made.model.items, 5).count() == 5
+
+
+def _spread(spark):
+    """Examples and sides whose keys lie in many blocks."""
+    far = lambda t, *c: t.select(*[(t[x] * 1000).alias(x) if x in c else t[x] for x in t.columns])
+    users, items = _sides(spark)
+    return far(_examples(spark), "user_index", "item_index"), far(users, "user_index"), far(items, "item_index")
+
+
+def test_a_step_sends_a_vector_once_per_group_of_the_other_side(spark, monkeypatch):
+    examples, users, items = _spread(spark)
+    fit = lambda: towers.fit_towers(examples, users, items, epochs=1, steps=2, rate=0.02, batch_rows=64)
+    rows = lambda m: sorted((r.user_index, tuple(r.embedding)) for r in m.users.collect())
+    one, sent, met = fit(), [], towers._met
+    monkeypatch.setattr(towers, "grid_of", lambda *_: (2, 3))
+    monkeypatch.setattr(towers, "_met", lambda *a: sent.append(met(*a)) or sent[-1])
+    many = fit()
+    assert [t.filter("kind < 2").count() for t in sent] == [60 * 3 + 40 * 2] * 3
+    assert one.losses == many.losses and rows(one) == rows(many)
+
+
+def test_one_step_is_that_of_all_its_pairs_at_once(spark):
+    examples, users, items = _spread(spark)
+    made = towers.fit_towers(examples, users, items, epochs=1, steps=1, rate=0.02, batch_rows=64)
+    starts = [
+        {r[0]: r for r in towers._start(t, index, tuple(t.columns[1:]), 42).collect()}
+        for t, index in ((users, "user_index"), (items, "item_index"))
+    ]
+    pairs = [r for r in batches.training_batches(examples, 64, True, 42).collect() if r.batch_id % towers.HELD_OUT != towers.HELD_OUT - 1]
+    column = lambda side, key, name: np.array([starts[side][r[key]][name] for r in pairs])
+    parts = [column(side, key, name) for side, key in ((0, "user_index"), (1, "item_index")) for name in ("embedding", "context")]
+    loss, grads, d_users, _ = towers.loss_and_gradients(towers.first_weights(42), *parts, np.array([r.label for r in pairs]))
+    assert abs(made.fitted_losses[0] - loss / len(pairs)) < 1e-7
+    first = towers.flat(towers.first_weights(42))
+    dense, *_ = towers._stepped(first, 0.0, 0.0, towers.flat(grads) / len(pairs), 0.02, 1)
+    told = {(r.tower, r.layer, r.out_unit): r.w for r in made.weights.collect()}
+    assert max(np.abs(np.array(w) - towers.unflat(dense)[t][n].weight[:, j]).max() for (t, n, j), w in told.items()) < 1e-3
+    got = {r.user_index: r.embedding for r in made.users.collect()}
+    for user in (0, 17_000, 59_000):
+        gradient = d_users[[i for i, r in enumerate(pairs) if r.user_index == user]].sum(0) / len(pairs)
+        want, *_ = towers._stepped(np.array(starts[0][user].embedding), 0.0, 0.0, gradient, 0.02, 1)
+        assert np.abs(want - got[user]).max() < 1e-3
