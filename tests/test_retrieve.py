@@ -272,3 +272,23 @@ def test_two_boxes_that_all_queries_begin_with():
     rows, positions, scores, _ = retrieve._best_in_boxes(vectors, boxes, 10)
     expected = retrieve._best_of_all(vectors, items, ids, 10)
     assert np.array_equal(rows, expected[0]) and np.array_equal(boxes.ids[positions], ids[expected[1]]) and np.array_equal(scores, expected[2])
+
+
+def test_item_groups_are_as_few_as_copies_and_memory_allow():
+    grid = retrieve.grid_of(36, 1000, 634, 691, 3)
+    assert grid == (8, 5) and retrieve.large_item_groups(36, grid, 634, 691, 3) == (12, 3)
+    assert retrieve.large_item_groups(24, (6, 4), 105, 115, 1) == (12, 2)
+    assert retrieve.large_item_groups(36, retrieve.grid_of(36, 1000, 3800, 4100, 15), 3800, 4100, 15) == (3, 15)
+
+
+def test_a_first_list_leaves_few_items_to_be_ranked(monkeypatch):
+    """Four boxes instead of two: fewer items are scored in double precision, and the lists are those of a full search."""
+    rng = np.random.default_rng(4)
+    items = rng.normal(size=(20_000, 64)) * 0.8 ** np.arange(64)
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    vectors, ids, ranked, count = items[:500] + 0.01, np.arange(len(items)), retrieve._ranked, []
+    monkeypatch.setattr(retrieve, "_ranked", lambda *a: count.append(sum(len(w[0]) for w in a[5])) or ranked(*a))
+    found = retrieve._best_in_boxes(vectors, boxes := retrieve._boxed(items, ids, ids), 10)
+    want = retrieve._best_of_all(vectors, items, ids, 10)
+    assert (boxes.ids[found[1]] == ids[want[1]]).all() and np.abs(found[2] - want[2]).max() < 2e-6
+    assert sum(count) < 18 * len(vectors)
