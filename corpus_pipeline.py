@@ -6,8 +6,7 @@ documents, the last one row per piece of a sequence. ``run`` writes what a stage
 folder and reads it again for the next one.
 
 Every stage handles null ids and texts, repeated rows and extra columns. Verdicts come back to the rows by two 64-bit
-hashes of id, text, language and source, so that texts travel only where Spark's planner finds the
-verdicts too large to send around.
+hashes of id, text, language and source; a bit filter of the keys keeps texts where they are, but for those that it holds.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recspark.llm import dartminhash, langid, packing, toxicity, winnow
 from recspark.llm.queries import tokenizer_path
+from recspark.llm.tables import bit_filter
 from recspark.session import freeze
 
 _KEY = "_corpus_row_key"
@@ -33,9 +33,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of keyed documents whose key was not rejected."""
+    """Rows of keyed documents whose key was not rejected. A text travels only where a bit filter holds its key for one of them."""
     gone = freeze(rejected.select(_KEY).distinct(), "rejected")
-    return docs.join(gone, _KEY, "left_anti")
+    able = bit_filter(gone, _KEY)
+    if able is None:
+        return docs.join(gone, _KEY, "left_anti")
+    return docs.filter(~able(_KEY)).unionByName(docs.filter(able(_KEY)).join(gone, _KEY, "left_anti"))
+
+
+def _among(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of keyed documents whose key is one of frozen ``keys``, texts travelling as in ``_without``."""
+    able = bit_filter(keys, _KEY)
+    return (docs if able is None else docs.filter(able(_KEY))).join(keys, _KEY, "left_semi")
 
 
 def _in_small_batches(spark: SparkSession) -> None:
@@ -65,10 +74,10 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     keyed = _keyed(docs)
     found = dartminhash.classes(keyed, extra=[_KEY])
     by_key = freeze(found.groupBy(_KEY).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdicts")
-    several = by_key.filter("kept and n > 1").select(_KEY)
+    several = freeze(by_key.filter("kept and n > 1").select(_KEY), "several")
     out = _without(keyed, by_key.filter("not kept or n > 1"))
     if not several.isEmpty():
-        out = out.unionByName(keyed.join(several, _KEY, "left_semi").dropDuplicates([_KEY]))
+        out = out.unionByName(_among(keyed, several).dropDuplicates([_KEY]))
     return out.select(*docs.columns)
 
 

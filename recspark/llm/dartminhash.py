@@ -32,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from recspark.llm import text as T
 from recspark.llm.components import components
+from recspark.llm.tables import bit_filter, discard, stored
 from recspark.session import freeze
 
 SHINGLE = 5
@@ -49,8 +50,8 @@ SLOTS = 1 << 21
 
 #: Times that members of different classes in one bucket meet another member before links are completed.
 _TURNS = 2
-#: Words of the bit filter that go to the tasks at most, 8 bytes each.
-_FILTER_WORDS = 1 << 24
+#: 64-bit words of a text's parity sketch.
+_SKETCH = 4
 #: Cells that are visited at once.
 _CELLS = 1 << 18
 _U32 = np.uint64(0xFFFFFFFF)
@@ -193,7 +194,9 @@ def _close(pairs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """Of pairs (a, b) those whose similarity reaches the threshold, frozen with it."""
+    """Of frozen pairs (a, b) those whose similarity reaches the threshold, frozen with it. Element lists of other nodes stay where they are."""
+    able = bit_filter(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+    elements = elements if able is None else elements.filter(able("node"))
     left = elements.select(F.col("node").alias("a"), F.col("elements").alias("x"))
     right = elements.select(F.col("node").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -217,33 +220,6 @@ def _met_across(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return met.select("node", "other", "node_units", "other_units").distinct()
 
 
-def _bit_filter(nodes: DataFrame) -> Column | None:
-    """A test on ``row`` that all of ``nodes`` pass and few others; none where it would take over ``_FILTER_WORDS`` words.
-
-    Spark sets the bits: a row for each 64-bit word, at most a quarter of the nodes, reaches the driver. The test only
-    saves shuffled bytes, an exact join follows.
-    """
-    spark = nodes.sparkSession
-    count = nodes.count()
-    words = 1 << max(10, (count // 4).bit_length())
-    if words > _FILTER_WORDS:
-        return None
-    hashed = F.xxhash64("node")
-    word, bit = F.shiftrightunsigned(hashed, 6).bitwiseAND(words - 1), hashed.bitwiseAND(63).cast("int")
-    table = nodes.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bit"))
-    found = table.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(words, np.uint64)
-    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    sent = spark.sparkContext.broadcast(bits)
-
-    def test(hashes: pa.Array) -> pa.Array:
-        h = hashes.to_numpy().view(np.uint64)
-        held = sent.value[((h >> np.uint64(6)) & np.uint64(words - 1)).astype(np.int64)]
-        return pa.array(((held >> (h & np.uint64(63))) & np.uint64(1)).astype(bool))
-
-    return F.arrow_udf(test, ST.BooleanType())(F.xxhash64("row"))
-
-
 def _slot_counts(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
@@ -255,16 +231,28 @@ def _slot_counts(slots: int):
     return run
 
 
+_SKETCHED = [f"s{w}" for w in range(_SKETCH)]
+
+
+def _sketch(elements: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of elements fall on i: two sketches differ in no more bits than the sets in elements."""
+    at = T.mix(elements.view(np.uint32).astype(np.uint64)) >> np.uint64(58 - (_SKETCH - 1).bit_length())
+    odd = np.bincount(at.astype(np.int64), minlength=64 * _SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def _prefixes(counts, similarity: float):
-    """Arrow map over (node, root, elements): the rarest elements of a text that may be shared by one similar enough."""
+    """Arrow map over (node, root, elements): the rarest elements of a text that may be shared by one similar enough, with its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts.value
         for batch in batches:
             ends, values = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy()
             made = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            sketches = np.zeros((batch.num_rows, _SKETCH), np.int64)
             for i in range(batch.num_rows):
                 own = values[ends[i] : ends[i + 1]]
+                sketches[i] = _sketch(own)
                 often = known[own & (len(known) - 1)]
                 first = np.lexsort((own, often))[: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
                 at = np.flatnonzero(often[first] > 1)
@@ -272,7 +260,8 @@ def _prefixes(counts, similarity: float):
             row, element, place, units = (np.concatenate(x) for x in zip(*made, strict=True))
             columns = [batch.column(c).take(pa.array(row)) for c in (0, 1)]
             columns += [pa.array(element, pa.int32()), pa.array(place, pa.int32()), pa.array(units, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "element", "place", "units"])
+            columns += [pa.array(sketches[row, w]) for w in range(_SKETCH)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "element", "place", "units", *_SKETCHED])
 
     return run
 
@@ -284,6 +273,10 @@ def _prefix_pairs(nodes: DataFrame, similarity: float, slots: int = SLOTS) -> Da
     share - similarity plus one element - of the one meets that of the other, and what follows their first
     common element must be enough for the overlap. Both are exact in any order; counts, added up in a fixed
     number of slots, only decide how few other pairs there are. An element that occurs once meets nobody.
+
+    Texts of a large class share their rare elements, and a text that is somewhat like one of them is so to all. Sketches
+    tell most of these pairs apart in the join itself: sets differ in at least as many elements as their sketches in bits,
+    and sets that are similar enough differ in at most (1 - similarity) / (1 + similarity) of the sum of their sizes.
     """
     spark = nodes.sparkSession
     counted = nodes.select("elements").mapInArrow(_slot_counts(slots), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
@@ -292,17 +285,17 @@ def _prefix_pairs(nodes: DataFrame, similarity: float, slots: int = SLOTS) -> Da
     counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     sent = spark.sparkContext.broadcast(counts)
     rows = nodes.select("node", "root", "elements").mapInArrow(
-        _prefixes(sent, similarity), "node bigint, root bigint, element int, place int, units int"
+        _prefixes(sent, similarity), ", ".join(["node bigint, root bigint, element int, place int, units int", *(f"{c} bigint" for c in _SKETCHED)])
     )
     rows = freeze(rows, "prefixes")
-    left = rows.select("element", "node", "root", "place", F.col("units").alias("node_units"))
-    right = rows.select(
-        "element", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("place").alias("other_place"), F.col("units").alias("other_units")
-    )
-    enough = F.least(F.col("node_units") - F.col("place"), F.col("other_units") - F.col("other_place")) >= (
-        similarity / (1 + similarity) * (F.col("node_units") + F.col("other_units")) - 1e-9
-    )
-    return left.join(right, (left["element"] == right["element"]) & (F.col("root") < F.col("other_root")) & enough)
+    left = rows.withColumnRenamed("units", "node_units")
+    right = rows.select("element", *(F.col(c).alias(f"other_{c}") for c in ("root", "place", "units", *_SKETCHED)), F.col("node").alias("other"))
+    both = F.col("node_units") + F.col("other_units")
+    enough = F.least(F.col("node_units") - F.col("place"), F.col("other_units") - F.col("other_place")) >= (similarity / (1 + similarity) * both - 1e-9)
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in _SKETCHED)
+    near = apart <= (1 - similarity) / (1 + similarity) * both + 1e-9
+    met = left.join(right, (left["element"] == right["element"]) & (F.col("root") < F.col("other_root")) & enough & near)
+    return met.select("node", "other", "node_units", "other_units")
 
 
 def classes(
@@ -321,7 +314,7 @@ def classes(
         _signed(shingle, bands, per_band, weighted),
         f"id {kind}, h1 bigint, h2 bigint, units int, elements array<int>, bands array<bigint>",
     )
-    rows = freeze(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    signatures_path, rows = stored(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = rows.groupBy("h1", "h2").agg(F.min("row").alias("node"))
     nodes = freeze(nodes, "nodes")
     # texts of their own stay where they are until it is known which of them meet others
@@ -334,9 +327,9 @@ def classes(
     units = rows.select(F.col("row").alias("other"), F.col("units").alias("other_units"))
     tested = freeze(_close(met.join(units, "other"), similarity), "tested")
     wanted = freeze(members.select("node").distinct(), "bucket-nodes")
-    able = _bit_filter(wanted)
-    few = rows.select("row", "elements") if able is None else rows.select("row", "elements").filter(able)
-    elements = freeze(few.select(F.col("row").alias("node"), "elements").join(wanted, "node", "left_semi"), "elements")
+    able = bit_filter(wanted, "node")
+    few = rows.select("row", "elements") if able is None else rows.select("row", "elements").filter(able("row"))
+    elements_path, elements = stored(few.select(F.col("row").alias("node"), "elements").join(wanted, "node", "left_semi"), "elements")
     links = _verified(tested, elements, similarity)
     roots = components(links)
     for turn in range(_TURNS):
@@ -356,6 +349,8 @@ def classes(
             roots = components(links.union(found))
     named = nodes.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
     placed = freeze(rows.select("id", "row", "h1", "h2").join(named, ["h1", "h2"]).drop("h1", "h2"), "placed")
+    for path in (signatures_path, elements_path):  # larger than all others; what follows reads ``placed`` only
+        discard(source.sparkSession, path)
     first = F.min(F.struct(F.col("id.doc").isNull().alias("last"), F.col("id.doc").alias("doc"), "row"))
     kept = placed.groupBy("root").agg(first.alias("first")).select("root", "first.doc", F.col("first.row").alias("kept_row"))
     joined = placed.join(kept.withColumnRenamed("doc", "class_id"), "root")

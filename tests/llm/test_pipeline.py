@@ -6,6 +6,7 @@ import collections
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, _score double"
 
@@ -50,3 +51,22 @@ def test_stages(spark, tmp_path):
     assert second - third == collections.Counter({1000: 1, 1001: 1, clean[7][0]: 2})
     assert third - kept["benchmark decontamination"] == collections.Counter({1003: 1})
     assert set(kept["best-fit packing"]) == set(kept["benchmark decontamination"])
+
+
+def test_texts_of_documents_that_stay_do_not_travel(spark, monkeypatch):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    keyed = corpus_pipeline._keyed(docs.union(docs.filter("doc_id < 10")))
+    joined, join = [], type(keyed).join
+
+    def counted(self, other, *args):
+        if "text" in self.columns:
+            joined.append(self.count())
+        return join(self, other, *args)
+
+    monkeypatch.setattr(type(keyed), "join", counted)
+    out = corpus_pipeline._without(keyed, keyed.filter("doc_id % 50 = 0"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i in [*range(4000), *range(10)] if i % 50)
+    some = corpus_pipeline._among(keyed, keyed.filter("doc_id % 100 = 7").select(corpus_pipeline._KEY))
+    assert sorted(r.doc_id for r in some.collect()) == sorted(i for i in [*range(4000), 7] if i % 100 == 7)
+    assert len(joined) == 2 and max(joined) < 1000
+    assert corpus_pipeline._without(keyed, keyed.filter("false")).count() == 4010
