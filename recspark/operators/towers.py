@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators import batches, encode
 from recspark.operators.arrow import to_list_column, to_matrix
-from recspark.session import freeze, scratch_path
+from recspark.session import discard, freeze, scratch_path, shuffles_removed
 
 # Learning rate and the constants of Adam.
 LEARNING_RATE = 0.001
@@ -39,6 +39,8 @@ _PAIRS_AT_ONCE = 16_384
 #: Unit vectors that a cell keeps (and gradients of the same size), and state of one bucket.
 _CELL_BYTES = 512 * 1024 * 1024
 _BUCKET_BYTES = 128 * 1024 * 1024
+#: The state of an earlier step is removed where it is greater.
+_SMALL_STATE_BYTES = 16 * 1024 * 1024
 #: Rows that cells meet: customers, articles, pairs; and sums of loss and row count, fitted and held out.
 _USER, _ITEM, _PAIR, _LOSS = range(4)
 _SIDES = (("user", _USER, "user_index"), ("item", _ITEM, "item_index"))
@@ -341,13 +343,23 @@ def to_whole(sums: pa.Table) -> np.ndarray:
     return sums.column("sums").combine_chunks().flatten().to_numpy().reshape(len(sums), -1)
 
 
-def _stored(state: DataFrame, buckets: int) -> DataFrame:
-    """Kept in buckets of blocks, so that a step sends gradients to the state and not the state to the gradients."""
+def _stored(state: DataFrame, buckets: int) -> tuple[str, DataFrame]:
+    """(path, table) in buckets of blocks, so that a step sends gradients to the state and not the state to the gradients."""
     spark = state.sparkSession
     path = scratch_path(spark, "tower-state")
-    name = "tower_state_" + path.rsplit("-", 1)[-1]
-    state.write.bucketBy(buckets, "kind", "block").sortBy("kind", "block").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    with shuffles_removed(spark):
+        state.write.bucketBy(buckets, "kind", "block").sortBy("kind", "block").option("path", path).saveAsTable(_name_of(path))
+    return path, spark.table(_name_of(path))
+
+
+def _name_of(path: str) -> str:
+    return "tower_state_" + path.rsplit("-", 1)[-1]
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Remove the state of an earlier step, so that the disk holds two large ones at most."""
+    spark.sql(f"DROP TABLE {_name_of(path)}")
+    discard(spark, path)
 
 
 def _added(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +376,9 @@ def _added(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _told(sums: DataFrame) -> dict[int, np.ndarray]:
     """Sums of losses and dense weights, whose number follows from the architecture."""
     found: dict[int, np.ndarray] = {}
-    for row in sums.mapInArrow(_added, "kind int, dense array<bigint>").collect():
+    with shuffles_removed(sums.sparkSession):
+        rows = sums.mapInArrow(_added, "kind int, dense array<bigint>").collect()
+    for row in rows:
         found[row["kind"]] = found.get(row["kind"], 0) + np.array(row["dense"], np.int64)
     return found
 
@@ -400,7 +414,8 @@ def fit_towers(
     grid = grid_of(tasks, *counts, max(rows_of.values(), default=0))
     buckets = max(min(tasks, -(-sum(counts) // _BLOCK)), -(-sum(counts) * 24 * _DIM // _BUCKET_BYTES), 1)
     state = keyed[0].unionByName(keyed[1]).withColumn("dense", F.lit(None).cast("array<bigint>"))
-    state = _stored(state.repartition(buckets, "kind", "block"), buckets)
+    large = sum(counts) * 24 * _DIM > _SMALL_STATE_BYTES
+    at, state = _stored(state.repartition(buckets, "kind", "block"), buckets)
     values = flat(first_weights(seed))
     m, v = np.zeros_like(values), np.zeros_like(values)
 
@@ -425,7 +440,9 @@ def fit_towers(
             dealt = sums.repartition(buckets, "kind", "block").groupBy("kind", "block")
             moved = state.drop("dense").groupBy("kind", "block").cogroup(dealt)
             shared = spark.sparkContext.broadcast(values)
-            stored = _stored(moved.applyInArrow(_update(shared, rows_met, rate, step), _STATE), buckets)
+            before, (at, stored) = at, _stored(moved.applyInArrow(_update(shared, rows_met, rate, step), _STATE), buckets)
+            if large:
+                _forget(spark, before)
             told, state = _told(stored.filter("dense is not null").select("kind", "dense")), stored.filter("dense is null")
             if first:
                 losses.append(mean(told[_LOSS][2:]))
@@ -443,4 +460,6 @@ def fit_towers(
         return joined.drop("m", "v", "context", "_index", "_moved")
 
     users, items = (freeze(moved_side(t, kind, index), f"{side}-state") for t, (side, kind, index) in zip(starts, _SIDES, strict=True))
+    if large:
+        _forget(spark, at)
     return FittedTowers(users, items, as_table(spark, unflat(values)), losses, fitted_losses)

@@ -143,3 +143,22 @@ def test_one_step_is_that_of_all_its_pairs_at_once(spark):
         gradient = d_users[[i for i, r in enumerate(pairs) if r.user_index == user]].sum(0) / len(pairs)
         want, *_ = towers._stepped(np.array(starts[0][user].embedding), 0.0, 0.0, gradient, 0.02, 1)
         assert np.abs(want - got[user]).max() < 1e-3
+
+
+def test_the_disk_holds_two_states(spark, monkeypatch):
+    """Before, the states of all steps stayed, with the shuffle files that led to them."""
+    examples, users, items = _spread(spark)
+    monkeypatch.setattr(towers, "_SMALL_STATE_BYTES", 0)
+    held, stored = [], towers._stored
+
+    def count(state, buckets):
+        out = stored(state, buckets)
+        held.append(sum("tower_state_" in t.name for t in spark.catalog.listTables()))
+        return out
+
+    before = sum("tower_state_" in t.name for t in spark.catalog.listTables())
+    monkeypatch.setattr(towers, "_stored", count)
+    made = towers.fit_towers(examples, users, items, epochs=2, steps=3, rate=0.02, batch_rows=64)
+    assert len(held) == 7 and max(held) == before + 2
+    assert sum("tower_state_" in t.name for t in spark.catalog.listTables()) == before
+    assert made.users.count() == 60 and made.losses[-1] < made.losses[0]
