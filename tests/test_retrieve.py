@@ -292,3 +292,37 @@ def test_a_first_list_leaves_few_items_to_be_ranked(monkeypatch):
     want = retrieve._best_of_all(vectors, items, ids, 10)
     assert (boxes.ids[found[1]] == ids[want[1]]).all() and np.abs(found[2] - want[2]).max() < 2e-6
     assert sum(count) < 18 * len(vectors)
+
+
+def test_neither_side_is_copied_for_the_other(spark, monkeypatch):
+    """Before, a query was shuffled once per group of items and an item once per group of queries."""
+    rng = np.random.default_rng(11)
+    vectors, asked = _decaying(rng, 3_000), _decaying(rng, 400)
+    vectors[2_000:2_200] = vectors[7]
+    items = spark.createDataFrame([(int(i * 7 % 4001), i, v.tolist()) for i, v in enumerate(vectors)], "article_id bigint, item_index bigint, embedding array<double>")
+    queries = spark.createDataFrame([(f"u{i}", v.tolist()) for i, v in enumerate(asked)], "customer_id string, embedding array<double>").repartition(6)
+    monkeypatch.setattr(retrieve, "_PART_ITEMS", 100)
+    monkeypatch.setattr(retrieve, "_PASSING_ITEMS", 500)
+    monkeypatch.setattr(retrieve, "_SAMPLE_BYTES", 200 * 16 * 8)
+    monkeypatch.setattr(retrieve, "_QUERY_BLOCK", 30)
+    stored, freeze = {}, retrieve.freeze
+    monkeypatch.setattr(retrieve, "freeze", lambda df, name, **o: stored.setdefault(name, freeze(df, name, **o)))
+    found = retrieve.top_k(queries, items, 10, broadcast_bytes=0)
+    rows, positions, scores, rank = retrieve._best_of_all(asked, vectors, np.arange(3_000) * 7 % 4001, 10)
+    want = {(f"u{r}", int(n)): (int(p), float(s)) for r, p, s, n in zip(rows, positions, scores, rank, strict=True)}
+    assert {(r.customer_id, r["rank"]): (r.item_index, r.similarity) for r in found.collect()} == want
+    assert set(stored) == {"queries", "item-packets"} and "RepartitionByExpression" not in found._jdf.queryExecution().optimizedPlan().toString()
+    held = stored["item-packets"].agg(F.sum(F.length("_packet"))).first()[0]
+    assert held < 2 * 3_000 * (16 * 8 + 16)
+
+
+def test_parts_of_space_hold_neighbours():
+    rng = np.random.default_rng(12)
+    vectors = _decaying(rng, 4_000)
+    parts = retrieve._parts_of(vectors[:1_000], 4)
+    number = parts.of(vectors)
+    assert set(number) == set(range(16)) and np.bincount(number).max() < 700
+    assert sum(vectors[number == n].var(0).sum() * (number == n).sum() for n in range(16)) < 0.6 * vectors.var(0).sum() * 4_000
+    assert set(retrieve._parts_of(vectors[:0], 4).of(np.zeros((3, 1)))) == {0}
+    assert retrieve._parts_of(vectors, 0).of(vectors).max() == 0
+    assert len(parts.of(np.full((2, 16), np.nan))) == 2
