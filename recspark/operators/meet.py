@@ -3,12 +3,15 @@
 A join would write both vectors of a pair next to it and shuffle them. Here both sides are cut into groups by a hash
 of their key, and a pair belongs to the cell of its two groups. A vector is copied once per group of the other side. A cell is one
 task's work: it keeps its left vectors, and its right ones pass by block after block, each followed by its pairs.
+
+Where the copies are many, some left groups are done at a time, and the copies of a pass are removed before the next one.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.session import freeze
+
 #: Bytes of left vectors that a cell keeps, of right vectors that it keeps at a time, and of both tables for each cell.
 _LEFT_BYTES = 128 * 1024 * 1024
 _BLOCK_BYTES = 16 * 1024 * 1024
 _CELL_BYTES = 64 * 1024 * 1024
+#: Bytes of copied vectors that are on disk at a time.
+_PASS_BYTES = 8 * 1024 * 1024 * 1024
 _PAIRS_AT_ONCE = 16_384
 _LEFT, _RIGHT, _PAIR = range(3)
 
@@ -117,9 +124,9 @@ def score_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: s
     left_bytes, right_bytes = _bytes_of(left), _bytes_of(right)
     left_groups, right_groups = cells_of(3 * spark.sparkContext.defaultParallelism, left_bytes, right_bytes)
     blocks = max(1, -(-right_bytes // (right_groups * _BLOCK_BYTES)))
-
-    def cell(left_group: Column, right_group: Column) -> Column:
-        return (left_group * right_groups + right_group).cast("int").alias("_cell")
+    passes = max(1, min(left_groups, -(-(left_bytes * right_groups + right_bytes * left_groups) // _PASS_BYTES)))
+    if passes > 1:
+        pairs = freeze(pairs, "pairs")  # read once in each pass
 
     kept = [left_key, right_key, *(c for c in pairs.columns if c not in (left_key, right_key))]
     pair = F.struct(*kept)
@@ -141,25 +148,34 @@ def score_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: s
             no_pair,
         )
 
-    every = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    every = lambda first, end: F.explode(F.sequence(F.lit(first), F.lit(end - 1)))
     lkey, rkey = F.col(left_key).cast("bigint"), F.col(right_key).cast("bigint")
     left_group, right_group = _group(lkey, left_groups, 1), _group(rkey, right_groups, 2)
     block = _group(rkey, blocks, 3)
-    lefts = left.withColumn("_other", every(right_groups)).select(
-        cell(left_group, F.col("_other")), F.lit(-1).alias("_block"), *sides(left_key, _LEFT)
-    )
-    rights = right.withColumn("_other", every(left_groups)).select(
-        cell(F.col("_other"), right_group), block.alias("_block"), *sides(right_key, _RIGHT)
-    )
     empty = [F.lit(0).cast("bigint").alias("_key"), F.lit(False).alias("_null"), none[_LEFT].alias("_left"), none[_RIGHT].alias("_right")]
-    asked = pairs.filter(F.col(left_key).isNotNull() & F.col(right_key).isNotNull()).select(
-        cell(left_group, right_group), block.alias("_block"), F.lit(_PAIR).alias("_kind"), *empty, pair.alias("_pair")
-    )
-    rows = (
-        lefts.unionByName(rights).unionByName(asked)
-        .repartitionById(left_groups * right_groups, F.col("_cell"))
-        .sortWithinPartitions("_cell", "_block", "_kind")
-    )
+
+    def cells(first: int, end: int) -> DataFrame:
+        """The left groups from ``first`` to ``end``: vectors and pairs, each in the partitions of its cells."""
+
+        def cell(group: Column, right_group: Column) -> Column:
+            return ((group - first) * right_groups + right_group).cast("int").alias("_cell")
+
+        now = (left_group >= first) & (left_group < end)
+        lefts = left.filter(now).withColumn("_other", every(0, right_groups)).select(
+            cell(left_group, F.col("_other")), F.lit(-1).alias("_block"), *sides(left_key, _LEFT)
+        )
+        rights = right.withColumn("_other", every(first, end)).select(
+            cell(F.col("_other"), right_group), block.alias("_block"), *sides(right_key, _RIGHT)
+        )
+        asked = pairs.filter(F.col(left_key).isNotNull() & F.col(right_key).isNotNull() & now).select(
+            cell(left_group, right_group), block.alias("_block"), F.lit(_PAIR).alias("_kind"), *empty, pair.alias("_pair")
+        )
+        return (
+            lefts.unionByName(rights).unionByName(asked)
+            .repartitionById((end - first) * right_groups, F.col("_cell"))
+            .sortWithinPartitions("_cell", "_block", "_kind")
+        )
+
     schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in pair_type.fields), T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,4 +201,8 @@ def score_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: s
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays([*(f.take(taken) for f in fields), pa.array(dots, mask=null)], names=[*kept, name])
 
-    return rows.mapInArrow(run, schema)
+    if passes == 1:
+        return cells(0, left_groups).mapInArrow(run, schema)
+    ends = [left_groups * i // passes for i in range(passes + 1)]
+    scored = [freeze(cells(first, end).mapInArrow(run, schema), "scored") for first, end in zip(ends, ends[1:], strict=False)]
+    return reduce(DataFrame.unionAll, scored)

@@ -56,3 +56,16 @@ def test_cells_follow_tasks_and_bytes():
     left, right = meet.cells_of(24, 3000 * mb, 4000 * mb)
     assert 3000 / left <= 128 and left * right >= 7000 / 64
     assert meet.cells_of(24, 0, 0)[0] >= 1
+
+
+def test_copies_of_a_pass_are_removed_before_the_next(spark, monkeypatch):
+    """Before, all copies were on disk at the same time."""
+    random.seed(2)
+    pairs = spark.range(2_000).select((F.col("id") % 53).alias("user_index"), (F.col("id") % 47).alias("item_index"), "id")
+    rows = lambda n: [(i, [random.gauss(0, 1) for _ in range(5)]) for i in range(n)] + [(None, [1.0] * 5)]
+    u, i = _vectors(spark, "user_index", rows(50)), _vectors(spark, "item_index", rows(40))
+    plain, names = _lines(_joined(pairs, u, i, "user_index", "item_index")), []
+    monkeypatch.setattr(meet, "_PASS_BYTES", 8_000)
+    monkeypatch.setattr(meet, "freeze", lambda df, name: names.append(name) or freeze(df, name))
+    found = encode.score_pairs(pairs, u, i)
+    assert _lines(found) == plain and names.count("pairs") == 1 and names.count("scored") > 1
