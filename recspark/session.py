@@ -21,8 +21,6 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Removes the shuffle files of a query when it has ended, and not when the driver happens to collect its garbage.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_writes = threading.Lock()
-_writing: dict[str, int | str | None] = {"now": 0, "held": None}
 
 
 def build_session(app_name: str = "recspark", master: str | None = None, **conf: object) -> SparkSession:
@@ -91,22 +89,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/recspark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+class _Writes:
+    """How many writes run now. Modules travel with the tasks; the copy there knows of none, as a lock cannot be sent."""
+
+    def __init__(self) -> None:
+        self.lock, self.now, self.held = threading.Lock(), 0, None
+
+    def __reduce__(self):
+        return _Writes, ()
+
+
+_writes = _Writes()
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """What is written inside leaves no shuffle files. Threads may be inside at the same time; the last one puts the setting back."""
-    with _writes:
-        if not _writing["now"]:
-            _writing["held"] = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with _writes.lock:
+        if not _writes.now:
+            _writes.held = spark.conf.get(SHUFFLE_CLEANUP, None)
             spark.conf.set(SHUFFLE_CLEANUP, "true")
-        _writing["now"] += 1
+        _writes.now += 1
     try:
         yield
     finally:
-        with _writes:
-            _writing["now"] -= 1
-            if not _writing["now"]:
-                held = _writing["held"]
-                spark.conf.unset(SHUFFLE_CLEANUP) if held is None else spark.conf.set(SHUFFLE_CLEANUP, held)
+        with _writes.lock:
+            _writes.now -= 1
+            if not _writes.now:
+                spark.conf.unset(SHUFFLE_CLEANUP) if _writes.held is None else spark.conf.set(SHUFFLE_CLEANUP, _writes.held)
 
 
 def stored(df: DataFrame, name: str, **options: str) -> tuple[str, DataFrame]:

@@ -5,9 +5,11 @@ import os
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from recspark.operators import beside, fit
+from recspark import session
+from recspark.operators import beside, fit, meet
 from recspark.session import SHUFFLE_CLEANUP, freeze
 
 
@@ -68,6 +70,11 @@ def test_each_task_keeps_its_rows_and_meets_all_others(spark):
     assert len(alone) == 1000 and not any(r.whole for r in alone)
 
 
+def test_modules_that_store_tables_travel_with_the_tasks():
+    """The package is sent by value, with all that its modules refer to."""
+    cloudpickle.loads(cloudpickle.dumps((meet, session, beside)))
+
+
 def test_a_stored_table_leaves_no_shuffle_files(spark):
     """Before, they stayed until the driver collected its garbage."""
     folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
